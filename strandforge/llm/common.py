@@ -53,6 +53,7 @@ class Stage:
         for t in tables:
             p = jvm.org.apache.hadoop.fs.Path(t._stage_path)
             p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+        jvm.System.gc()  # Spark's cleaner then frees the shuffle files of finished plans
 
 
 def tune(spark: SparkSession) -> None:

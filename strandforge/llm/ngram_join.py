@@ -97,7 +97,7 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     and positions leave enough possible overlap. Candidates are then counted on whole sets.
 
     Null or blank texts have no shingles and link with nothing. A null id gives a null component and no
-    links. Rows that repeat an id are one document: each gets its own n_shingles, and their links are shared.
+    links. Of rows that repeat an id each gets its own n_shingles, and a link of one text counts for the id.
     Other columns are ignored, whatever their names. An empty table gives an empty table.
     """
     spark = docs.sparkSession
@@ -106,7 +106,8 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     scan = stage.write(docs.mapInArrow(_scan(k, sketch_bits), "kind int, doc_id long, n long, sig binary, task int, block int, at binary, counts binary"), "scan")
     feats = scan.where("kind = 0").select("doc_id", "n", "sig")
     counts = spark.sparkContext.broadcast(sum_cells(scan.where("kind = 1").select("task", "block", "at", "counts"), sketch_bits).clip(0, (1 << 31) - 1).astype(np.int32))
-    reps = stage.write(feats.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep")), "reps")
+    reps = stage.write(feats.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "reps")
+    size = reps.groupBy("rep").agg(F.max("n").alias("n"), F.min("n").alias("least"))
     known = docs.where("doc_id is not null")
 
     pre = known.mapInArrow(_prefixes(k, percent, counts), "doc_id long, n int, prefix array<long>")
@@ -117,7 +118,9 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     stage.drop(rows)
 
     star = shared.select("doc_id", F.explode(F.array("lead", "low")).alias("other")).where("doc_id <> other")
-    star = stage.write(star.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).groupBy("a", "b").agg(F.count("*").alias("seen")).select("a", "b"), "star")
+    star = star.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
+    star = star.join(size.toDF("a", "na", "la"), "a").join(size.toDF("b", "nb", "lb"), "b").where((100 * F.col("na") >= percent * F.col("lb")) & (100 * F.col("nb") >= percent * F.col("la")))
+    star = stage.write(star.select("a", "b"), "star")
     links = stage.write(_verified(known, star, k, percent), "links")
     comps = connected_components(stage, links)
 
@@ -135,7 +138,6 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     final = connected_components(stage, links.unionByName(more))
     stage.drop(part, rest, star)
 
-    named = reps.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("sig", F.coalesce("component", "rep").alias("component"))
-    # rows that repeat an id share its component even where their own sets differ
+    named = reps.select("sig", "rep").join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("sig", F.coalesce("component", "rep").alias("component"))
     out = feats.join(named, "sig", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    return out.select("doc_id", feats["n"].alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
