@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,7 @@ class Stage:
         for t in tables:
             p = jvm.org.apache.hadoop.fs.Path(t._stage_path)
             p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+        gc.collect()
         jvm.System.gc()  # Spark's cleaner then frees the shuffle files of finished plans
 
 
@@ -180,7 +183,7 @@ class Cells:
             part = self.counts[b * self.BLOCK : (b + 1) * self.BLOCK]
             at = np.flatnonzero(part)
             if len(at):
-                yield b, at.astype(np.uint16).tobytes(), part[at].tobytes()
+                yield b, at.astype(np.uint16).tobytes(), part[at].astype(np.uint32).tobytes()
 
 
 def sum_cells(rows: DataFrame, bits: int) -> np.ndarray:
@@ -191,7 +194,7 @@ def sum_cells(rows: DataFrame, bits: int) -> np.ndarray:
         for b in batches:
             for salt, block, at, n in zip(b["salt"].to_pylist(), b["block"].to_pylist(), b["at"].to_pylist(), b["counts"].to_pylist()):
                 s = sums.setdefault((salt, block), np.zeros(Cells.BLOCK, dtype=np.int64))
-                s[np.frombuffer(at, dtype=np.uint16)] += np.frombuffer(n, dtype=np.int64)
+                s[np.frombuffer(at, dtype=np.uint16)] += np.frombuffer(n, dtype=np.uint32 if len(n) == 2 * len(at) else np.int64)
         keys = sorted(sums)
         nz = [np.flatnonzero(sums[k]) for k in keys]
         yield pa.RecordBatch.from_arrays(
@@ -207,6 +210,25 @@ def sum_cells(rows: DataFrame, bits: int) -> np.ndarray:
     return total
 
 
+def id_bitmap(ids: DataFrame, bits: int = 20) -> np.ndarray:
+    """Which of 2^bits hash cells the values of the first column (longs) fall in: a bounded filter without false negatives."""
+
+    def run(batches):
+        cells, task = Cells(bits), TaskContext.get().partitionId()
+        for b in batches:
+            cells.add(mix64(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))
+        rows = list(cells.rows())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([task] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["task", "block", "at", "counts"]
+        )
+
+    return sum_cells(ids.mapInArrow(run, "task int, block int, at binary, counts binary"), bits) > 0
+
+
+def in_bitmap(ids: pa.Array, bitmap: np.ndarray) -> np.ndarray:
+    return bitmap[(mix64(ids.to_numpy(zero_copy_only=False).view(np.uint64)) & np.uint64(len(bitmap) - 1)).astype(np.int64)]
+
+
 # ---------------------------------------------------------------- connected components
 def connected_components(stage: Stage, edges: DataFrame) -> DataFrame:
     """(node, component): component is the smallest node that edges (a, b) reach, the node itself included.

@@ -8,7 +8,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cells, Stage, connected_components, sum_cells
+from .common import Cells, Stage, connected_components, id_bitmap, in_bitmap, sum_cells
 from .shingles import shingle_sets, signature
 
 #: Cells of the frequency sketch that orders the n-grams of a document; a fixed bound, not a function of the data.
@@ -62,9 +62,10 @@ def _prefixes(k: int, percent: int, counts):
     return run
 
 
-def _sets(k: int):
+def _sets(k: int, wanted):
     def run(batches):
         for b in batches:
+            b = b.filter(pa.array(in_bitmap(b["doc_id"], wanted.value)))
             parts = list(shingle_sets(b["text"], k))
             size = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
             flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
@@ -76,7 +77,9 @@ def _sets(k: int):
 def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets overlap enough, counted on the whole sets."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id long, grams array<long>")
+    # a bounded filter first, so that texts without a candidate are not shingled or shuffled again
+    wanted = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
+    sets = docs.mapInArrow(_sets(k, wanted), "doc_id long, grams array<long>").join(ids, "doc_id", "left_semi")
     left = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("gb")), "b")
     both = left.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("ga")), "a")
     small, large = F.least(F.size("ga"), F.size("gb")), F.greatest(F.size("ga"), F.size("gb"))
