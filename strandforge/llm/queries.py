@@ -3,17 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .ngram_join import ngram_jaccard_components
+from .packing import pack_documents
+from .token_counts import token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _word_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_ngram_jaccard_join": op1_ngram_jaccard_join}
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), _word_vocabulary())
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(_table(spark, sf_dir, "documents"), _word_vocabulary())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_token_counts": op2_token_counts,
+    "op3_packing": op3_packing,
+}
 ORACLES: dict[str, str] = {}
