@@ -56,7 +56,8 @@ class Stage:
             p = jvm.org.apache.hadoop.fs.Path(t._stage_path)
             p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
         gc.collect()
-        jvm.System.gc()  # Spark's cleaner then frees the shuffle files of finished plans
+        for _ in range(2):
+            jvm.System.gc()  # Spark's cleaner then frees the shuffle files of finished plans
 
 
 def tune(spark: SparkSession) -> None:
