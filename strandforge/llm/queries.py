@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .context_mixing import mixing_scores
+from .embedding_dedup import embedding_components
 from .ngram_join import ngram_jaccard_components
 from .packing import pack_documents
 from .token_counts import token_counts
+from .url_filter import DEFAULT_PATTERNS, filter_urls, site_rule
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,9 +36,27 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(_table(spark, sf_dir, "embeddings"))
+
+
+SITE_RULES = [site_rule("block", "net"), site_rule("allow", "example.net", "/en/"), site_rule("block", "example.com", "/de/"), site_rule("allow", "org", "/fr/")]
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"), SITE_RULES + DEFAULT_PATTERNS)
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_scores(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
+    "op4_embedding_dedup": op4_embedding_dedup,
+    "op9_url_filters": op9_url_filters,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLES: dict[str, str] = {}
