@@ -55,9 +55,13 @@ class Stage:
         for t in tables:
             p = jvm.org.apache.hadoop.fs.Path(t._stage_path)
             p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+        self.sweep()
+
+    def sweep(self) -> None:
+        """Has Spark's cleaner free the shuffle files of finished plans."""
         gc.collect()
         for _ in range(2):
-            jvm.System.gc()  # Spark's cleaner then frees the shuffle files of finished plans
+            self.spark._jvm.System.gc()
 
 
 def tune(spark: SparkSession) -> None:

@@ -116,18 +116,21 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     pre = known.mapInArrow(_prefixes(k, percent, counts), "doc_id long, n int, prefix array<long>")
     pre = pre.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     rows = stage.write(pre.select("doc_id", "n", F.posexplode("prefix").alias("pos", "gram")), "incidence")
-    cols = rows.groupBy("gram").agg(F.count("*").alias("m"), F.min_by("doc_id", "pos").alias("lead"), F.min("doc_id").alias("low")).where("m > 1").drop("m")
+    stage.sweep()
+    cols = stage.write(rows.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram"), "columns")
+    stage.sweep()
     shared = stage.write(rows.join(cols, "gram"), "shared")
-    stage.drop(rows)
+    stage.drop(rows, cols)
 
-    star = shared.select("doc_id", F.explode(F.array("lead", "low")).alias("other")).where("doc_id <> other")
+    leads = shared.groupBy("gram").agg(F.min_by("doc_id", "pos").alias("lead"), F.min("doc_id").alias("low"))
+    star = shared.join(leads, "gram").select("doc_id", F.explode(F.array("lead", "low")).alias("other")).where("doc_id <> other")
     star = star.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
     star = star.join(size.toDF("a", "na", "la"), "a").join(size.toDF("b", "nb", "lb"), "b").where((100 * F.col("na") >= percent * F.col("lb")) & (100 * F.col("nb") >= percent * F.col("la")))
     star = stage.write(star.select("a", "b"), "star")
     links = stage.write(_verified(known, star, k, percent), "links")
     comps = connected_components(stage, links)
 
-    labelled = shared.drop("lead", "low").join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    labelled = shared.join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     mixed = labelled.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gram")
     part = stage.write(labelled.join(mixed, "gram", "left_semi"), "mixed")
     stage.drop(shared)
