@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import line_dedup
 from .context_mixing import mixing_scores
+from .decontamination import benchmark_leaks
 from .embedding_dedup import embedding_components
 from .ngram_join import ngram_jaccard_components
 from .packing import pack_documents
@@ -40,6 +42,14 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(_table(spark, sf_dir, "embeddings"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 SITE_RULES = [site_rule("block", "net"), site_rule("allow", "example.net", "/en/"), site_rule("block", "example.com", "/de/"), site_rule("allow", "org", "/fr/")]
 
 
@@ -56,7 +66,9 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_line_dedup": op5_line_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_url_filters": op9_url_filters,
     "op10_lm_scoring": op10_lm_scoring,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_line_dedup": line_dedup.ORACLE}
