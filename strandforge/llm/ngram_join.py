@@ -48,16 +48,19 @@ def _prefixes(k: int, percent: int, counts):
         weight = counts.value
         mask = np.uint64(len(weight) - 1)
         for b in batches:
-            n, parts, size = [], [], [0]
+            n, last, parts, size = [], [], [], [0]
             for s in shingle_sets(b["text"], k):
                 p = len(s) - _needed(len(s), percent) + 1 if len(s) else 0
-                order = np.argsort(weight[(s & mask).astype(np.int64)], kind="stable")[:p]
+                w = weight[(s & mask).astype(np.int64)]
+                order = np.argsort(w, kind="stable")[:p]
                 n.append(len(s))
+                # the order key of the last one: weight, then the hash's upper bits
+                last.append(min(int(w[order[-1]]), (1 << 19) - 1) << 44 | int(s[order[-1]]) >> 20 if p else 0)
                 parts.append(s[order])
                 size.append(size[-1] + p)
             flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), pa.array(n, pa.int32()), lists], names=["doc_id", "n", "prefix"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), pa.array(n, pa.int32()), pa.array(last, pa.int64()), lists], names=["doc_id", "n", "last", "prefix"])
 
     return run
 
@@ -74,6 +77,28 @@ def _sets(k: int, wanted):
     return run
 
 
+def _room(na: str, pa: str, nb: str, pb: str, percent: int):
+    """Sizes and the places of a shared n-gram leave enough possible overlap, if it is the first shared one."""
+    na, pa, nb, pb = map(F.col, (na, pa, nb, pb))
+    room = F.least(na - pa, nb - pb)
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * room >= percent * (na + nb))
+
+
+def _accumulated(shared: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose overlap counts, accumulated over the incidence rows of both, reach the size-derived bound.
+
+    Of two documents, let x be the one whose ordered n-grams end first in the rows. Then each of x's rows that
+    is in the other document is among the other's rows too, and a link leaves at most n - needed of x's out.
+    """
+    rows = shared.select("doc_id", "gram", "n", "last")
+    left = pairs.join(rows.toDF("a", "gram", "na", "la"), "a")
+    both = left.join(rows.toDF("b", "gram", "nb", "lb"), ["b", "gram"]).groupBy("a", "b").agg(F.count("*").alias("c"), F.first("na").alias("na"), F.first("la").alias("la"), F.first("nb").alias("nb"), F.first("lb").alias("lb"))
+    needed = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent) - 1e-6)
+    bound = {x: needed - F.ceil(percent * F.col(x) / 100 - 1e-6) + 1 for x in ("na", "nb")}
+    least = F.when(F.col("la") < F.col("lb"), bound["na"]).when(F.col("la") > F.col("lb"), bound["nb"]).otherwise(F.least(bound["na"], bound["nb"]))
+    return both.where(F.col("c") >= least).select("a", "b")
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets overlap enough, counted on the whole sets."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
@@ -110,39 +135,36 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     feats = scan.where("kind = 0").select("doc_id", "n", "sig")
     counts = spark.sparkContext.broadcast(sum_cells(scan.where("kind = 1").select("task", "block", "at", "counts"), sketch_bits).clip(0, (1 << 31) - 1).astype(np.int32))
     reps = stage.write(feats.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "reps")
-    size = reps.groupBy("rep").agg(F.max("n").alias("n"), F.min("n").alias("least"))
     known = docs.where("doc_id is not null")
 
-    pre = known.mapInArrow(_prefixes(k, percent, counts), "doc_id long, n int, prefix array<long>")
+    pre = known.mapInArrow(_prefixes(k, percent, counts), "doc_id long, n int, last long, prefix array<long>")
     pre = pre.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    rows = stage.write(pre.select("doc_id", "n", F.posexplode("prefix").alias("pos", "gram")), "incidence")
+    rows = stage.write(pre.select("doc_id", "n", "last", F.posexplode("prefix").alias("pos", "gram")), "incidence")
     stage.sweep()
     cols = stage.write(rows.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram"), "columns")
     stage.sweep()
     shared = stage.write(rows.join(cols, "gram"), "shared")
     stage.drop(rows, cols)
 
-    leads = shared.groupBy("gram").agg(F.min_by("doc_id", "pos").alias("lead"), F.min("doc_id").alias("low"))
-    star = shared.join(leads, "gram").select("doc_id", F.explode(F.array("lead", "low")).alias("other")).where("doc_id <> other")
-    star = star.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
-    star = star.join(size.toDF("a", "na", "la"), "a").join(size.toDF("b", "nb", "lb"), "b").where((100 * F.col("na") >= percent * F.col("lb")) & (100 * F.col("nb") >= percent * F.col("la")))
-    star = stage.write(star.select("a", "b"), "star")
-    links = stage.write(_verified(known, star, k, percent), "links")
+    leads = shared.groupBy("gram").agg(F.min_by(F.struct("doc_id", "n", "pos"), F.struct("pos", "doc_id")).alias("lead"), F.min_by(F.struct("doc_id", "n", "pos"), "doc_id").alias("low"))
+    star = shared.join(leads, "gram").select(F.struct("doc_id", "n", "pos").alias("x"), F.explode(F.array("lead", "low")).alias("y"))
+    star = star.where((F.col("x.doc_id") != F.col("y.doc_id")) & _room("x.n", "x.pos", "y.n", "y.pos", percent))
+    star = stage.write(star.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct(), "star")
+    stage.sweep()
+    links = stage.write(_verified(known, _accumulated(shared, star, percent), k, percent), "links")
     comps = connected_components(stage, links)
 
     labelled = shared.join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     mixed = labelled.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gram")
     part = stage.write(labelled.join(mixed, "gram", "left_semi"), "mixed")
-    stage.drop(shared)
     a = part.select("gram", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("component").alias("ca"))
     b = part.select("gram", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
-    room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & ((100 + percent) * room >= percent * (F.col("na") + F.col("nb")))
-    pairs = a.join(b, "gram").where(fits).groupBy("a", "b").agg(F.count("*").alias("seen")).select("a", "b").join(star, ["a", "b"], "left_anti")
+    fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _room("na", "pa", "nb", "pb", percent)
+    pairs = a.join(b, "gram").where(fits).select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
     rest = stage.write(pairs, "rest")
-    more = stage.write(_verified(known, rest, k, percent), "more")
+    more = stage.write(_verified(known, _accumulated(shared, rest, percent), k, percent), "more")
     final = connected_components(stage, links.unionByName(more))
-    stage.drop(part, rest, star)
+    stage.drop(part, rest, star, shared)
 
     named = reps.select("sig", "rep").join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("sig", F.coalesce("component", "rep").alias("component"))
     out = feats.join(named, "sig", "left")
