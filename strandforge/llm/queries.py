@@ -11,6 +11,7 @@ from .decontamination import benchmark_leaks
 from .embedding_dedup import embedding_components
 from .ngram_join import ngram_jaccard_components
 from .packing import pack_documents
+from .quality import classify_quality
 from .token_counts import token_counts
 from .url_filter import DEFAULT_PATTERNS, filter_urls, site_rule
 
@@ -46,6 +47,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_url_filters": op9_url_filters,
     "op10_lm_scoring": op10_lm_scoring,
