@@ -9,6 +9,7 @@ from . import line_dedup
 from .context_mixing import mixing_scores
 from .decontamination import benchmark_leaks
 from .embedding_dedup import embedding_components
+from .language_id import identify_languages
 from .ngram_join import ngram_jaccard_components
 from .packing import pack_documents
 from .quality import classify_quality
@@ -51,6 +52,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -73,6 +78,7 @@ QUERIES = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_language_id": op7_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_url_filters": op9_url_filters,
     "op10_lm_scoring": op10_lm_scoring,
