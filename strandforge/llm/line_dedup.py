@@ -39,9 +39,34 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counts as one occurrence. Other columns are ignored; an empty table gives an empty table. Only chunk hashes,
     the texts of repeated chunks, and each text twice are shuffled.
     """
+    out = _edited(docs, id_col, text_col, divisor, long_line)
+    return out.select("doc_id", "edited", "n_lines", "removed_lines").withColumnRenamed("edited", "text")
+
+
+def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", divisor: int = DIVISOR, long_line: int = LONG_LINE) -> DataFrame:
+    """The documents with all their columns and without repeated chunks; length_col, if there, is brought up to date.
+
+    A document of which only white space is left leaves the table: all it said stands elsewhere.
+    """
+    out = _edited(docs, id_col, text_col, divisor, long_line).where("removed_lines = 0 or length(trim(replace(edited, '\n', ' '))) > 0")
+    cols = []
+    for c in docs.columns:
+        old = F.col(f"row.`{c}`")
+        if c == text_col:
+            old = F.col("edited")
+        elif c == length_col:
+            old = F.when(F.col("removed_lines") > 0, F.length("edited").cast(docs.schema[c].dataType)).otherwise(old)
+        cols.append(old.alias(c))
+    return out.select(*cols)
+
+
+def _edited(docs: DataFrame, id_col: str, text_col: str, divisor: int, long_line: int) -> DataFrame:
+    """(doc_id, edited, n_lines, removed_lines, row with all other columns)."""
     spark = docs.sparkSession
     stage = Stage(spark, "lines")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rest = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in docs.columns if c != text_col))
+    whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), rest.alias("row"))
+    docs = whole.drop("row")
     usable = docs.where("doc_id is not null and text is not null")
     rows = _chunked(usable, divisor, long_line)
     chunks = rows.select("doc_id", "lines", F.explode(F.expr(_CHUNKS)).alias("c")).withColumn("body", F.expr(_BODY))
@@ -59,13 +84,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drop = again.where("doc_id <> d").select("doc_id", "k")
     own = again.where("doc_id = d").join(lead, ["h", "m", "d"]).where("k <> k0").select("doc_id", "k")
     gone = drop.unionByName(own).groupBy("doc_id").agg(F.collect_set("k").alias("gone"))
-    out = docs.join(gone, "doc_id", "left")
+    out = whole.join(gone, "doc_id", "left")
     touched = _chunked(out, divisor, long_line)
     kept = F.expr(f"filter({_CHUNKS}, c -> not array_contains(gone, c.k))")
     touched = touched.withColumn("left", F.when(F.col("gone").isNotNull(), F.transform(kept, lambda c: F.array_join(F.slice("lines", c["a"] + 1, c["b"] - c["a"] + 1), "\n"))))
     removed = F.expr(f"aggregate({_CHUNKS}, 0, (n, c) -> n + if(array_contains(gone, c.k), c.b - c.a + 1, 0))")
     return touched.select(
-        "doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join("left", "\n")).alias("text"),
+        "doc_id", "row", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join("left", "\n")).alias("edited"),
         F.coalesce(F.when(F.col("text").isNotNull(), F.size("lines")), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.when(F.col("gone").isNotNull(), removed), F.lit(0)).cast("long").alias("removed_lines"),
     )
 

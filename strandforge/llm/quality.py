@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, mix64, prefix_hash, span_hash, text_chunks, tune, word_spans
+from .common import Stage, mix64, prefix_hash, span_hash, text_chunks, word_spans
 
 #: Rows that fit the classifier: at most so many labelled documents, and so many unlabelled ones for pseudo-labels.
 MAX_LABELLED, MAX_UNLABELLED = 20_000, 10_000
@@ -219,7 +219,7 @@ def _meta_keys(b) -> np.ndarray:
 
     rows = []
     for s, lang, n in zip(*(b[c].to_pylist() for c in _META)):
-        size = -1 if n is None else int(np.log2(max(n, 0) + 1) * 2)
+        size = -1 if n is None else int(np.log2(max(int(n), 0) + 1) * 2)
         parts = (f"s={s}", f"l={lang}", f"n={size}", f"sl={s}|{lang}", f"ln={lang}|{size}")
         rows.append([zlib.crc32(p.encode()) | i << 32 for i, p in enumerate(parts)])
     return np.array(rows, dtype=np.uint64).reshape(-1, 5)
@@ -283,24 +283,47 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     labels of two kinds a property is constant (good without any: 0.95, toxic: 0.05). Other columns are
     ignored; an empty table gives an empty table.
     """
+    score = _scorer(docs, labels, id_col, text_col, max_labelled, max_unlabelled, least_good, most_toxic)
+
+    def run(batches):
+        for b in batches:
+            good, toxic, keep = score(b)
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(good), pa.array(toxic), pa.array(keep)], names=["doc_id", "good", "toxic", "keep"])
+
+    return _prepared(docs, id_col, text_col).mapInArrow(run, "doc_id long, good double, toxic double, keep boolean")
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED, max_unlabelled: int = MAX_UNLABELLED, least_good: float = 0.5, most_toxic: float = 0.5) -> DataFrame:
+    """The rows that classify_quality() keeps, with all their columns, in the same narrow stage."""
+    score = _scorer(docs, labels, id_col, text_col, max_labelled, max_unlabelled, least_good, most_toxic)
+    names = docs.columns
+
+    def run(batches):
+        for b in batches:
+            own = {n: b.column(i) for i, n in enumerate(names)}
+            none = pa.nulls(b.num_rows, pa.string())
+            cols = {"text": own[text_col].cast(pa.string()), **{c: own.get(c, none) for c in _META}}
+            yield b.filter(pa.array(score(cols)[2]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _scorer(docs, labels, id_col, text_col, max_labelled, max_unlabelled, least_good, most_toxic):
+    """A function from columns of a batch to (good, toxic, keep)."""
     spark = docs.sparkSession
-    stage = Stage(spark, "quality")
-    rows = _prepared(docs, id_col, text_col)
-    heads = fit_quality(stage, rows, labels, max_labelled, max_unlabelled)
+    heads = fit_quality(Stage(spark, "quality"), _prepared(docs, id_col, text_col), labels, max_labelled, max_unlabelled)
     if not labels.take(1):
         heads["good"].mix[2] = 3.0
     shared = spark.sparkContext.broadcast(heads)
-    tune(spark)
 
-    def run(batches):
-        for b in batches:
-            meta = _meta_keys(b)
-            out = {"good": [], "toxic": []}
-            for i, j, h, first, stats in text_features(b["text"]):
-                owner = np.repeat(np.arange(j - i), np.diff(first))
-                for name, head in shared.value.items():
-                    out[name].append(head.combined(head.text_margin(h, owner, j - i, stats), head.meta_margin(meta[i:j])))
-            good, toxic = (np.concatenate(out[k]) if out[k] else np.zeros(0) for k in ("good", "toxic"))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(good), pa.array(toxic), pa.array((good >= least_good) & (toxic < most_toxic))], names=["doc_id", "good", "toxic", "keep"])
-
-    return rows.mapInArrow(run, "doc_id long, good double, toxic double, keep boolean")
+    def score(b):
+        meta = _meta_keys(b)
+        out = {"good": [], "toxic": []}
+        for i, j, h, first, stats in text_features(b["text"]):
+            owner = np.repeat(np.arange(j - i), np.diff(first))
+            for name, head in shared.value.items():
+                out[name].append(head.combined(head.text_margin(h, owner, j - i, stats), head.meta_margin(meta[i:j])))
+        good, toxic = (np.concatenate(out[k]) if out[k] else np.zeros(0) for k in ("good", "toxic"))
+        return good, toxic, (good >= least_good) & (toxic < most_toxic)
+
+    return score
