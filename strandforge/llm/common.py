@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..shipping import ship
 
 #: Bytes of text that the numpy kernels hold at once (a longer single text is handled alone).
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _POLY = 0xD6E8FEB86659FD93
 _POLY_INV = pow(_POLY, -1, 1 << 64)
@@ -67,8 +67,8 @@ class Stage:
 def tune(spark: SparkSession) -> None:
     """Ships the kernels and bounds Arrow batches by bytes too, since single texts may be long."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 # ---------------------------------------------------------------- byte kernels
@@ -184,11 +184,16 @@ class Cells:
         np.add.at(self.counts, at, 1 if weight is None else weight)
 
     def rows(self) -> Iterator[tuple[int, bytes, bytes]]:
-        for b in range(len(self.counts) // self.BLOCK):
-            part = self.counts[b * self.BLOCK : (b + 1) * self.BLOCK]
-            at = np.flatnonzero(part)
-            if len(at):
-                yield b, at.astype(np.uint16).tobytes(), part[at].astype(np.uint32).tobytes()
+        return cell_rows(self.counts)
+
+
+def cell_rows(counts: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+    """(block, places, counts) of the cells that are not 0."""
+    for b in range(len(counts) // Cells.BLOCK):
+        part = counts[b * Cells.BLOCK : (b + 1) * Cells.BLOCK]
+        at = np.flatnonzero(part)
+        if len(at):
+            yield b, at.astype(np.uint16).tobytes(), part[at].astype(np.uint32).tobytes()
 
 
 def sum_cells(rows: DataFrame, bits: int) -> np.ndarray:
