@@ -12,7 +12,7 @@ from ..operators.preproc import preprocess_single
 
 def stream_fastq(spark: SparkSession, path: str) -> DataFrame:
     """Reads of FASTQ files as they land in a directory; a file is a batch's unit and is read whole."""
-    files = spark.readStream.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
+    files = spark.readStream.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
     lines = files.withColumn("l", F.split(F.regexp_replace("value", "\r", ""), "\n"))
     each = lines.select("path", "l", F.explode(F.expr("sequence(0, greatest(0, cast(size(l) / 4 as int) - 1))")).alias("n")).where("size(l) >= 4 * n + 4")
     line = lambda k: F.expr(f"get(l, 4 * n + {k})")
