@@ -48,7 +48,9 @@ def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A document of which only white space is left leaves the table: all it said stands elsewhere.
     """
-    out = _edited(docs, id_col, text_col, divisor, long_line).where("removed_lines = 0 or length(trim(replace(edited, '\n', ' '))) > 0")
+    # the condition names a column that keeps it above the edit; pushed below, it would repeat the edit for each use
+    out = _edited(docs, id_col, text_col, divisor, long_line).withColumn("place", F.monotonically_increasing_id())
+    out = out.where("place >= 0 and (removed_lines = 0 or length(trim(replace(edited, '\n', ' '))) > 0)")
     cols = []
     for c in docs.columns:
         old = F.col(f"row.`{c}`")
