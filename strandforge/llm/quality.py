@@ -157,7 +157,7 @@ def _telling(words: list[np.ndarray], y: np.ndarray, most: int) -> np.ndarray:
     return np.sort(uniq[keep[score[keep] > 4]])
 
 
-def co_train(words, stats, meta, y, pool_words, pool_stats, pool_meta, rounds: int = 3, confident: float = 0.97, most_words: int = WORDS) -> Head:
+def co_train(words, stats, meta, y, pool_words, pool_stats, pool_meta, held=None, rounds: int = 3, confident: float = 0.97, most_words: int = WORDS) -> Head:
     """Fits both views; in each round a view gives its confident pseudo-labels of the pool to the other view.
 
     A view may give labels of a kind only if its answers of that kind and confidence are right on the held-out
@@ -165,8 +165,7 @@ def co_train(words, stats, meta, y, pool_words, pool_stats, pool_meta, rounds: i
     that is, their calibration. One kind of label only gives a constant answer.
     """
     y = y.astype(np.float64)
-    held = np.arange(len(y)) % 5 == 4
-    held &= len(y) >= 50
+    held = (np.arange(len(y)) % 5 == 4 if held is None else held) & (len(y) >= 50)
     fit = ~held
     if not len(y) or y[fit].min() == y[fit].max():
         sure = 3.0 if len(y) and y.max() == 1 and y.min() == 1 else -3.0
@@ -240,7 +239,9 @@ def fit_quality(stage: Stage, docs: DataFrame, labels: DataFrame, max_labelled:
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     marked = labels.join(ids, "doc_id", "left_semi").orderBy(*order).limit(max_labelled)
     plain = ids.join(labels, "doc_id", "left_anti").orderBy(*order).limit(max_unlabelled)
-    sample = stage.write(marked.unionByName(plain.select("doc_id", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))), "sample")
+    sample = marked.unionByName(plain.select("doc_id", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic")))
+    sample = stage.write(sample.withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5)) == 4), "sample")
+    kind = "doc_id long, quality int, toxic int, held boolean, words array<long>, stats array<double>, meta array<long>"
 
     def run(batches):
         for b in batches:
@@ -250,27 +251,48 @@ def fit_quality(stage: Stage, docs: DataFrame, labels: DataFrame, max_labelled:
                 words += [np.unique(h[x:y]).view(np.int64) for x, y in zip(first[:-1], first[1:])]
                 stats += list(s)
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], b["quality"], b["toxic"], pa.array(words, pa.list_(pa.int64())), pa.array(stats, pa.list_(pa.float64())), pa.array(list(meta.view(np.int64)), pa.list_(pa.int64()))], names=["doc_id", "quality", "toxic", "words", "stats", "meta"]
+                [b["doc_id"], b["quality"], b["toxic"], b["held"], pa.array(words, pa.list_(pa.int64())), pa.array(stats, pa.list_(pa.float64())), pa.array(list(meta.view(np.int64)), pa.list_(pa.int64()))],
+                names=["doc_id", "quality", "toxic", "held", "words", "stats", "meta"],
             )
 
     # the sample has max_labelled + max_unlabelled rows at most
-    rows = docs.join(F.broadcast(sample), "doc_id").mapInArrow(run, "doc_id long, quality int, toxic int, words array<long>, stats array<double>, meta array<long>")
-    t = stage.write(rows.repartition(8), "features").toArrow()
-    words = [w.values.to_numpy().view(np.uint64) if w.values is not None else np.zeros(0, np.uint64) for w in t["words"]]
-    order = np.argsort(t["doc_id"].to_numpy(), kind="stable")
-    order = order[np.argsort(mix64(t["doc_id"].to_numpy()[order].astype(np.uint64)), kind="stable")]
-    words = [words[i] for i in order]
-    stats = np.array(t["stats"].to_pylist(), dtype=np.float64).reshape(-1, STATS)[order]
-    meta = np.array(t["meta"].to_pylist(), dtype=np.int64).reshape(-1, 5).view(np.uint64)[order]
-    pool = np.array([q is None and x is None for q, x in zip(t["quality"].to_pylist(), t["toxic"].to_pylist())], dtype=bool)[order]
+    rows = stage.write(docs.join(F.broadcast(sample), "doc_id").mapInArrow(run, kind), "features")
+    telling = stage.spark.sparkContext.broadcast(np.unique(np.concatenate([_telling_words(rows, c) for c in ("quality", "toxic")])))
+
+    def narrow(batches):
+        for b in batches:
+            words = [w[np.isin(w, telling.value)] for w in (x.values.to_numpy(zero_copy_only=False) for x in b["words"])]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.int64())) if n == "words" else b[n] for n in b.schema.names], names=b.schema.names)
+
+    t = rows.mapInArrow(narrow, kind).toArrow().combine_chunks()
+    ids = t["doc_id"].to_numpy()
+    order = np.lexsort([ids, mix64(ids.astype(np.uint64))])
+    words = [np.array(t["words"][int(i)].as_py(), dtype=np.int64).view(np.uint64) for i in order]
+    flat = lambda c, width, kind: np.asarray(t[c].combine_chunks().flatten().to_numpy(zero_copy_only=False), dtype=kind).reshape(-1, width)[order]
+    stats, meta = flat("stats", STATS, np.float64), flat("meta", 5, np.int64).view(np.uint64)
+    held = np.array(t["held"].to_pylist(), dtype=bool)[order]
+    value = {c: np.array([-1 if v is None else v for v in t[c].to_pylist()], dtype=np.int64)[order] for c in ("quality", "toxic")}
+    rest = np.flatnonzero((value["quality"] < 0) & (value["toxic"] < 0))
     heads = {}
     for name, col in (("good", "quality"), ("toxic", "toxic")):
-        y = np.array([-1 if v is None else v for v in t[col].to_pylist()], dtype=np.int64)[order]
-        own, rest = np.flatnonzero(y >= 0), np.flatnonzero(pool)
-        heads[name] = co_train([words[i] for i in own], stats[own], meta[own], y[own], [words[i] for i in rest], stats[rest], meta[rest])
+        own = np.flatnonzero(value[col] >= 0)
+        heads[name] = co_train([words[i] for i in own], stats[own], meta[own], value[col][own], [words[i] for i in rest], stats[rest], meta[rest], held[own])
     return heads
 
 
+def _telling_words(rows: DataFrame, label: str, most: int = WORDS) -> np.ndarray:
+    """Of the words of the labelled, not held-out rows, those least independent of the label; `most` reach the driver."""
+    own = rows.where(f"{label} is not null and not held")
+    n, pos = own.agg(F.count("*"), F.coalesce(F.sum(label), F.lit(0))).first()
+    if not 0 < pos < n:
+        return np.zeros(0, dtype=np.int64)
+    share = pos / n
+    words = own.select(F.explode("words").alias("w"), F.col(label).alias("y")).groupBy("w").agg(F.count("*").alias("n"), F.sum("y").alias("p")).where("n >= 3")
+    score = F.expr(f"pow(p - n * {share}, 2) / (n * {share * (1 - share)} * greatest(1 - n / {n}, 0.05))")
+    top = words.withColumn("score", score).where("score > 4").orderBy(F.desc("score"), "w").limit(most).select("w").toArrow()
+    return top["w"].to_numpy()
+
+
 def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED, max_unlabelled: int = MAX_UNLABELLED, least_good: float = 0.5, most_toxic: float = 0.5) -> DataFrame:
     """One row per document: doc_id, good, toxic (probabilities), keep (good >= least_good and toxic < most_toxic).
 
