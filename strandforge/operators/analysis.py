@@ -26,7 +26,7 @@ def feature_frequency(found: DataFrame, key: list[str], by: list[str]) -> DataFr
 def normalised(freq: DataFrame, by: list[str]) -> DataFrame:
     """Frequencies that sum to 1 over `by`."""
     if not by:
-        return freq.crossJoin(F.broadcast(freq.agg(F.sum("freq").alias("t")))).withColumn("freq", F.col("freq") / F.nullif("t", F.lit(0.0))).drop("t")
+        return normalised(freq.withColumn("_all", F.lit(0)), ["_all"]).drop("_all")
     total = freq.groupBy(*by).agg(F.sum("freq").alias("t"))
     return freq.join(total, by).withColumn("freq", F.col("freq") / F.nullif("t", F.lit(0.0))).drop("t")
 

@@ -19,6 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 FASTQ = "sample_id string, read_no long, id string, seq string, qual string, path string"
 FASTA = "id string, seq string, record_no long, path string"
 ALIGNMENT = "sample_id string, rec_no long, qname string, flag int, rname string, pos0 long, mapq int, cigar string, seq string, qual string, xx int, xy int, xj int, xh int, tags map<string,string>, path string"
+LINES = "file string, line_no long, line string"
 FEATURE = "seqid string, source string, type string, start1 long, end1 long, score string, strand string, phase string, attributes string"
 CLUSTERS = "clust_id string, chr1 string, strand1 string, start1 long, end1 long, chr2 string, strand2 string, start2 long, end2 long, no_splits long, len1 long, len2 long"
 STATS = "condition string, replicate string, reads long, aligned long, splits long, multsplits long"
@@ -158,7 +159,10 @@ class _Reader(DataSourceReader):
     def read(self, part):
         path, sample = part.path, sample_of(part.path)
         with _open(self.root, path) as f:
-            if self.kind == "fastq":
+            if self.kind == "numbered_lines":
+                for n, x in enumerate(f):
+                    yield path, n, x.rstrip(b"\r\n").decode()
+            elif self.kind == "fastq":
                 for n, (i, s, q) in enumerate(parse_fastq(f)):
                     yield sample, n, i, s, q, path
             elif self.kind == "fasta":
@@ -186,11 +190,11 @@ def _source(kind: str, ddl: str) -> type[DataSource]:
     return Source
 
 
-FORMATS = {"fastq": FASTQ, "fasta": FASTA, "sam": ALIGNMENT, "bam": ALIGNMENT}
+FORMATS = {"fastq": FASTQ, "fasta": FASTA, "sam": ALIGNMENT, "bam": ALIGNMENT, "numbered_lines": LINES}
 
 
 def register_formats(spark: SparkSession) -> None:
-    """Makes spark.read.format("fastq" | "fasta" | "sam" | "bam") available."""
+    """Makes spark.read.format("fastq" | "fasta" | "sam" | "bam" | "numbered_lines") available."""
     from ..shipping import ship
 
     ship(spark)
@@ -210,7 +214,8 @@ def read_gff3(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     Features are lines without a parent that are not regions; exons are junctions of the last such line above them,
     if they lie inside it. Line order counts, so lines are numbered within their file.
     """
-    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
+    register_formats(spark)
+    lines = spark.read.format("numbered_lines").load(path)
     f = lines.where("line not like '#%' and trim(line) <> ''").withColumn("f", F.split("line", "\t")).where("size(f) >= 9")
     names = ("seqid", "source", "type", "start1", "end1", "score", "strand", "phase", "attributes")
     rows = f.select("file", "line_no", *(F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names))).withColumns({"start1": F.col("start1").cast("long"), "end1": F.col("end1").cast("long")}).where("type <> 'region'")
