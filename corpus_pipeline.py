@@ -9,9 +9,8 @@ from strandforge.llm.common import Stage
 from strandforge.llm.decontamination import benchmark_leaks
 from strandforge.llm.line_dedup import dedup_documents
 from strandforge.llm.ngram_join import ngram_jaccard_components
-from strandforge.llm.packing import pack_documents
+from strandforge.llm.packing import pack_documents, word_vocabulary
 from strandforge.llm.quality import keep_quality
-from strandforge.llm.queries import _word_vocabulary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +37,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 4096 tokens."""
-    pieces = pack_documents(docs, _word_vocabulary())
+    pieces = pack_documents(docs, word_vocabulary())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

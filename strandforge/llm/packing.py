@@ -19,6 +19,13 @@ from .ragged_bpe import load
 MAX_PLAN = 2_000_000
 
 
+def word_vocabulary() -> str:
+    """Path of the installed word-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def shortest_pack_first(histogram: dict[int, int], width: int) -> tuple[int, list[tuple[int, int, int, int, int, int, int]]]:
     """Number of sequences, and (length class, rank from, rank to, start, length, first sequence, offset) entries.
 

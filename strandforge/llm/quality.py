@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .common import Stage, mix64, prefix_hash, span_hash, text_chunks, word_spans
 
 #: Rows that fit the classifier: at most so many labelled documents, and so many unlabelled ones for pseudo-labels.
-MAX_LABELLED, MAX_UNLABELLED = 20_000, 10_000
+MAX_LABELLED, MAX_UNLABELLED = 12_000, 6_000
 #: Words that the text view keeps, the most telling ones.
 WORDS = 3000
 STATS = 12
@@ -272,6 +272,8 @@ def fit_quality(stage: Stage, docs: DataFrame, labels: DataFrame, max_labelled:
     stats, meta = flat("stats", STATS, np.float64), flat("meta", 5, np.int64).view(np.uint64)
     held = np.array(t["held"].to_pylist(), dtype=bool)[order]
     value = {c: np.array([-1 if v is None else v for v in t[c].to_pylist()], dtype=np.int64)[order] for c in ("quality", "toxic")}
+    del t, flat
+    pa.default_memory_pool().release_unused()
     rest = np.flatnonzero((value["quality"] < 0) & (value["toxic"] < 0))
     heads = {}
     for name, col in (("good", "quality"), ("toxic", "toxic")):

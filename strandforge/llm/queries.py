@@ -11,7 +11,7 @@ from .decontamination import benchmark_leaks
 from .embedding_dedup import embedding_components
 from .language_id import identify_languages
 from .ngram_join import ngram_jaccard_components
-from .packing import pack_documents
+from .packing import pack_documents, word_vocabulary
 from .quality import classify_quality
 from .token_counts import token_counts
 from .url_filter import DEFAULT_PATTERNS, filter_urls, site_rule
@@ -21,22 +21,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _word_vocabulary() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(_table(spark, sf_dir, "documents"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(_table(spark, sf_dir, "documents"), _word_vocabulary())
+    return token_counts(_table(spark, sf_dir, "documents"), word_vocabulary())
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack_documents(_table(spark, sf_dir, "documents"), _word_vocabulary())
+    pieces = pack_documents(_table(spark, sf_dir, "documents"), word_vocabulary())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -9,8 +9,6 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from tokenizers import Regex, normalizers, pre_tokenizers
 
 _ABSENT = np.int32(np.iinfo(np.int32).max)
 _P = 0xA3B195354A39B70D
@@ -30,6 +28,8 @@ def _byte_symbols() -> list[str]:
 @lru_cache(1)
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Class and single-character lower case of every code point, as the tokenizers library sees them."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
     kind = np.full(sys.maxunicode + 1, OTHER, dtype=np.uint8)
     low = np.arange(sys.maxunicode + 1, dtype=np.uint32)
     points = np.concatenate([np.arange(0xD800), np.arange(0xE000, sys.maxunicode + 1)])
@@ -135,6 +135,8 @@ class RaggedBPE:
 
     def words(self, texts: list[str]):
         """Yields (first text, text after, unique word ids as ragged arrays, word codes, first word of each text)."""
+        import pandas as pd
+
         table = _tables()[0]
         i = 0
         while i < len(texts):
