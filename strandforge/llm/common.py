@@ -45,6 +45,7 @@ class Stage:
         self.n += 1
         path = f"{self.base}/{self.n:03d}-{label}"
         df.write.option("compression", "lz4_raw").parquet(path)
+        self.sweep()
         out = self.spark.read.schema(df.schema).parquet(path)
         out._stage_path = path
         return out
@@ -58,10 +59,9 @@ class Stage:
         self.sweep()
 
     def sweep(self) -> None:
-        """Has Spark's cleaner free the shuffle files of finished plans."""
+        """Has Spark's cleaner free the shuffle files of finished plans, and keeps the driver's heap small."""
         gc.collect()
-        for _ in range(2):
-            self.spark._jvm.System.gc()
+        self.spark._jvm.System.gc()
 
 
 def tune(spark: SparkSession) -> None:

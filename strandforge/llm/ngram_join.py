@@ -140,9 +140,7 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     pre = known.mapInArrow(_prefixes(k, percent, counts), "doc_id long, n int, last long, prefix array<long>")
     pre = pre.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     rows = stage.write(pre.select("doc_id", "n", "last", F.posexplode("prefix").alias("pos", "gram")), "incidence")
-    stage.sweep()
     cols = stage.write(rows.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram"), "columns")
-    stage.sweep()
     shared = stage.write(rows.join(cols, "gram"), "shared")
     stage.drop(rows, cols)
 
@@ -150,7 +148,6 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     star = shared.join(leads, "gram").select(F.struct("doc_id", "n", "pos").alias("x"), F.explode(F.array("lead", "low")).alias("y"))
     star = star.where((F.col("x.doc_id") != F.col("y.doc_id")) & _room("x.n", "x.pos", "y.n", "y.pos", percent))
     star = stage.write(star.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct(), "star")
-    stage.sweep()
     links = stage.write(_verified(known, _accumulated(shared, star, percent), k, percent), "links")
     comps = connected_components(stage, links)
 

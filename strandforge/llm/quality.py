@@ -274,6 +274,7 @@ def fit_quality(stage: Stage, docs: DataFrame, labels: DataFrame, max_labelled:
     value = {c: np.array([-1 if v is None else v for v in t[c].to_pylist()], dtype=np.int64)[order] for c in ("quality", "toxic")}
     del t, flat
     pa.default_memory_pool().release_unused()
+    stage.sweep()
     rest = np.flatnonzero((value["quality"] < 0) & (value["toxic"] < 0))
     heads = {}
     for name, col in (("good", "quality"), ("toxic", "toxic")):
