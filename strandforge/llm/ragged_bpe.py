@@ -15,7 +15,7 @@ _P = 0xA3B195354A39B70D
 _P_INV = pow(_P, -1, 1 << 64)
 SPACE, LETTER, NUMBER, OTHER, SPECIAL = range(5)
 #: Characters of text that one numpy pass holds (a longer single text is handled alone).
-CHUNK_CHARS = 1 << 21
+CHUNK_CHARS = 1 << 19
 
 
 def _byte_symbols() -> list[str]:
