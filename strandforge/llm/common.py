@@ -91,6 +91,7 @@ def byte_table(lower: bool) -> np.ndarray:
 
 
 _TABLES = {True: byte_table(True), False: byte_table(False)}
+_NEXT = {k: mix64(t) | np.uint64(1) for k, t in _TABLES.items()}
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _POW: dict[str, np.ndarray] = {}
@@ -106,17 +107,29 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW["p"], _POW["i"]
 
 
-def prefix_hash(buf: np.ndarray, lower: bool = True) -> np.ndarray:
-    """Prefix sums of a polynomial hash; span_hash() reads any span from them."""
+def prefix_hash(buf: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a polynomial hash over neighbouring bytes, and the bytes' own terms; span_hash() reads any span.
+
+    Terms are products of two neighbours: with one term a byte, sums modulo 2^64 cancel for some regular strings.
+    """
     p, _ = _powers(len(buf))
+    term = _TABLES[lower][buf]
     out = np.zeros(len(buf) + 1, dtype=np.uint64)
-    np.cumsum(_TABLES[lower][buf] * p[: len(buf)], out=out[1:])
-    return out
-
-
-def span_hash(pre: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    _, inv = _powers(len(pre))
-    return mix64((pre[ends] - pre[starts]) * inv[starts])
+    if len(buf) > 1:
+        pair = _NEXT[lower][buf[1:]]
+        pair *= term[:-1]
+        pair *= p[: len(pair)]
+        np.cumsum(pair, out=out[1:-1])
+    return out, term
+
+
+def span_hash(pre: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the spans starts[i] <= k < ends[i], none of them empty."""
+    sums, term = pre
+    _, inv = _powers(len(sums))
+    h = (sums[ends - 1] - sums[starts]) * inv[starts]
+    h += term[ends - 1]
+    return mix64(h)
 
 
 def word_spans(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

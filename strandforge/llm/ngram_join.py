@@ -13,6 +13,8 @@ from .shingles import shingle_sets, signature
 
 #: Cells of the frequency sketch that orders the n-grams of a document; a fixed bound, not a function of the data.
 SKETCH_BITS = 20
+#: Rows of a column that one product holds; longer columns are cut into blocks.
+BLOCK = 512
 
 
 def _needed(n: int, percent: int) -> int:
@@ -48,19 +50,17 @@ def _prefixes(k: int, percent: int, counts):
         weight = counts.value
         mask = np.uint64(len(weight) - 1)
         for b in batches:
-            n, last, parts, size = [], [], [], [0]
+            n, parts, size = [], [], [0]
             for s in shingle_sets(b["text"], k):
                 p = len(s) - _needed(len(s), percent) + 1 if len(s) else 0
-                w = weight[(s & mask).astype(np.int64)]
-                order = np.argsort(w, kind="stable")[:p]
+                # by weight, then by hash: the sets are sorted by hash
+                order = np.argsort(weight[(s & mask).astype(np.int64)], kind="stable")[:p]
                 n.append(len(s))
-                # the order key of the last one: weight, then the hash's upper bits
-                last.append(min(int(w[order[-1]]), (1 << 19) - 1) << 44 | int(s[order[-1]]) >> 20 if p else 0)
                 parts.append(s[order])
                 size.append(size[-1] + p)
             flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), pa.array(n, pa.int32()), pa.array(last, pa.int64()), lists], names=["doc_id", "n", "last", "prefix"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), pa.array(n, pa.int32()), lists], names=["doc_id", "n", "prefix"])
 
     return run
 
@@ -77,52 +77,71 @@ def _sets(k: int, wanted):
     return run
 
 
-def _room(na: str, pa: str, nb: str, pb: str, percent: int):
+def _alike(na: str, nb: str, percent: int) -> str:
+    """Sizes that leave a link possible."""
+    return f"100 * least({na}, {nb}) >= {percent} * greatest({na}, {nb})"
+
+
+def _room(na: str, pa: str, nb: str, pb: str, percent: int) -> str:
     """Sizes and the places of a shared n-gram leave enough possible overlap, if it is the first shared one."""
-    na, pa, nb, pb = map(F.col, (na, pa, nb, pb))
-    room = F.least(na - pa, nb - pb)
-    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * room >= percent * (na + nb))
+    return f"{_alike(na, nb, percent)} and ({100 + percent}) * least({na} - {pa}, {nb} - {pb}) >= {percent} * ({na} + {nb})"
 
 
-def _accumulated(shared: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose overlap counts, accumulated over the incidence rows of both, reach the size-derived bound.
+def _reach(percent: int) -> str:
+    """Whether c shared rows, the last at places xa and xb, may still grow to a link of sets of na and nb n-grams.
 
-    Of two documents, let x be the one whose ordered n-grams end first in the rows. Then each of x's rows that
-    is in the other document is among the other's rows too, and a link leaves at most n - needed of x's out.
+    Of two documents, let one be that whose ordered rows end first. All that both share up to there is counted;
+    beyond it that one has ceil(n * percent / 100) - 1 n-grams left, and the other what follows its last shared one.
     """
-    rows = shared.select("doc_id", "gram", "n", "last")
-    left = pairs.join(rows.toDF("a", "gram", "na", "la"), "a")
-    both = left.join(rows.toDF("b", "gram", "nb", "lb"), ["b", "gram"]).groupBy("a", "b").agg(F.count("*").alias("c"), F.first("na").alias("na"), F.first("la").alias("la"), F.first("nb").alias("nb"), F.first("lb").alias("lb"))
-    needed = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent) - 1e-6)
-    bound = {x: needed - F.ceil(percent * F.col(x) / 100 - 1e-6) + 1 for x in ("na", "nb")}
-    least = F.when(F.col("la") < F.col("lb"), bound["na"]).when(F.col("la") > F.col("lb"), bound["nb"]).otherwise(F.least(bound["na"], bound["nb"]))
-    return both.where(F.col("c") >= least).select("a", "b")
+    need = lambda n: f"({percent} * {n} + 99) div 100"
+    first_a, first_b = f"least({need('na')} - 1, nb - 1 - xb)", f"least({need('nb')} - 1, na - 1 - xa)"
+    return f"{100 + percent} * (c + greatest({first_a}, {first_b})) >= {percent} * (na + nb)"
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets overlap enough, counted on the whole sets."""
+def _product(rows: DataFrame, columns: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs (a, b) of different components, by overlap counts accumulated over the columns' products.
+
+    rows: (gram, doc_id, n, pos, component); columns: (gram, m), their numbers of rows. A column of more than
+    `block` rows is cut into blocks, and each pair of blocks is a product of its own, so that no task holds a
+    whole column. Counts are summed before the shuffle by pair; pairs below the size-derived bounds are discarded.
+    """
+    cut = rows.join(columns, "gram").withColumn("blocks", F.expr(f"cast(ceil(m / {block}) as int)"))
+    cut = cut.withColumn("block", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    cut = cut.select("gram", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), "block", "doc_id", "n", "pos", "component")
+    a, b = (cut.select("gram", "ti", "tj", *(F.col(c).alias(f"{c}_{x}") for c in ("block", "doc_id", "n", "pos", "component"))) for x in "ab")
+    fits = f"doc_id_a < doc_id_b and component_a <> component_b and (ti = tj or block_a <> block_b) and {_alike('n_a', 'n_b', percent)}"
+    both = a.join(b, ["gram", "ti", "tj"]).where(fits).groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
+    counted = both.agg(F.count("*").alias("c"), F.max("pos_a").alias("xa"), F.max("pos_b").alias("xb"), F.min("pos_a").alias("fa"), F.min("pos_b").alias("fb"), F.first("n_a").alias("na"), F.first("n_b").alias("nb"))
+    return counted.where(f"{_room('na', 'fa', 'nb', 'fb', percent)} and {_reach(percent)}").select("a", "b")
+
+
+def _verified(stage: Stage, docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets overlap enough, counted on the whole sets; b may stand in very many pairs."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    # a bounded filter first, so that texts without a candidate are not shingled or shuffled again
+    # a bounded filter, so that texts without a candidate are not shingled or shuffled again
     wanted = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
-    sets = docs.mapInArrow(_sets(k, wanted), "doc_id long, grams array<long>").join(ids, "doc_id", "left_semi")
-    left = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("gb")), "b")
-    both = left.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("ga")), "a")
-    small, large = F.least(F.size("ga"), F.size("gb")), F.greatest(F.size("ga"), F.size("gb"))
-    both = both.where(100 * small >= percent * large)
-    common = F.size(F.array_intersect("ga", "gb"))
-    return both.select("a", "b", common.alias("common"), (F.size("ga") + F.size("gb")).alias("total")).where(f"100 * common >= {percent} * (total - common)").select("a", "b").distinct()
+    sets = stage.write(docs.mapInArrow(_sets(k, wanted), "doc_id long, grams array<long>"), "sets")
+    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("ga")), "a").where("size(ga) > 0")
+    # both sides come straight from a shuffle by b, so that Spark can split a document with very many pairs
+    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("gb")), "b").where(_alike("size(ga)", "size(gb)", percent))
+    found = both.select("a", "b", F.size(F.array_intersect("ga", "gb")).alias("common"), F.expr("size(ga) + size(gb)").alias("total"))
+    out = stage.write(found.where(f"100 * common >= {percent} * (total - common)").select("a", "b").distinct(), "links")
+    stage.drop(sets)
+    return out
 
 
-def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, sketch_bits: int = SKETCH_BITS, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id of the graph of pairs with Jaccard >= percent/100.
 
     Texts are lower-cased (A-Z) and cut into words at ASCII white space; a document's set holds its distinct
     k-word shingles. Equal sets are merged first, so exact copies are never paired. Every other link of two
     sets must share one of the n - ceil(n * percent / 100) + 1 n-grams that come first in a global order; the
-    order is by a bounded frequency sketch, and decides cost only, never the result. The incidence rows of
-    those n-grams are multiplied block by block: first each column's rows with that column's two leading
-    documents, then, for columns that still hold different components, all rows across components whose sizes
-    and positions leave enough possible overlap. Candidates are then counted on whole sets.
+    order is by a bounded frequency sketch, then by hash, and decides cost only, never the result. Two rounds
+    multiply the incidence rows of those n-grams: first each column's rows with the column's two leading
+    documents, of which each document keeps those it meets in most columns, so that this round stays linear;
+    then, for columns that still hold different components, all rows across components, in blocks of `block`
+    rows. Overlap counts are accumulated over the columns and pairs below size-derived bounds discarded; what is
+    left is counted on whole sets.
 
     Null or blank texts have no shingles and link with nothing. A null id gives a null component and no
     links. Of rows that repeat an id each gets its own n_shingles, and a link of one text counts for the id.
@@ -133,35 +152,35 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     scan = stage.write(docs.mapInArrow(_scan(k, sketch_bits), "kind int, doc_id long, n long, sig binary, task int, block int, at binary, counts binary"), "scan")
     feats = scan.where("kind = 0").select("doc_id", "n", "sig")
-    counts = spark.sparkContext.broadcast(sum_cells(scan.where("kind = 1").select("task", "block", "at", "counts"), sketch_bits).clip(0, (1 << 31) - 1).astype(np.int32))
+    counts = spark.sparkContext.broadcast(sum_cells(scan.where("kind = 1").select("task", "block", "at", "counts"), sketch_bits))
     reps = stage.write(feats.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "reps")
     known = docs.where("doc_id is not null")
 
-    pre = known.mapInArrow(_prefixes(k, percent, counts), "doc_id long, n int, last long, prefix array<long>")
+    pre = known.mapInArrow(_prefixes(k, percent, counts), "doc_id long, n int, prefix array<long>")
     pre = pre.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    rows = stage.write(pre.select("doc_id", "n", "last", F.posexplode("prefix").alias("pos", "gram")), "incidence")
+    rows = stage.write(pre.select("doc_id", "n", F.posexplode("prefix").alias("pos", "gram")), "incidence")
     cols = stage.write(rows.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram"), "columns")
     shared = stage.write(rows.join(cols, "gram"), "shared")
     stage.drop(rows, cols)
 
-    leads = shared.groupBy("gram").agg(F.min_by(F.struct("doc_id", "n", "pos"), F.struct("pos", "doc_id")).alias("lead"), F.min_by(F.struct("doc_id", "n", "pos"), "doc_id").alias("low"))
-    star = shared.join(leads, "gram").select(F.struct("doc_id", "n", "pos").alias("x"), F.explode(F.array("lead", "low")).alias("y"))
-    star = star.where((F.col("x.doc_id") != F.col("y.doc_id")) & _room("x.n", "x.pos", "y.n", "y.pos", percent))
-    star = stage.write(star.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct(), "star")
-    links = stage.write(_verified(known, _accumulated(shared, star, percent), k, percent), "links")
+    lead = F.struct("doc_id", "n", "pos")
+    leads = stage.write(shared.groupBy("gram").agg(F.min_by(lead, F.struct("pos", "doc_id")).alias("lead"), F.min_by(lead, "doc_id").alias("low")), "leads")
+    star = shared.join(leads, "gram").select("doc_id", "n", "pos", F.explode(F.expr("array_distinct(array(lead, low))")).alias("y"))
+    star = star.where("doc_id <> y.doc_id and " + _room("n", "pos", "y.n", "y.pos", percent))
+    star = star.groupBy(F.col("doc_id").alias("a"), F.col("y.doc_id").alias("b")).agg(F.count("*").alias("c"))
+    star = star.groupBy("a").agg(F.max(F.struct(F.col("c"), -F.col("b"))).alias("most"), F.min("b").alias("low"))
+    star = stage.write(star.select("a", F.explode(F.expr("array_distinct(array(-most.col2, low))")).alias("b")), "star")
+    links = _verified(stage, known, star, k, percent)
     comps = connected_components(stage, links)
 
     labelled = shared.join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    mixed = labelled.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gram")
-    part = stage.write(labelled.join(mixed, "gram", "left_semi"), "mixed")
-    a = part.select("gram", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("component").alias("ca"))
-    b = part.select("gram", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
-    fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _room("na", "pa", "nb", "pb", percent)
-    pairs = a.join(b, "gram").where(fits).select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
-    rest = stage.write(pairs, "rest")
-    more = stage.write(_verified(known, _accumulated(shared, rest, percent), k, percent), "more")
+    labelled = stage.write(labelled.select("gram", "doc_id", "n", "pos", "component"), "labelled")
+    mixed = labelled.groupBy("gram").agg(F.count("*").alias("m"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gram", "m")
+    mixed = stage.write(mixed, "mixed")
+    rest = stage.write(_product(labelled, mixed, percent, block), "rest")
+    more = _verified(stage, known, rest, k, percent)
     final = connected_components(stage, links.unionByName(more))
-    stage.drop(part, rest, star, shared)
+    stage.drop(shared, leads, star, labelled, mixed, rest)
 
     named = reps.select("sig", "rep").join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("sig", F.coalesce("component", "rep").alias("component"))
     out = feats.join(named, "sig", "left")

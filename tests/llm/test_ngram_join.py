@@ -1,8 +1,11 @@
 import itertools
+import random
 
+import pyarrow as pa
 import pytest
 
 from strandforge.llm.ngram_join import ngram_jaccard_components
+from strandforge.llm.shingles import shingle_sets
 from tests.llm.texts import DOCS, awkward, crowded, split_words
 
 
@@ -60,3 +63,34 @@ def test_repeated_rows_and_empty_table(spark):
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_jaccard_components(spark.createDataFrame(rows, DOCS)).collect())
     assert got == [(1, 2, 1), (1, 2, 1), (2, 2, 1)]
     assert ngram_jaccard_components(spark.createDataFrame([], DOCS)).count() == 0
+
+
+@pytest.mark.parametrize("block,times", [(3, 1), (512, 600_000)])
+def test_blocks_and_heavy_grams(spark, monkeypatch, block, times):
+    """Columns cut into blocks, and frequencies of billions, change nothing."""
+    import strandforge.llm.ngram_join as J
+
+    plain = J.sum_cells
+    monkeypatch.setattr(J, "sum_cells", lambda *a: plain(*a) * times)
+    rnd = random.Random(4)
+    rows = []
+    for family in range(4):
+        base = [f"f{family}w{i}" for i in range(60)]
+        for k in range(12):
+            w = list(base)
+            for _ in range(rnd.randint(0, 3)):
+                w[rnd.randrange(60)] = f"x{rnd.randrange(10**6)}"
+            rows.append((100 * family + k, " ".join(w + ["one", "shared", "tail", "of", "every", "text"]), None, None, None))
+    _, comps = brute(rows)
+    got = {r.doc_id: r.component_id for r in ngram_jaccard_components(spark.createDataFrame(rows, DOCS), block=block).collect()}
+    assert got == comps and 4 <= len(set(comps.values())) < 40
+
+
+def test_hashes_of_regular_strings_differ():
+    """The Thue-Morse word and its complement, which sums of single bytes modulo 2^64 cannot tell apart."""
+    t = "a"
+    for _ in range(13):
+        t += t.translate(str.maketrans("ab", "ba"))
+    other = t.translate(str.maketrans("ab", "ba"))
+    a, b = shingle_sets(pa.array([t, other]))
+    assert a[0] != b[0]
