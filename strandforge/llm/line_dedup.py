@@ -35,8 +35,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and single short lines are never removed.
 
     A null text stays null with 0 lines, an empty one is one empty line. Rows with a null id are kept as they
-    are and compared with nothing. Rows that repeat an id are one document: a chunk at the same place of both
-    counts as one occurrence. Other columns are ignored; an empty table gives an empty table. Only chunk hashes,
+    are and compared with nothing. Rows that repeat an id are documents of their own if their texts differ (the
+    order is then by a hash of the text); rows equal in both are one document, and stay alike. Other columns are ignored; an empty table gives an empty table. Only chunk hashes,
     the texts of repeated chunks, and each text twice are shuffled.
     """
     out = _edited(docs, id_col, text_col, divisor, long_line)
@@ -68,25 +68,26 @@ def _edited(docs: DataFrame, id_col: str, text_col: str, divisor: int, long_line
     stage = Stage(spark, "lines")
     rest = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in docs.columns if c != text_col))
     whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), rest.alias("row"))
+    # rows that repeat an id are told apart by their texts
+    whole = whole.withColumn("version", F.xxhash64("text"))
+    key = ["doc_id", "version"]
     docs = whole.drop("row")
     usable = docs.where("doc_id is not null and text is not null")
     rows = _chunked(usable, divisor, long_line)
-    chunks = rows.select("doc_id", "lines", F.explode(F.expr(_CHUNKS)).alias("c")).withColumn("body", F.expr(_BODY))
-    chunks = chunks.where(f"(c.b > c.a or length(body) >= {long_line}) and length(trim(replace(body, '\\n', ' '))) > 0").select("doc_id", F.col("c.k").alias("k"), F.xxhash64("body").alias("h"))
+    chunks = rows.select(*key, "lines", F.explode(F.expr(_CHUNKS)).alias("c")).withColumn("body", F.expr(_BODY))
+    chunks = chunks.where(f"(c.b > c.a or length(body) >= {long_line}) and length(trim(replace(body, '\\n', ' '))) > 0").select(*key, F.col("c.k").alias("k"), F.xxhash64("body").alias("h"))
     chunks = stage.write(chunks, "chunks")
-    often = chunks.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # both sides of this join come straight from a shuffle, so that Spark can split a hash that very many chunks have
+    often = stage.write(chunks.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "often")
     # the places whose hash repeats, by document, and the bytes that stand there
-    places = chunks.join(often, "h").groupBy("doc_id").agg(F.collect_set("k").alias("ks"))
-    texts = usable.join(places, "doc_id")
-    bodies = _chunked(texts, divisor, long_line).select("doc_id", "lines", F.explode(F.expr(f"filter({_CHUNKS}, c -> array_contains(ks, c.k))")).alias("c")).select("doc_id", F.col("c.k").alias("k"), F.expr(_BODY).alias("body"))
+    places = chunks.join(often, "h").groupBy(*key).agg(F.collect_set("k").alias("ks"))
+    texts = usable.join(places, key)
+    bodies = _chunked(texts, divisor, long_line).select(*key, "lines", F.explode(F.expr(f"filter({_CHUNKS}, c -> array_contains(ks, c.k))")).alias("c")).select(*key, F.col("c.k").alias("k"), F.expr(_BODY).alias("body"))
     bodies = stage.write(bodies.distinct(), "bodies")
-    first = bodies.groupBy("body").agg(F.min("doc_id").alias("d"), F.count("*").alias("n")).where("n > 1").select("body", "d")
-    again = stage.write(bodies.join(first, "body").select("doc_id", "k", "d", F.xxhash64("body").alias("h"), F.md5("body").alias("m")), "again")
-    lead = again.where("doc_id = d").groupBy("h", "m", "d").agg(F.min("k").alias("k0"))
-    drop = again.where("doc_id <> d").select("doc_id", "k")
-    own = again.where("doc_id = d").join(lead, ["h", "m", "d"]).where("k <> k0").select("doc_id", "k")
-    gone = drop.unionByName(own).groupBy("doc_id").agg(F.collect_set("k").alias("gone"))
-    out = whole.join(gone, "doc_id", "left")
+    # the first place of each body stays; a body that occurs once is its own first
+    first = bodies.groupBy("body").agg(F.min(F.struct(*key, "k")).alias("first")).select("first.*")
+    gone = bodies.select(*key, "k").join(first, [*key, "k"], "left_anti").groupBy(*key).agg(F.collect_set("k").alias("gone"))
+    out = whole.join(gone, key, "left")
     touched = _chunked(out, divisor, long_line)
     kept = F.expr(f"filter({_CHUNKS}, c -> not array_contains(gone, c.k))")
     touched = touched.withColumn("left", F.when(F.col("gone").isNotNull(), F.transform(kept, lambda c: F.array_join(F.slice("lines", c["a"] + 1, c["b"] - c["a"] + 1), "\n"))))

@@ -67,3 +67,10 @@ def test_plan_is_native(spark):
     df = spark.createDataFrame(table(1), DOCS)
     plan = line_dedup.dedup_lines(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_ids_keep_what_stands_nowhere_else(spark):
+    shared, own = "x" * 250, "y" * 250
+    rows = [(1, shared, None, None, 0), (2, shared, None, None, 0), (2, own, None, None, 0), (3, own + "\n" + shared, None, None, 0), (3, own + "\n" + shared, None, None, 0)]
+    got = sorted((r.doc_id, r.text, r.removed_lines) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS)).collect())
+    assert got == [(1, shared, 0), (2, "", 1), (2, own, 0), (3, "", 2), (3, "", 2)]
