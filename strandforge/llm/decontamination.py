@@ -51,17 +51,20 @@ class Templates:
         self.first = np.searchsorted(text, np.arange(len(bounds)))
         n = len(self.start)
         opens = np.ones(n, dtype=bool)
+        #: whether a token, or the end, stands first on its line
+        self.new_line = np.ones(n + 1, dtype=bool)
         if n > 1:
             tail = buf[raw_end[real][:-1] - 1]
             opens[1:] = np.isin(tail, np.frombuffer(b".!?:", dtype=np.uint8)) | (text[1:] != text[:-1])
             line = np.cumsum(np.concatenate([[0], buf == 10]))
-            opens[1:] |= line[self.start[1:]] != line[self.start[:-1]]
+            self.new_line[1:n] = (line[self.start[1:]] != line[self.start[:-1]]) | (text[1:] != text[:-1])
+            opens[1:] |= self.new_line[1:n]
         self.literal = span_hash(prefix_hash(buf), self.start, self.end)
         head = buf[self.start] if n else buf[:0]
         second = buf[np.minimum(self.start + 1, self.end - 1)] if n else head
         number = _DIGIT[head]
         unit = np.isin(self.literal, _UNIT_HASH)
-        unit[1:] &= number[:-1]
+        unit[1:] &= number[:-1] & (text[1:] == text[:-1])
         unit[:1] = False
         name = _UPPER[head] & ~opens & ~(_UPPER[second] & (self.end - self.start > 1))
         self.slot = number | unit | name
@@ -69,8 +72,11 @@ class Templates:
         for mask, kind in ((name, "name"), (unit, "unit"), (number, "number")):
             self.template[mask] = _KINDS[kind]
 
-    def windows(self, size: int, least: int):
-        """(text, place in it, token number, hash) of all windows with at least `least` literal tokens; literal windows too."""
+    def windows(self, size: int, least: int, shortest: int):
+        """(text, place in it, token number, hash) of all windows with at least `least` literal tokens; literal windows too.
+
+        Windows of less than `shortest` tokens are whole lines only.
+        """
         n = len(self.start)
         if n < size:
             z = np.zeros(0, dtype=np.int64)
@@ -78,6 +84,10 @@ class Templates:
         at = np.arange(n - size + 1)
         text = np.searchsorted(self.first, at, side="right") - 1
         whole = at + size <= self.first[text + 1]
+        if size < shortest:
+            whole &= self.new_line[at] & self.new_line[at + size]
+            for k in range(1, size):
+                whole &= ~self.new_line[at + k]
         slots = np.concatenate([[0], np.cumsum(self.slot)])
         used = slots[at + size] - slots[at]
         salt = np.uint64(size)
@@ -92,7 +102,7 @@ _UNIT_HASH = _word_hash(UNITS)
 _ROWS = "id long, place int, size int, tokens int, h long, slots array<string>"
 
 
-def _scan(sizes, wanted, least: int):
+def _scan(sizes, wanted, least: int, shortest: int):
     """Rows of the windows of all given sizes whose hash passes the filter, with the raw values of their slots."""
 
     def run(batches):
@@ -104,7 +114,7 @@ def _scan(sizes, wanted, least: int):
                 own = np.diff(t.first)
                 cols: list[list] = [[] for _ in range(6)]
                 for size in sizes:
-                    text, place, at, h = t.windows(size, least)
+                    text, place, at, h = t.windows(size, least, shortest)
                     if wanted is None:
                         # a short text is one window of its own length; longer ones only have windows of the largest size
                         pick = np.flatnonzero(own[text] == size) if size < max(sizes) else np.arange(len(h))
@@ -128,7 +138,8 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     document, in literal form, and in template form if it has a placeholder and `least_literal` literal tokens.
     Windows of a document and an item on one diagonal form a match; it counts if every item slot value stands
     for one document value throughout. exact tells whether all values are the same. Items of fewer tokens
-    than window, down to `shortest`, are one window; shorter ones are not searched for.
+    than window are one window; those of fewer than `shortest` count only where they are a whole line of a
+    document, as so few words stand in many texts by chance. Items without a token hold nothing.
 
     Null and empty texts hold nothing; null ids of either side are left out. Rows that repeat an id are one
     document or item. Other columns are ignored; an empty table on either side gives an empty table. The item
@@ -139,11 +150,11 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     stage = Stage(spark, "decontaminate")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    sizes = list(range(shortest, window + 1))
-    own = stage.write(items.mapInArrow(_scan(sizes, None, least_literal), _ROWS).distinct(), "items")
-    used = sorted(r.size for r in own.select("size").distinct().collect())  # at most window - shortest + 1 numbers
+    sizes = list(range(1, window + 1))
+    own = stage.write(items.mapInArrow(_scan(sizes, None, least_literal, 0), _ROWS).distinct(), "items")
+    used = sorted(r.size for r in own.select("size").distinct().collect())  # at most window numbers
     wanted = spark.sparkContext.broadcast(id_bitmap(own.select("h"), 22))
-    found = stage.write(docs.mapInArrow(_scan(used, wanted, least_literal), _ROWS).select("id", "place", "h", F.col("slots").alias("values")), "windows")
+    found = stage.write(docs.mapInArrow(_scan(used, wanted, least_literal, shortest), _ROWS).select("id", "place", "h", F.col("slots").alias("values")), "windows")
     both = found.join(own.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "h", "tokens", "slots"), "h").where(F.size("slots") == F.size("values"))
     both = both.select(F.col("id").alias("doc_id"), "item_id", (F.col("place") - F.col("item_place")).alias("shift"), "item_place", "tokens", "slots", "values").distinct()
     both = stage.write(both, "matches")
