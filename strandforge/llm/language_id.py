@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -16,16 +17,62 @@ from .common import Cells, Stage, sum_cells, text_chunks
 #: Hash buckets of byte trigrams a language; a fixed bound of what is broadcast.
 BUCKET_BITS = 15
 MAX_LANGUAGES = 500
-_HIDDEN = re.compile(r"<(script|style|noscript|template|head|nav|footer)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
+_UNSEEN = "script|style|noscript|template|head|nav|footer"
+_MARK = re.compile(rf"<(?:({_UNSEEN})\b|(!--)|/({_UNSEEN})\s*>)", re.I)
 _TAG = re.compile(r"<[^>]*>")
-_DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,8})", re.I)
+_HTML = re.compile(r"<html\b", re.I)
+_LANG = re.compile(r"\blang\s*=\s*(?:[\"']\s*)?([A-Za-z]{2,8})", re.I)
+_LONG_REFERENCE = re.compile(r"&#(?:[0-9]{9,}|[xX][0-9a-fA-F]{9,});?")
 _URL = re.compile(r"^[^:/?#]*://([^/?#]*)([^?#]*)")
 _CODE = re.compile(r"/([A-Za-z]{2})(?=/|$)")
 
 
 def visible_text(page: str | None) -> str:
-    """Text of a page without scripts, styles, navigation and markup."""
-    return html_lib.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", page))) if page else ""
+    """Text of a page without scripts, styles, navigation and markup, in time linear in its length.
+
+    An unseen element without an end, and a comment without one, are ordinary markup.
+    """
+    if not page:
+        return ""
+    marks = list(_MARK.finditer(page))
+    ends: dict[str, list[tuple[int, int]]] = {}
+    for m in marks:
+        if m[3]:
+            ends.setdefault(m[3].lower(), []).append(m.span())
+    at, parts, comment_end = 0, [], 0
+    for m in marks:
+        if m.start() < at or m[3]:
+            continue
+        if m[2]:
+            if 0 <= comment_end < m.end():
+                found = page.find("-->", m.end())
+                comment_end = found + 3 if found >= 0 else -1
+            close = comment_end
+            if close < 0:
+                continue
+        else:
+            own = ends.get(m[1].lower(), [])
+            k = bisect_left(own, (m.end(), 0))
+            if k == len(own):
+                continue
+            close = own[k][1]
+        parts.append(page[at : m.start()])
+        at = close
+    text = " ".join([*parts, page[at:]])
+    cut = text.rfind(">") + 1  # behind it no tag ends
+    return html_lib.unescape(_LONG_REFERENCE.sub("\ufffd", _TAG.sub(" ", text[:cut]) + text[cut:]))
+
+
+def declared_language(page: str | None) -> str:
+    """The lang attribute of an html tag, lower-cased; "" without one."""
+    at = 0
+    while page and (m := _HTML.search(page, at)):
+        end = page.find(">", m.end())
+        end = len(page) if end < 0 else end
+        if found := _LANG.search(page, m.end(), end):
+            return found[1].lower()
+        at = end
+    return ""
 
 
 def address_parts(url: str | None) -> tuple[str, str, str]:
@@ -77,7 +124,7 @@ def _train(stage: Stage, docs: DataFrame, langs: list[str], bits: int) -> np.nda
     return np.log(n / n.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
-def identify_languages(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", text_col: str = "text", lang_col: str = "lang", temper: float = 0.2, strength: float = 8.0, bits: int = BUCKET_BITS) -> DataFrame:
+def identify_languages(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", text_col: str = "text", lang_col: str = "lang", temper: float = 0.2, strength: float = 8.0, bits: int = BUCKET_BITS, max_languages: int = MAX_LANGUAGES) -> DataFrame:
     """One row per page: page_id, lang, confidence, text_lang, declared, suffix, host.
 
     Text likelihoods come from byte trigrams counted over all documents of each language. With a flat prior
@@ -89,14 +136,15 @@ def identify_languages(pages: DataFrame, docs: DataFrame, id_col: str = "page_id
     Null pages have no text and undecided likelihoods; null or odd URLs an empty host and suffix; a missing
     declaration is a value of its own. Ids may be null or repeat, each row is judged for itself. Documents with
     a null language or text teach nothing; without any, lang is null and confidence 0. Ties go to the first
-    language by name. Other columns are ignored; an empty table gives an empty table.
+    language by name. Other columns are ignored; an empty table gives an empty table. More than max_languages
+    languages are an error: the table of likelihoods, 2^bits numbers a language, is broadcast.
     """
     spark = pages.sparkSession
     stage = Stage(spark, "language")
     taught = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    langs = sorted(r.lang for r in taught.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    langs = sorted(r.lang for r in taught.select("lang").distinct().limit(max_languages + 1).collect())
+    if len(langs) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     model = spark.sparkContext.broadcast(_train(stage, taught, langs, bits) if langs else np.zeros((0, 1 << bits), dtype=np.float32))
     names = ["page_id", "host", "domain", "declared", "suffix", "ll", "post"]
 
@@ -104,7 +152,7 @@ def identify_languages(pages: DataFrame, docs: DataFrame, id_col: str = "page_id
         logp = model.value
         for b in batches:
             texts = pa.array([visible_text(x) for x in b["html"].to_pylist()], pa.string())
-            declared = [(_DECLARED.search(x) if x else None) for x in b["html"].to_pylist()]
+            declared = [declared_language(x) for x in b["html"].to_pylist()]
             address = [address_parts(u) for u in b["url"].to_pylist()]
             ll = np.zeros((len(texts), len(logp)))
             for i, j, buf, bounds in text_chunks(texts):
@@ -116,7 +164,7 @@ def identify_languages(pages: DataFrame, docs: DataFrame, id_col: str = "page_id
             post = np.exp(ll - ll.max(axis=1, keepdims=True, initial=-np.inf)) if len(logp) else ll
             post = post / post.sum(axis=1, keepdims=True) if len(logp) else post
             yield pa.RecordBatch.from_arrays(
-                [b["page_id"], *(pa.array([a[k] for a in address], pa.string()) for k in range(2)), pa.array([m[1].lower() if m else "" for m in declared], pa.string()), pa.array([a[2] for a in address], pa.string()), pa.array(list(ll), pa.list_(pa.float64())), pa.array(list(post), pa.list_(pa.float64()))], names=names
+                [b["page_id"], *(pa.array([a[k] for a in address], pa.string()) for k in range(2)), pa.array(declared, pa.string()), pa.array([a[2] for a in address], pa.string()), pa.array(list(ll), pa.list_(pa.float64())), pa.array(list(post), pa.list_(pa.float64()))], names=names
             )
 
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
@@ -131,7 +179,8 @@ def identify_languages(pages: DataFrame, docs: DataFrame, id_col: str = "page_id
     share = (everything + 1) / (everything + 1).sum()
     out = seen
     for key in ("host", "domain", "declared", "suffix"):
-        out = out.join(seen.groupBy(key).agg(*sums(f"n_{key}")), key)
+        # written first, so that the size of each table of sums is known and a hot host can be split or never shuffled
+        out = out.join(stage.write(seen.groupBy(key).agg(*sums(f"n_{key}")), key), key)
     lists = F.array(*(F.lit(float(x)) for x in share))
     total = F.array(*(F.lit(float(x)) for x in everything))
     own = "zip_with({}, post, (n, p) -> greatest(n - p, 0d))"

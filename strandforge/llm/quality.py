@@ -157,6 +157,12 @@ def _telling(words: list[np.ndarray], y: np.ndarray, most: int) -> np.ndarray:
     return np.sort(uniq[keep[score[keep] > 4]])
 
 
+def constant(answer: bool) -> Head:
+    """The same answer for every document, with a probability of 0.95."""
+    none = np.zeros(0, dtype=np.uint64)
+    return Head(none, (np.zeros(STATS), np.ones(STATS)), np.zeros(STATS + 1), none, np.zeros(1), np.array([0.0, 0.0, 3.0 if answer else -3.0]))
+
+
 def co_train(words, stats, meta, y, pool_words, pool_stats, pool_meta, held=None, rounds: int = 3, confident: float = 0.97, most_words: int = WORDS) -> Head:
     """Fits both views; in each round a view gives its confident pseudo-labels of the pool to the other view.
 
@@ -168,9 +174,7 @@ def co_train(words, stats, meta, y, pool_words, pool_stats, pool_meta, held=None
     held = (np.arange(len(y)) % 5 == 4 if held is None else held) & (len(y) >= 50)
     fit = ~held
     if not len(y) or y[fit].min() == y[fit].max():
-        sure = 3.0 if len(y) and y.max() == 1 and y.min() == 1 else -3.0
-        none = np.zeros(0, dtype=np.uint64)
-        return Head(none, (np.zeros(STATS), np.ones(STATS)), np.append(np.zeros(STATS), 0.0), none, np.zeros(1), np.array([0.0, 0.0, sure]))
+        return constant(bool(len(y)) and y.min() == 1)
     centre, spread = stats[fit].mean(axis=0), stats[fit].std(axis=0) + 1e-6
     dense, pool_dense = ((s - centre) / spread for s in (stats, pool_stats))
     meta_keys = np.unique(meta[fit])
@@ -279,6 +283,9 @@ def fit_quality(stage: Stage, docs: DataFrame, labels: DataFrame, max_labelled:
     heads = {}
     for name, col in (("good", "quality"), ("toxic", "toxic")):
         own = np.flatnonzero(value[col] >= 0)
+        if not len(own):
+            heads[name] = constant(name == "good")
+            continue
         heads[name] = co_train([words[i] for i in own], stats[own], meta[own], value[col][own], [words[i] for i in rest], stats[rest], meta[rest], held[own])
     return heads
 
@@ -305,7 +312,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
     A null or blank text is scored as a text without words. Null metadata are values of their own. Ids may be
     null or repeat, each row is scored for itself; labels that repeat an id count once, for the worse. Without
-    labels of two kinds a property is constant (good without any: 0.95, toxic: 0.05). Other columns are
+    labels of two kinds a property is constant; if no label meets a document, good is 0.95 and toxic 0.05. Other columns are
     ignored; an empty table gives an empty table.
     """
     score = _scorer(docs, labels, id_col, text_col, max_labelled, max_unlabelled, least_good, most_toxic)
@@ -337,8 +344,6 @@ def _scorer(docs, labels, id_col, text_col, max_labelled, max_unlabelled, least_
     """A function from columns of a batch to (good, toxic, keep)."""
     spark = docs.sparkSession
     heads = fit_quality(Stage(spark, "quality"), _prepared(docs, id_col, text_col), labels, max_labelled, max_unlabelled)
-    if not labels.take(1):
-        heads["good"].mix[2] = 3.0
     shared = spark.sparkContext.broadcast(heads)
 
     def score(b):

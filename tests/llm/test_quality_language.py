@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from strandforge.llm.language_id import address_parts, identify_languages, visible_text
+from strandforge.llm.language_id import address_parts, declared_language, identify_languages, visible_text
 from strandforge.llm.quality import classify_quality, co_train, keep_quality, text_features
 from tests.llm.texts import DOCS, awkward, crowded
 
@@ -99,3 +99,25 @@ def test_page_parts():
     assert visible_text("<p>a&amp;b<!-- x --><style>p{}</style> c</p>").split() == ["a&b", "c"]
     assert address_parts("http://u@A.b.Example.co:80/de/x?y") == ("a.b.example.co", "example.co", "/de")
     assert address_parts("http://x.org/long/") == ("x.org", "x.org", ".org") and address_parts(None) == ("", "", "")
+
+
+def test_labels_that_meet_no_document(spark):
+    rows, _ = corpus(30)
+    df = spark.createDataFrame(rows, DOCS)
+    for labels in ([(999, 1, 0)], [(1, None, 0)], [(None, 0, 1)]):
+        got = classify_quality(df, spark.createDataFrame(labels, LABELS)).collect()
+        assert all(r.keep and r.good > 0.9 and r.toxic < 0.1 for r in got)
+
+
+def test_very_long_pages_take_linear_time():
+    import time
+
+    for unit in ("<script ", "<html ", "<!-- ", "<", "</script ", "<style>", "<html lang=" + " " * 50, "&#" + "9" * 50):
+        page = unit * (3_000_000 // len(unit))
+        begin = time.perf_counter()
+        visible_text(page)
+        declared_language(page)
+        assert time.perf_counter() - begin < 10, unit
+    assert visible_text("a<script>b</script >c<!--d-->e<nav>f<b>g") .split() == ["a", "c", "e", "f", "g"]
+    assert visible_text("<!--a<script>--> b </script> c").split() == ["b", "c"] and visible_text("&#" + "9" * 5000 + ";") == "\ufffd"
+    assert declared_language("<HTML class=x\nLANG = 'De-at'>") == "de" and declared_language("<html><p lang=fr>") == "" == declared_language(None)
