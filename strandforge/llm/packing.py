@@ -96,7 +96,7 @@ def by_rank(plan) -> dict[int, tuple[list[int], list[list[tuple[int, int, int, i
     return found
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", width: int = 4096, end_id: int = 2) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", width: int = 4096, end_id: int = 2, max_plan: int = MAX_PLAN) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit).
 
     A document is its token ids and then end_id; a null or empty text is end_id alone. Each document's whole
@@ -105,6 +105,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     tokenised, and shifted by running sums of (length, task) counts, so that no length's documents meet in
     one task. Pieces of a sequence fill it from 0 without gaps; what is left at its end is padding. Ids may be
     null or repeat, each row is a document. Other columns are ignored; an empty table gives an empty table.
+    A plan of more than max_plan entries is an error, since it is broadcast; it grows with the width alone.
     """
     spark = docs.sparkSession
     stage = Stage(spark, "packing")
@@ -133,7 +134,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     sizes = rows.groupBy("rest", "part").agg(F.count("*").alias("m"))
     histogram = {r.rest: r.m for r in sizes.groupBy("rest").agg(F.sum("m").alias("m")).collect()}
     packs, plan = shortest_pack_first(histogram, width)
-    if len(plan) > MAX_PLAN:
+    if len(plan) > max_plan:
         raise ValueError(f"a plan of {len(plan)} entries for width {width} is too large to broadcast")
     table = spark.sparkContext.broadcast(by_rank(plan))
     before = Window.partitionBy("rest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -94,3 +94,22 @@ def test_plan_is_bounded_by_the_width():
         sizes.append(len(plan))
         assert all(0 <= p[1] < p[2] and p[4] > 0 for p in plan)
     assert max(sizes) < 20 * 256
+
+
+def test_words_of_one_hash_are_told_apart(library):
+    """The Thue-Morse word of 4,096 letters and its complement have one polynomial hash modulo 2^64."""
+    t = "a"
+    for _ in range(12):
+        t += t.translate(str.maketrans("ab", "ba"))
+    other = t.translate(str.maketrans("ab", "ba"))
+    texts = [f"{t} {other} x {t}", other, f"{other} {t}"]
+    bpe = load(PATH)
+    assert [list(map(int, x)) for x in bpe.encode(texts)] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_repeated_ids_are_documents_of_their_own(spark):
+    rows = [(1, "a b c", None, None, None), (1, "a b c", None, None, None), (1, "other words", None, None, None), (None, "x", None, None, None)]
+    df = spark.createDataFrame(rows, DOCS)
+    assert sorted(r.n_tokens for r in token_counts(df, PATH).collect()) == [1, 2, 3, 3]
+    pieces = pack_documents(df, PATH).collect()
+    assert sum(r.length for r in pieces) == 1 + 2 + 3 + 3 + 4 and len({(r.sequence_id, r.offset) for r in pieces}) == len(pieces)
