@@ -38,7 +38,7 @@ def site_rule(verdict: str, host: str, path: str = "/") -> UrlRule:
 
 
 def word_rule(verdict: str, name: str, *words: str) -> UrlRule:
-    """A rule for host labels that hold the words one after the other, joined by hyphens or nothing between."""
+    """A rule for host labels that hold the words one after the other, joined by a hyphen or underscore."""
     return UrlRule(name, verdict, rf"[^\0]*(?<![a-z0-9]){'[-_]'.join(map(re.escape, words))}(?![a-z0-9])[^\0]*\0", tuple(words))
 
 
@@ -89,7 +89,8 @@ class RuleIndex:
 
     def judge(self, host: str, path: str, default: str) -> tuple[str | None, str, str | None]:
         """(site rule, verdict, pattern rule)."""
-        subject = f"{host}\0{path}"
+        # NUL separates both; one inside a host counts as any other character
+        subject = host.replace("\0", "\1") + "\0" + path
         fit = [r for r, p in self.always if p.match(subject)]
         for t in tokens_of(host, path):
             fit += [r for r, p in self.by_token.get(t, ()) if p.match(subject)]

@@ -50,3 +50,11 @@ def test_rules_are_found_by_their_rarest_token():
     assert "en" not in site_rule("allow", "b.com", "/x/en").tokens
     assert RuleIndex([site_rule("block", "b.com", "/x/en")], {}).judge(*split_url("http://b.com/x/english"), "allow")[1] == "block"
     assert tokens_of("A.b-c", "/D/e") >= {"b", "c", "d", "e"}
+
+
+def test_a_host_with_nul_is_a_subdomain_too(spark):
+    from strandforge.llm.url_filter import filter_urls, site_rule
+
+    rows = [(1, "http://a\0b.example.net/x"), (2, "http://a\0.net/"), (2, "http://net/"), (2, "http://net/")]
+    got = filter_urls(spark.createDataFrame(rows, "page_id long, url string"), [site_rule("block", "net")]).collect()
+    assert len(got) == 4 and all(r.rule == "net/" for r in got)
