@@ -21,25 +21,37 @@ def _needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def parity_bits(s: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the set's hashes fall in each of about as many cells, 64 cells a number.
+
+    The cells in which two sets differ are no more than the n-grams in which they do; halves of a power of two of
+    cells added up give the parities of half as many.
+    """
+    cells = max(64, 1 << max(0, len(s) - 1).bit_length())
+    odd = np.bincount((s >> np.uint64(24) & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _scan(k: int, bits: int):
     def run(batches):
         cells, task = Cells(bits), TaskContext.get().partitionId()
-        names = ["kind", "doc_id", "n", "sig", "task", "block", "at", "counts"]
-        types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        names = ["kind", "doc_id", "n", "sig", "odd", "task", "block", "at", "counts"]
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
         for b in batches:
-            n, sig = [], []
+            n, sig, odd = [], [], []
             for s in shingle_sets(b["text"], k):
                 n.append(len(s))
                 sig.append(signature(s) if len(s) else None)
+                odd.append(parity_bits(s))
                 cells.add(s)
             m = len(n)
-            none = [pa.nulls(m, t) for t in types[4:]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(m, np.int32)), b["doc_id"].cast(pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), *none], names=names)
+            none = [pa.nulls(m, t) for t in types[5:]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(m, np.int32)), b["doc_id"].cast(pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(odd, types[4]), *none], names=names)
         rows = list(cells.rows())
         if rows:
             m = len(rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(m, np.int32)), *(pa.nulls(m, t) for t in types[1:4]), pa.array(np.full(m, task, np.int32)), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=names
+                [pa.array(np.ones(m, np.int32)), *(pa.nulls(m, t) for t in types[1:5]), pa.array(np.full(m, task, np.int32)), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=names
             )
 
     return run
@@ -83,21 +95,10 @@ def _alike(na: str, nb: str, percent: int) -> str:
 
 
 def _room(na: str, pa: str, nb: str, pb: str, percent: int) -> str:
-    """Sizes and the places of a shared n-gram leave enough possible overlap, if it is the first shared one."""
+    """Sizes and the places of a shared n-gram leave enough possible overlap, if no earlier one is shared."""
     return f"{_alike(na, nb, percent)} and ({100 + percent}) * least({na} - {pa}, {nb} - {pb}) >= {percent} * ({na} + {nb})"
 
 
-def _reach(percent: int) -> str:
-    """Whether c shared rows, the last at places xa and xb, may still grow to a link of sets of na and nb n-grams.
-
-    Of two documents, let one be that whose ordered rows end first. All that both share up to there is counted;
-    beyond it that one has ceil(n * percent / 100) - 1 n-grams left, and the other what follows its last shared one.
-    """
-    need = lambda n: f"({percent} * {n} + 99) div 100"
-    first_a, first_b = f"least({need('na')} - 1, nb - 1 - xb)", f"least({need('nb')} - 1, na - 1 - xa)"
-    return f"{100 + percent} * (c + greatest({first_a}, {first_b})) >= {percent} * (na + nb)"
-
-
 def _product(rows: DataFrame, columns: DataFrame, percent: int, block: int) -> DataFrame:
     """Pairs (a, b) of different components, by overlap counts accumulated over the columns' products.
 
@@ -109,24 +110,40 @@ def _product(rows: DataFrame, columns: DataFrame, percent: int, block: int) -> D
     cut = cut.withColumn("block", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     cut = cut.select("gram", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), "block", "doc_id", "n", "pos", "component")
     a, b = (cut.select("gram", "ti", "tj", *(F.col(c).alias(f"{c}_{x}") for c in ("block", "doc_id", "n", "pos", "component"))) for x in "ab")
-    fits = f"doc_id_a < doc_id_b and component_a <> component_b and (ti = tj or block_a <> block_b) and {_alike('n_a', 'n_b', percent)}"
+    fits = f"doc_id_a < doc_id_b and component_a <> component_b and (ti = tj or block_a <> block_b) and {_room('n_a', 'pos_a', 'n_b', 'pos_b', percent)}"
     both = a.join(b, ["gram", "ti", "tj"]).where(fits).groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
-    counted = both.agg(F.count("*").alias("c"), F.max("pos_a").alias("xa"), F.max("pos_b").alias("xb"), F.min("pos_a").alias("fa"), F.min("pos_b").alias("fb"), F.first("n_a").alias("na"), F.first("n_b").alias("nb"))
-    return counted.where(f"{_room('na', 'fa', 'nb', 'fb', percent)} and {_reach(percent)}").select("a", "b")
+    counted = both.agg(F.count("*").alias("c"), F.max("pos_a").alias("xa"), F.max("pos_b").alias("xb"), F.first("n_a").alias("na"), F.first("n_b").alias("nb"))
+    # room shrinks along the order, so c counts all shared n-grams up to the last one that had room
+    return counted.where(f"{100 + percent} * (c + least(na - 1 - xa, nb - 1 - xb)) >= {percent} * (na + nb)").select("a", "b")
+
 
+def _possible(pairs: DataFrame, odd: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the sets' parities leave possible: |A & B| <= (|A| + |B| - differing cells) / 2."""
+    side = lambda x: odd.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("odd").alias(f"o{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(_alike("na", "nb", percent))
+    half = lambda x: f"zip_with(slice({x}, 1, size({x}) div 2), slice({x}, size({x}) div 2 + 1, size({x}) div 2), (p, q) -> p ^ q)"
+    # sizes that leave a link possible differ by one doubling of the cells at most
+    both = both.withColumn("x", F.expr(f"if(size(oa) > size(ob), {half('oa')}, oa)")).withColumn("y", F.expr(f"if(size(ob) > size(oa), {half('ob')}, ob)"))
+    differ = "aggregate(zip_with(x, y, (p, q) -> bit_count(p ^ q)), 0, (s, z) -> s + z)"
+    return both.where(f"{100 + percent} * (na + nb - {differ}) >= {2 * percent} * (na + nb)").select("a", "b")
 
-def _verified(stage: Stage, docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets overlap enough, counted on the whole sets; b may stand in very many pairs."""
+
+def _verified(stage: Stage, docs: DataFrame, odd: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets overlap enough, counted on the whole sets; one document may stand in very many pairs.
+
+    Both sides of each join come straight from a shuffle and nothing behind it needs a document's rows together,
+    so that Spark can split such a document.
+    """
+    pairs = stage.write(_possible(pairs, odd, percent), "possible")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     # a bounded filter, so that texts without a candidate are not shingled or shuffled again
     wanted = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
     sets = stage.write(docs.mapInArrow(_sets(k, wanted), "doc_id long, grams array<long>"), "sets")
-    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("ga")), "a").where("size(ga) > 0")
-    # both sides come straight from a shuffle by b, so that Spark can split a document with very many pairs
-    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("gb")), "b").where(_alike("size(ga)", "size(gb)", percent))
+    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("ga")), "a")
+    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("gb")), "b")
     found = both.select("a", "b", F.size(F.array_intersect("ga", "gb")).alias("common"), F.expr("size(ga) + size(gb)").alias("total"))
-    out = stage.write(found.where(f"100 * common >= {percent} * (total - common)").select("a", "b").distinct(), "links")
-    stage.drop(sets)
+    out = stage.write(found.where(f"common > 0 and 100 * common >= {percent} * (total - common)").select("a", "b"), "links")
+    stage.drop(sets, pairs)
     return out
 
 
@@ -138,10 +155,9 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     sets must share one of the n - ceil(n * percent / 100) + 1 n-grams that come first in a global order; the
     order is by a bounded frequency sketch, then by hash, and decides cost only, never the result. Two rounds
     multiply the incidence rows of those n-grams: first each column's rows with the column's two leading
-    documents, of which each document keeps those it meets in most columns, so that this round stays linear;
-    then, for columns that still hold different components, all rows across components, in blocks of `block`
-    rows. Overlap counts are accumulated over the columns and pairs below size-derived bounds discarded; what is
-    left is counted on whole sets.
+    documents, so that this round stays linear; then, for columns that still hold different components, all rows
+    across components, in blocks of `block` rows. Overlap counts are accumulated over the columns, and pairs below
+    bounds derived from sizes, places and the parities of both sets discarded; what is left is counted on whole sets.
 
     Null or blank texts have no shingles and link with nothing. A null id gives a null component and no
     links. Of rows that repeat an id each gets its own n_shingles, and a link of one text counts for the id.
@@ -150,10 +166,11 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     stage = Stage(spark, "ngram-join")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    scan = stage.write(docs.mapInArrow(_scan(k, sketch_bits), "kind int, doc_id long, n long, sig binary, task int, block int, at binary, counts binary"), "scan")
+    scan = stage.write(docs.mapInArrow(_scan(k, sketch_bits), "kind int, doc_id long, n long, sig binary, odd array<long>, task int, block int, at binary, counts binary"), "scan")
     feats = scan.where("kind = 0").select("doc_id", "n", "sig")
     counts = spark.sparkContext.broadcast(sum_cells(scan.where("kind = 1").select("task", "block", "at", "counts"), sketch_bits))
     reps = stage.write(feats.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "reps")
+    odd = scan.where("kind = 0 and n > 0 and doc_id is not null").select("doc_id", "n", "odd")
     known = docs.where("doc_id is not null")
 
     pre = known.mapInArrow(_prefixes(k, percent, counts), "doc_id long, n int, prefix array<long>")
@@ -167,18 +184,17 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     leads = stage.write(shared.groupBy("gram").agg(F.min_by(lead, F.struct("pos", "doc_id")).alias("lead"), F.min_by(lead, "doc_id").alias("low")), "leads")
     star = shared.join(leads, "gram").select("doc_id", "n", "pos", F.explode(F.expr("array_distinct(array(lead, low))")).alias("y"))
     star = star.where("doc_id <> y.doc_id and " + _room("n", "pos", "y.n", "y.pos", percent))
-    star = star.groupBy(F.col("doc_id").alias("a"), F.col("y.doc_id").alias("b")).agg(F.count("*").alias("c"))
-    star = star.groupBy("a").agg(F.max(F.struct(F.col("c"), -F.col("b"))).alias("most"), F.min("b").alias("low"))
-    star = stage.write(star.select("a", F.explode(F.expr("array_distinct(array(-most.col2, low))")).alias("b")), "star")
-    links = _verified(stage, known, star, k, percent)
+    star = stage.write(star.select(F.col("doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(), "star")
+    links = _verified(stage, known, odd, star, k, percent)
     comps = connected_components(stage, links)
 
     labelled = shared.join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     labelled = stage.write(labelled.select("gram", "doc_id", "n", "pos", "component"), "labelled")
     mixed = labelled.groupBy("gram").agg(F.count("*").alias("m"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gram", "m")
     mixed = stage.write(mixed, "mixed")
-    rest = stage.write(_product(labelled, mixed, percent, block), "rest")
-    more = _verified(stage, known, rest, k, percent)
+    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = stage.write(_product(labelled, mixed, percent, block).join(tried, ["a", "b"], "left_anti"), "rest")
+    more = _verified(stage, known, odd, rest, k, percent)
     final = connected_components(stage, links.unionByName(more))
     stage.drop(shared, leads, star, labelled, mixed, rest)
 
