@@ -36,6 +36,15 @@ def parse_fold(line: str) -> tuple[str, float] | None:
     return (m[1], float(m[2])) if m else None
 
 
+def matched_results(asked: list[str | None], said: str) -> list[tuple[str, float] | None]:
+    """A result for each pair asked for, in order; an error if the program gave more or fewer, as no result could then be told."""
+    found = [r for r in map(parse_fold, said.splitlines()) if r]
+    if len(found) != sum(x is not None for x in asked):
+        raise ValueError(f"{len(found)} results of the folding program for {sum(x is not None for x in asked)} pairs")
+    results = iter(found)
+    return [next(results) if x else None for x in asked]
+
+
 def stacking_energy(top: str, bottom: str) -> float | None:
     """Nearest-neighbour energy of an aligned duplex (an approximation: no loops, ends or dangles); None without a stack."""
     total, seen = INITIATION, False
@@ -76,8 +85,7 @@ def external_program(command: list[str], timeout: int = 3600) -> EnergyProvider:
             asked = [f"{x}&{y}" if x and y else None for x, y in zip(a, b)]
             text = "".join(f"{x}\n" for x in asked if x)
             said = subprocess.run(command, input=text, capture_output=True, text=True, timeout=timeout, check=True).stdout if text else ""
-            found = iter([parse_fold(x) for x in said.splitlines() if "&" in x and "(" in x.partition(" ")[2]])
-            rows = [(next(found, None) if x else None) for x in asked]
+            rows = matched_results(asked, said)
             return pd.DataFrame({"xe": [r[1] if r else None for r in rows], "xd": [r[0] if r else None for r in rows]})
 
         return splits.withColumn("_fold", fold("seq1", "seq2")).withColumns({"xe": F.col("_fold.xe"), "xd": F.col("_fold.xd")}).drop("_fold")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import statistics as T
+from ..staging import staged
 from .intervals import interval_join
 
 ORDER = ["fst_rna", "fst_rna_ori", "sec_rna", "sec_rna_ori"]
@@ -27,6 +28,7 @@ def normalised(freq: DataFrame, by: list[str]) -> DataFrame:
     """Frequencies that sum to 1 over `by`."""
     if not by:
         return normalised(freq.withColumn("_all", F.lit(0)), ["_all"]).drop("_all")
+    freq = staged(freq)
     total = freq.groupBy(*by).agg(F.sum("freq").alias("t"))
     return freq.join(total, by).withColumn("freq", F.col("freq") / F.nullif("t", F.lit(0.0))).drop("t")
 
@@ -53,15 +55,19 @@ def interaction_scores(pairs: DataFrame, by: list[str]) -> DataFrame:
     return pairs.groupBy(*by, *ORDER).agg(F.count("*").alias("supp_reads"), T.global_complementarity("xc").alias("gcs"), T.global_hybridisation("xe").alias("ghs"))
 
 
+def with_frequencies(scores: DataFrame, freq: DataFrame) -> DataFrame:
+    """Adds f1 and f2, the sample's frequencies of both partners; null where a partner has none."""
+    side = lambda p, c: freq.select("sample_id", F.col("name").alias(p), F.col("orientation").alias(f"{p}_ori"), F.col("freq").alias(c))
+    return scores.join(side("fst_rna", "f1"), ["sample_id", "fst_rna", "fst_rna_ori"], "left").join(side("sec_rna", "f2"), ["sample_id", "sec_rna", "sec_rna_ori"], "left")
+
+
 def interaction_stats(scores: DataFrame, freq: DataFrame, reads: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(per replicate with pval, per condition with padj).
 
     scores: by sample_id; freq: (sample_id, orientation, name, freq); reads: (sample_id, n_reads); samples: (sample_id,
     grp, condition, replicate). A replicate without the interaction enters the adjustment with p = 1.
     """
-    f1 = freq.select("sample_id", F.col("name").alias("fst_rna"), F.col("orientation").alias("fst_rna_ori"), F.col("freq").alias("f1"))
-    f2 = freq.select("sample_id", F.col("name").alias("sec_rna"), F.col("orientation").alias("sec_rna_ori"), F.col("freq").alias("f2"))
-    s = scores.join(f1, ["sample_id", "fst_rna", "fst_rna_ori"], "left").join(f2, ["sample_id", "sec_rna", "sec_rna_ori"], "left").join(reads, "sample_id", "left")
+    s = with_frequencies(scores, freq).join(reads, "sample_id", "left")
     same = (F.col("fst_rna") == F.col("sec_rna")) & (F.col("fst_rna_ori") == F.col("sec_rna_ori"))
     s = s.withColumn("n_reads", F.coalesce("n_reads", F.lit(0))).withColumn("pval", T.interaction_pvalue("supp_reads", "n_reads", "f1", "f2", same))
     s = s.join(samples, "sample_id").select("sample_id", "grp", "condition", "replicate", *ORDER, "supp_reads", "gcs", "ghs", "pval")
@@ -100,11 +106,12 @@ def count_table(stats: DataFrame, samples: list[tuple[str, str, int]]) -> DataFr
 
 def graph(interactions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes (id, label, orientation), one for each partner and orientation, and edges (source, target, relation)."""
+    interactions = staged(interactions.select(*ORDER).distinct())
     ends = interactions.select(F.col("fst_rna").alias("label"), F.col("fst_rna_ori").alias("orientation")).union(interactions.select("sec_rna", "sec_rna_ori")).distinct()
     # hashes of the content as ids: no global numbering is needed
     node = lambda a, b: F.hex(F.xxhash64(a, b))
     nodes = ends.select(node("label", "orientation").alias("id"), "label", "orientation")
-    edges = interactions.select(*ORDER).distinct().select(node("fst_rna", "fst_rna_ori").alias("source"), node("sec_rna", "sec_rna_ori").alias("target"), F.lit("basepairing").alias("relation"))
+    edges = interactions.select(node("fst_rna", "fst_rna_ori").alias("source"), node("sec_rna", "sec_rna_ori").alias("target"), F.lit("basepairing").alias("relation"))
     return nodes, edges
 
 
@@ -117,6 +124,7 @@ def annotate_with_clusters(features: DataFrame, clusters: DataFrame, least: int
     seg = lambda k: clusters.where(f"no_splits >= {least}").select(F.concat("clust_id", F.lit(f"_{k}")).alias("seg_id"), "clust_id", F.col(f"chr{k}").alias("chrom"), F.col(f"strand{k}").alias("strand"), F.col(f"start{k}").alias("start1"), F.col(f"end{k}").alias("end1"))
     segs = seg(1).unionByName(seg(2))
     met = interval_join(segs, features, ["chrom"], ("start1", "end1"), ("f_start", "f_end")).where("strand = f_strand")
+    met = staged(met.select("seg_id", "clust_id", "start1", "end1", "feature_no", "f_start", "f_end"))
     ids = lambda c: F.array_sort(F.collect_set(F.when(c, F.col("clust_id"))))
     wider = met.groupBy("feature_no").agg(F.min("start1").alias("lo"), F.max("end1").alias("hi"), ids(F.expr("start1 < f_start")).alias("pre"), ids(F.expr("end1 > f_end")).alias("post"))
     out = features.join(wider, "feature_no", "left")

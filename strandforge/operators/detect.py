@@ -24,12 +24,24 @@ def cigar_ops(cigar: str = "cigar"):
     return F.expr(f"transform(regexp_extract_all({cigar}, '(\\\\d+)([MIDNSHP=X])', 0), x -> named_struct('n', cast(left(x, length(x) - 1) as int), 'op', right(x, 1)))")
 
 
+def until_single(rows: DataFrame) -> DataFrame:
+    """The records of each read up to the first that is not split (xj below 2), which `one` marks."""
+    order = Window.partitionBy("sample_id", "qname").orderBy("rec_no")
+    rows = rows.withColumn("one", F.coalesce(F.col("xj"), F.lit(0)) < 2)
+    return rows.withColumn("before", F.coalesce(F.max("one").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))).where("not before").drop("before")
+
+
+def passing(pairs: DataFrame, opt: Options) -> DataFrame:
+    """Pairs complementary enough, and of low enough energy or none."""
+    return pairs.where((F.col("xc") >= opt.cmplmin) & (F.col("xe").isNull() | (F.col("xe") <= opt.nrgmax)))
+
+
 def gaps(rows: DataFrame) -> DataFrame:
     """One row per N of a CIGAR: (keys, op_no, a, b), the last base before and the first after it, from 0."""
     ops = rows.withColumn("ops", cigar_ops())
     at = "aggregate(slice(ops, 1, i), pos0, (p, o) -> p + if(o.op in ('M', '=', 'X', 'D', 'N'), o.n, 0))"
-    found = ops.withColumn("g", F.explode(F.expr(f"transform(filter(sequence(0, greatest(0, size(ops) - 1)), i -> get(ops, i).op = 'N'), i -> named_struct('op_no', i, 'a', {at} - 1, 'b', {at} + get(ops, i).n))")))
-    return found.select("sample_id", "qname", "rec_no", "rname", "g.*")
+    found = ops.withColumn("g", F.explode_outer(F.expr(f"transform(filter(sequence(0, greatest(0, size(ops) - 1)), i -> get(ops, i).op = 'N'), i -> named_struct('op_no', i, 'a', {at} - 1, 'b', {at} + get(ops, i).n))")))
+    return found.where("g is not null").select("sample_id", "qname", "rec_no", "rname", "g.*")
 
 
 def introns(junctions: DataFrame) -> DataFrame:
@@ -58,7 +70,7 @@ def segments(rows: DataFrame, opt: Options, spliced: DataFrame | None = None) ->
         ops = ops.join(spliced.groupBy(*keys).agg(F.collect_set("op_no").alias("known")), keys, "left")
     else:
         ops = ops.withColumn("known", F.array().cast("array<int>"))
-    numbered = "transform(ops, (o, i) -> named_struct('i', i, 'n', o.n, 'op', o.op, 'cut', o.op = 'N' and not array_contains(coalesce(known, array()), i)))"
+    numbered = "transform(z.ops, (o, i) -> named_struct('i', i, 'n', o.n, 'op', o.op, 'cut', o.op = 'N' and not array_contains(coalesce(z.known, array()), i)))"
     zero = "named_struct('done', cast(array() as array<struct<x:int,y:int,p:bigint,c:string>>), 'x', 1, 'y', 0, 'p', pos0, 'q', pos0, 'c', '')"
     skip = "o.op = 'S'" if opt.exclclipping else "false"
     part = "array(named_struct('x', s.x, 'y', s.y, 'p', s.p, 'c', s.c))"
@@ -69,16 +81,23 @@ def segments(rows: DataFrame, opt: Options, spliced: DataFrame | None = None) ->
       else named_struct('done', s.done, 'x', s.x, 'y', s.y + if(o.op in ('D', 'N'), 0, o.n), 'p', s.p, 'q', s.q + if(o.op in ('M', '=', 'X', 'D', 'N'), o.n, 0), 'c', concat(s.c, o.n, o.op))
     end"""
     walk = f"aggregate({numbered}, {zero}, (s, o) -> {step}, s -> concat(s.done, {part}))"
-    ops = ops.withColumn("walk", F.expr(walk))
-    segs = f"""filter(transform(walk, (w, k) -> named_struct('seg_no', k, 'xx', w.x, 'xy', w.y, 'pos0', w.p, 'cigar', w.c, 'seq', substring(seq, w.x, w.y - w.x + 1), 'qual', substring(qual, w.x, w.y - w.x + 1))),
+    # bound as a lambda's variable, a CIGAR is parsed once
+    segs = f"""filter(transform(flatten(transform(array(struct(ops, known)), z -> {walk})), (w, k) -> named_struct('seg_no', k, 'xx', w.x, 'xy', w.y, 'pos0', w.p, 'cigar', w.c, 'seq', substring(seq, w.x, w.y - w.x + 1), 'qual', substring(qual, w.x, w.y - w.x + 1))),
       w -> length(w.seq) >= {opt.minlen} and length(w.seq) > 0)"""
-    return ops.withColumn("segs", F.expr(segs)).drop("ops", "known", "walk")
+    return ops.withColumn("segs", F.expr(segs)).drop("ops", "known")
+
+
+def each_segment(rows: DataFrame) -> DataFrame:
+    """One row a segment, as struct s, beside the record's other columns."""
+    return rows.withColumn("s", F.explode_outer("segs")).where("s is not null").drop("segs")
 
 
 def pair_segments(rows: DataFrame) -> DataFrame:
     """All pairs i < j of a record's segments that do not overlap in the read: (s1, s2, pair_no)."""
     every = "flatten(transform(segs, (s, i) -> transform(slice(segs, i + 2, size(segs)), t -> named_struct('s1', s, 's2', t))))"
-    return rows.select("sample_id", "qname", "rec_no", "rname", "flag", F.posexplode(F.expr(f"filter({every}, p -> p.s2.xx > p.s1.xy)")).alias("pair_no", "p")).select("*", "p.*").drop("p")
+    # the outer form, since for the other one the planner adds filters that evaluate the whole array twice more
+    found = rows.select("sample_id", "qname", "rec_no", "rname", "flag", F.posexplode_outer(F.expr(f"filter({every}, p -> p.s2.xx > p.s1.xy)")).alias("pair_no", "p"))
+    return found.where("p is not null").select("*", "p.*").drop("p")
 
 
 def route(pairs: DataFrame) -> DataFrame:
@@ -92,10 +111,7 @@ def detect(alignments: DataFrame, opt: Options, junctions: DataFrame | None = No
 
     A read's records count up to the first that is not split (xj below 2); that one makes the read single.
     """
-    rows = filter_alignments(alignments, opt)
-    order = Window.partitionBy("sample_id", "qname").orderBy("rec_no")
-    rows = rows.withColumn("one", F.coalesce(F.col("xj"), F.lit(0)) < 2)
-    rows = rows.withColumn("before", F.coalesce(F.max("one").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))).where("not before").drop("before")
+    rows = until_single(filter_alignments(alignments, opt))
     singles = rows.where("one").drop("one")
     chimeric = rows.where("not one").drop("one")
     spliced = None
@@ -107,8 +123,7 @@ def detect(alignments: DataFrame, opt: Options, junctions: DataFrame | None = No
     pairs = pairs.withColumn("flag", F.col("flag").bitwiseAND(16)).withColumns({"seq1": F.col("s1.seq"), "seq2": F.col("s2.seq")})
     pairs = pairs.withColumn("d", S.duplex_udf(opt.cmplmin, opt.sitelenratio, opt.best_by)("seq1", "seq2")).where("d is not null").select("*", "d.*").drop("d")
     scored = (energies or {"existing": E.existing_energy, "model": E.nearest_neighbour}[opt.energy])(pairs)
-    scored = scored.where(F.col("xe").isNull() | (F.col("xe") <= opt.nrgmax))
-    return singles, route(scored)
+    return singles, route(passing(scored, opt))
 
 
 def run_counts(alignments: DataFrame, singles: DataFrame, splits: DataFrame, opt: Options) -> DataFrame:

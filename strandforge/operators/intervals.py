@@ -37,6 +37,7 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_span:
     if how == "inner":
         return pairs
     if how == "left":
+        pairs = staged(pairs)
         missing = left.join(pairs.select(*left_id).distinct(), left_id, "left_anti")
         return pairs.unionByName(missing, allowMissingColumns=True)
     return left.join(pairs.select(*left_id).distinct(), left_id, how)
@@ -128,7 +129,25 @@ def cluster_boxes(pairs: DataFrame, dist: int = 0) -> DataFrame:
     return boxes.where("_alone").select(*_BOX).unionByName(many.mapInPandas(_merge_sorted(groups, dist), schema))
 
 
+def distinct_spans(*tables: DataFrame) -> DataFrame:
+    """The different rows of tables of the same columns."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out.distinct()
+
+
 def numbered_clusters(clusters: DataFrame) -> DataFrame:
-    """The cluster table: running ids in coordinate order, lengths of both segments."""
-    order = Window.orderBy("chr1", "start1", "start2", "chr2", "end1", "end2", "strand1", "strand2")
-    return clusters.withColumn("clust_id", F.concat(F.lit("cluster"), F.row_number().over(order))).withColumns({"len1": F.expr("end1 + 1 - start1"), "len2": F.expr("end2 + 1 - start2")})
+    """The cluster table: running ids in coordinate order, lengths of both segments.
+
+    Rows are dealt by ranges of the order and numbered within; one number a range reaches the driver.
+    """
+    order = ["chr1", "start1", "start2", "chr2", "end1", "end2", "strand1", "strand2"]
+    dealt = staged(clusters.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    before, offsets = 0, {}
+    for r in sorted(dealt.groupBy("_range").count().collect(), key=lambda r: r["_range"]):
+        offsets[r["_range"]] = before
+        before += r["count"]
+    first = F.element_at(F.create_map(*(F.lit(x) for kv in offsets.items() for x in kv)), F.col("_range")) if offsets else F.lit(0)
+    number = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) + first
+    return dealt.withColumn("clust_id", F.concat(F.lit("cluster"), number.cast("string"))).drop("_range").withColumns({"len1": F.expr("end1 + 1 - start1"), "len2": F.expr("end2 + 1 - start2")})

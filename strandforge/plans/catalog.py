@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..config import Options
 from ..functions import sequence as S
 from ..functions import statistics as T
 from ..operators import analysis as A
 from ..operators import detect as D
-from ..operators.intervals import cluster_boxes, interval_join, islands
+from ..operators.intervals import cluster_boxes, distinct_spans, interval_join, islands
+from ..operators.preproc import zip_mates
 from ..shipping import ship
 from ..sources.readers import attribute
 from ..sources.samples import ROLES, assign_roles
+from ..staging import staged
 from .views import view, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,10 +39,16 @@ def _r(c, n: int = 6):
     return F.round(c, n)
 
 
+def _aligned(spark, d):
+    """The reads as alignment records with a sequence, in the order of segments; some have the mark of a split."""
+    extra = {"seq": "repeat('A', cast(end1 - start1 as int))", "rec_no": "seg * 1000000 + start1 % 1000000", "xj": "cast(if(mapq % 3 = 0, 1, 2) as int)", "rname": "chrom"}
+    return view(spark, d, "reads").withColumns({c: F.expr(e) for c, e in extra.items()})
+
+
 # ---------------------------------------------------------------- scans, filters, catalogue
 @query(f"{with_views('reads')} select read_id, chrom, start1, mapq from v_reads where (flag & 4) = 0 and end1 - start1 > 15 and mapq > 10")
 def q_scan_filter_reads(spark, d):
-    return view(spark, d, "reads").where("flag & 4 = 0 and end1 - start1 > 15 and mapq > 10").select("read_id", "chrom", "start1", "mapq")
+    return D.filter_alignments(_aligned(spark, d), Options(minlen=15, mapq=10)).select("read_id", "chrom", "start1", "mapq")
 
 
 @query(
@@ -55,9 +64,13 @@ def q_last_flag(spark, d):
     return A.last_flags(view(spark, d, "sample").select("grp", "condition", "replicate", "o_orderkey"), ["grp", "condition"], "o_orderkey")
 
 
-@query(f"{with_views('reads')} select qname, cast(count(*) as bigint) as records, min(start1) as lo, max(start1) as hi, min(seg) as first_seg from v_reads group by qname")
+@query(
+    f"""{with_views('reads')}, r as (select *, max(case when mapq % 3 = 0 then 1 else 0 end) over (partition by sample_id, qname order by seg * 1000000 + start1 % 1000000 rows between unbounded preceding and 1 preceding) as before from v_reads)
+select qname, cast(count(*) as bigint) as records, min(start1) as lo, max(start1) as hi, cast(count(case when mapq % 3 = 0 then 1 end) as bigint) as singles from r where coalesce(before, 0) = 0 group by qname"""
+)
 def q_group_by_qname(spark, d):
-    return view(spark, d, "reads").groupBy("qname").agg(F.count("*").alias("records"), F.min("start1").alias("lo"), F.max("start1").alias("hi"), F.min("seg").alias("first_seg"))
+    rows = D.until_single(_aligned(spark, d))
+    return rows.groupBy("qname").agg(F.count("*").alias("records"), F.min("start1").alias("lo"), F.max("start1").alias("hi"), F.count_if("one").alias("singles"))
 
 
 # ---------------------------------------------------------------- sequences
@@ -112,23 +125,44 @@ def q_strip_non_acgt(spark, d):
 
 def _mates(spark, d):
     s = view(spark, d, "seqs")
-    return s.where("doc_id % 2 = 0").selectExpr("doc_id div 2 as read_no", "seq as fwd_seq"), s.where("doc_id % 2 = 1").selectExpr("doc_id div 2 as read_no", "seq as rev_seq")
+    return tuple(s.where(f"doc_id % 2 = {k}").selectExpr("'s' as sample_id", "doc_id div 2 as read_no", "concat('r', doc_id) as id", "seq", "qual") for k in (0, 1))
 
 
 @query(f"{with_views('seqs')} select a.doc_id // 2 as read_no, a.seq as fwd_seq, b.seq as rev_seq from v_seqs a join v_seqs b on a.doc_id % 2 = 0 and b.doc_id % 2 = 1 and a.doc_id // 2 = b.doc_id // 2")
 def q_mate_zip(spark, d):
-    fwd, rev = _mates(spark, d)
-    return fwd.join(rev, "read_no")
+    return zip_mates(*_mates(spark, d)).select("read_no", "fwd_seq", "rev_seq")
 
 
-@query()
+@query(
+    f"""{with_views('seqs')}, s as (select doc_id, seq, concat(substring(seq, 40, 25), 'ACGTTGCA') as other from v_seqs),
+runs as (select *, unnest(list_filter(list_transform(range(1, length(seq) + 1), lambda i: {{'i': i, 'n': coalesce(list_max(list_filter(range(1, length(seq) - i + 2), lambda n: instr(other, substring(seq, i, n)) > 0)), 0)}}), lambda r: r.n >= 5)) as run from s),
+best as (select doc_id, seq, other, arg_min(run, (-run.n, run.i)) as b from runs group by doc_id, seq, other)
+select s.doc_id, case when b is not null then concat(substring(s.seq, 1, b.i + b.n - 1), substring(s.other, instr(s.other, substring(s.seq, b.i, b.n)) + b.n)) end as merged from s left join best on best.doc_id = s.doc_id"""
+)
 def q_lcs_merge(spark, d):
     ship(spark)
     s = view(spark, d, "seqs").withColumn("rev", S.reverse_complement(F.expr("concat(substring(seq, 40, 25), 'ACGTTGCA')")))
     return s.select("doc_id", S.merge_udf(5)("seq", "rev").alias("merged"))
 
 
-@query()
+#: Alignment rows one after the other, each cell the best of the gaps from its left; then every best end is traced back.
+_PAIRS_UP = "case when instr(' AT TA GC CG GT TG ', concat(' ', {}, {}, ' ')) > 0 then 1 else -1 end"
+_DUPLEX = f"""{with_views('seqs').replace('with ', 'with recursive ', 1)}, s as (select doc_id, reverse(substring(seq, 1, 32)) as a, substring(seq, 33, 32) as b from v_seqs),
+h as (select doc_id, a, b, 0 as i, list_transform(range(0, length(b) + 1), lambda j: 0) as cells from s
+  union all select doc_id, a, b, i + 1, list_concat([0], list_transform(range(1, length(b) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: own[k] - 2 * (j - k))))) from
+    (select *, list_transform(range(1, length(b) + 1), lambda j: cast(greatest(0, cells[j] + {_PAIRS_UP.format('substring(a, i + 1, 1)', 'substring(b, j, 1)')}, cells[j + 1] - 2) as bigint)) as own from h where i < length(a))),
+hm as (select doc_id, any_value(a) as a, any_value(b) as b, list(cells order by i) as m, max(list_max(cells)) as top from h group by doc_id),
+tr as (select doc_id, e.i as ei, e.j as ej, e.i, e.j, '' as x, '' as y, 0 as xm, 0 as xl from
+    (select doc_id, m, top, unnest(list_transform(range(0, 33 * 33), lambda c: {{'i': c // 33, 'j': c % 33}})) as e from hm where top > 0) where m[e.i + 1][e.j + 1] = top
+  union all select doc_id, ei, ej, case when diag or up then i - 1 else i end, case when diag or not up then j - 1 else j end, concat(case when diag or up then substring(a, i, 1) else '-' end, x),
+    concat(case when diag or not up then substring(b, j, 1) else '-' end, y), xm + case when diag and i > 1 and j > 1 and m[i][j] > 0 and m[i][j] - 1 = m[i - 1][j - 1] then 1 else 0 end, xl + 1 from
+    (select tr.*, a, b, m, m[i + 1][j + 1] = m[i][j] + {_PAIRS_UP.format('substring(a, i, 1)', 'substring(b, j, 1)')} as diag, m[i + 1][j + 1] = m[i][j + 1] - 2 as up from tr join hm on hm.doc_id = tr.doc_id where m[i + 1][j + 1] > 0)),
+ended as (select tr.*, top from tr join hm on hm.doc_id = tr.doc_id where m[i + 1][j + 1] = 0 and xm / 64.0 >= 0.1),
+last as (select *, row_number() over (partition by doc_id order by ei desc, ej desc) as k from ended)
+select s.doc_id, x as xa1, y as xa2, cast(xl as integer) as xl, cast(xm as integer) as xm, cast(top as integer) as xs, round(xm * 1.0 / xl, 6) as xc, round(xm / 64.0, 6) as xr from s left join last on last.doc_id = s.doc_id and k = 1"""
+
+
+@query(_DUPLEX)
 def q_duplex_align(spark, d):
     ship(spark)
     s = view(spark, d, "seqs").withColumns({"a": F.substring("seq", 1, 32), "b": F.substring("seq", 33, 32)})
@@ -219,19 +253,21 @@ select l_orderkey, l_extendedprice, seg.k as seg_no, cast(seg.xx as integer) as
   {{'k': 1, 'xx': n1 + 1, 'xy': n1 + n2 + 4, 'p': pos0 + n1 + gap, 'c': concat(regexp_extract_all(cigar, '\\d+[A-Z=]')[3], '2D4S')}}]) as seg from c)"""
 )
 def q_cigar_segments(spark, d):
-    from ..config import Options
-
     rows = spark.read.parquet(f"{d}/lineitem.parquet").selectExpr("l_orderkey", "l_extendedprice", "l_partkey * 10 as pos0", f"{_CIGAR} as cigar", "repeat('A', 200) as seq", "repeat('I', 200) as qual")
-    return D.segments(rows, Options()).select("l_orderkey", "l_extendedprice", F.explode("segs").alias("s")).select("l_orderkey", "l_extendedprice", "s.seg_no", "s.xx", "s.xy", "s.pos0", "s.cigar")
+    return D.each_segment(D.segments(rows, Options())).select("l_orderkey", "l_extendedprice", "s.seg_no", "s.xx", "s.xy", "s.pos0", "s.cigar")
 
 
 @query(
-    f"""{with_views('reads')}, u as (select qname, count(*) as n, count(case when (flag & 4) = 0 then 1 end) as mapped, sample_id from v_reads group by qname, sample_id)
-select sample_id, cast(count(*) as bigint) as reads, cast(sum(mapped) as bigint) as aligned, cast(count(case when n = 2 then 1 end) as bigint) as splits, cast(count(case when n > 2 then 1 end) as bigint) as multsplits from u group by sample_id"""
+    f"""{with_views('reads')}, m as (select *, seg = 1 as one from v_reads where (flag & 4) = 0 and end1 - start1 > 5 and mapq > 3),
+two as (select *, count(*) over (partition by sample_id, qname) as n from m where not one)
+select m.sample_id, cast(count(distinct m.qname) as bigint) as reads, cast(count(case when one then 1 end) as bigint) as aligned,
+  cast((select count(*) from two where two.sample_id = m.sample_id and n = 1) as bigint) as splits, cast((select count(distinct qname) from two where two.sample_id = m.sample_id and n > 1) as bigint) as multsplits
+from m group by m.sample_id"""
 )
 def q_run_stats(spark, d):
-    u = view(spark, d, "reads").groupBy("sample_id", "qname").agg(F.count("*").alias("n"), F.count_if(F.expr("flag & 4 = 0")).alias("mapped"))
-    return u.groupBy("sample_id").agg(F.count("*").alias("reads"), F.sum("mapped").alias("aligned"), F.count_if(F.expr("n = 2")).alias("splits"), F.count_if(F.expr("n > 2")).alias("multsplits"))
+    opt = Options(minlen=5, mapq=3)
+    rows = D.filter_alignments(_aligned(spark, d), opt)
+    return D.run_counts(rows, rows.where("seg = 1"), D.route(rows.where("seg > 1")), opt)
 
 
 # ---------------------------------------------------------------- frequencies and interactions
@@ -243,6 +279,11 @@ def _hits(spark, d):
     return A.hits(view(spark, d, "reads"), view(spark, d, "feature"), ["read_id"])
 
 
+def _staged_hits(spark, d):
+    """For plans that use them twice."""
+    return staged(_hits(spark, d).select("read_id", "sample_id", "orientation", "name"))
+
+
 @query(f"{_HITS} select sample_id, orientation, name, round(freq, 6) as freq from freq")
 def q_feature_freq(spark, d):
     return A.feature_frequency(_hits(spark, d), ["read_id"], ["sample_id"]).withColumn("freq", _r("freq"))
@@ -274,9 +315,9 @@ ints as (select x.sample_id, x.cmpl, x.energy, case when (x.partner, x.ori) <= (
 _KEY = "fst_rna, fst_rna_ori, sec_rna, sec_rna_ori"
 
 
-def _interactions(spark, d):
+def _interactions(spark, d, found=None):
     reads = view(spark, d, "reads")
-    best = A.unique_hits(_hits(spark, d), ["read_id"], ["name"]).select("read_id", F.col("orientation").alias("ori"), F.col("name").alias("partner"))
+    best = A.unique_hits(_hits(spark, d) if found is None else found, ["read_id"], ["name"]).select("read_id", F.col("orientation").alias("ori"), F.col("name").alias("partner"))
     order = Window.partitionBy("qname").orderBy("seg", "read_id")
     b = reads.join(best, "read_id").withColumns({"ori2": F.lead("ori").over(order), "partner2": F.lead("partner").over(order)}).where("partner2 is not null")
     return A.partner_key(b, "partner", "ori", "partner2", "ori2").withColumnsRenamed({"cmpl": "xc", "energy": "xe"})
@@ -310,18 +351,26 @@ select s.sample_id, {_KEY}, round(coalesce(a.f, 0), 6) as f1, round(coalesce(b.f
 left join norm b on b.sample_id = s.sample_id and b.name = sec_rna and b.orientation = sec_rna_ori"""
 )
 def q_freq_lookup(spark, d):
-    s = A.interaction_scores(_interactions(spark, d), ["sample_id"])
-    f = A.normalised(A.feature_frequency(_hits(spark, d), ["read_id"], ["sample_id"]), ["sample_id"])
-    named = lambda p, o, c: f.select("sample_id", F.col("name").alias(p), F.col("orientation").alias(o), F.col("freq").alias(c))
-    s = s.join(named("fst_rna", "fst_rna_ori", "f1"), ["sample_id", "fst_rna", "fst_rna_ori"], "left").join(named("sec_rna", "sec_rna_ori", "f2"), ["sample_id", "sec_rna", "sec_rna_ori"], "left")
+    found = _staged_hits(spark, d)
+    s = A.interaction_scores(_interactions(spark, d, found), ["sample_id"])
+    s = A.with_frequencies(s, A.normalised(A.feature_frequency(found, ["read_id"], ["sample_id"]), ["sample_id"]))
     return s.select("sample_id", *A.ORDER, _r(F.coalesce("f1", F.lit(0.0))).alias("f1"), _r(F.coalesce("f2", F.lit(0.0))).alias("f2"))
 
 
-@query()
+@query(
+    f"""{_HITS}{_INTER}, norm as (select sample_id, orientation, name, freq / sum(freq) over (partition by sample_id) as f from freq), s as (select sample_id, {_KEY}, count(*) as x from ints group by sample_id, {_KEY}),
+n as (select sample_id, count(*) as n from v_reads group by sample_id),
+t as (select s.*, n.n, least(1, case when fst_rna = sec_rna and fst_rna_ori = sec_rna_ori then 1 else 2 end * coalesce(a.f * b.f, 0)) as p from s join n on n.sample_id = s.sample_id
+  left join norm a on a.sample_id = s.sample_id and a.name = fst_rna and a.orientation = fst_rna_ori left join norm b on b.sample_id = s.sample_id and b.name = sec_rna and b.orientation = sec_rna_ori),
+tail as (select *, case when x >= n or p <= 0 then 0.0 when p >= 1 then 1.0 else coalesce(list_sum(list_transform(range(x + 1, n + 1), lambda k:
+  exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(p) + (n - k) * ln(1 - p)))), 0.0) end as q from t)
+select sample_id, {_KEY}, cast(x as bigint) as supp_reads, round(case when x < 5 then 1.0 else greatest(1e-10, q) end, 9) as pval from tail"""
+)
 def q_binom_pvalue(spark, d):
     ship(spark)
-    scores = A.interaction_scores(_interactions(spark, d), ["sample_id"])
-    freq = A.normalised(A.feature_frequency(_hits(spark, d), ["read_id"], ["sample_id"]), ["sample_id"])
+    found = _staged_hits(spark, d)
+    scores = A.interaction_scores(_interactions(spark, d, found), ["sample_id"])
+    freq = A.normalised(A.feature_frequency(found, ["read_id"], ["sample_id"]), ["sample_id"])
     reads = view(spark, d, "reads").groupBy("sample_id").agg(F.count("*").alias("n_reads"))
     samples = reads.select("sample_id", F.lit("trtms").alias("grp"), F.lit("c").alias("condition"), F.lit(1).alias("replicate"))
     return A.interaction_stats(scores, freq, reads, samples)[0].select("sample_id", *A.ORDER, "supp_reads", _r("pval", 9).alias("pval"))
@@ -330,16 +379,16 @@ def q_binom_pvalue(spark, d):
 @query(
     """with p as (select o_custkey, list_sort(list(1.0 / (2 + o_orderkey % 17))) as ps from orders group by o_custkey),
 h as (select o_custkey, len(ps) as n, list_sum(list_transform(range(1, len(ps) + 1), lambda i: -ln(least(1.0, ps[i] * len(ps) / i)))) as h from p)
-select o_custkey, round(greatest(1e-10, least(1.0, exp(-h) * list_sum(list_transform(range(0, n), lambda i: power(h, i) / factorial(i::integer))))), 6) as padj from h where n <= 12"""
+select o_custkey, round(case when h = 0 then 1.0 else greatest(1e-10, least(1.0, list_sum(list_transform(range(0, n), lambda i: exp(i * ln(h) - lgamma(i + 1) - h))))) end, 6) as padj from h"""
 )
 def q_padj_fisher(spark, d):
-    p = spark.read.parquet(f"{d}/orders.parquet").groupBy("o_custkey").agg(F.collect_list(F.expr("1d / (2 + o_orderkey % 17)")).alias("ps")).where("size(ps) <= 12")
+    p = spark.read.parquet(f"{d}/orders.parquet").groupBy("o_custkey").agg(F.collect_list(F.expr("1d / (2 + o_orderkey % 17)")).alias("ps"))
     return p.select("o_custkey", _r(T.combined_pvalue("ps")).alias("padj"))
 
 
 @query(f"{with_views('reads')} select read_id, round(cmpl, 6) as cmpl, round(energy, 6) as energy from v_reads where cmpl >= 0.03 and energy <= -4")
 def q_energy_filter(spark, d):
-    return view(spark, d, "reads").where("cmpl >= 0.03 and energy <= -4").select("read_id", _r("cmpl").alias("cmpl"), _r("energy").alias("energy"))
+    return D.passing(view(spark, d, "reads").withColumns({"xc": F.col("cmpl"), "xe": F.col("energy")}), Options(cmplmin=0.03, nrgmax=-4.0)).select("read_id", _r("cmpl").alias("cmpl"), _r("energy").alias("energy"))
 
 
 # ---------------------------------------------------------------- clusters
@@ -402,7 +451,7 @@ def q_cluster_annotate(spark, d):
 @query(f"{with_views('reads', 'feature')} select chrom, start1, end1 from v_reads union select chrom, f_start, f_end from v_feature")
 def q_union_intervals(spark, d):
     f = view(spark, d, "feature").select("chrom", F.col("f_start").alias("start1"), F.col("f_end").alias("end1"))
-    return view(spark, d, "reads").select("chrom", "start1", "end1").unionByName(f).distinct()
+    return distinct_spans(view(spark, d, "reads").select("chrom", "start1", "end1"), f)
 
 
 # ---------------------------------------------------------------- graph

@@ -29,11 +29,14 @@ def align_commands(opt: Options, found: list[samples.Sample]) -> list[str]:
     return out
 
 
-def _adapters(spark: SparkSession, path: str) -> list[str]:
+def _adapters(spark: SparkSession, path: str, most: int = 1000) -> list[str]:
+    """Sequences of a FASTA file in the order of its records; each becomes part of the plan, so more than `most` are an error."""
     if not path:
         return []
-    rows = spark.read.format("fasta").load(path).distinct().orderBy("id", "seq").limit(1000)
-    return [r.seq for r in rows.collect()]
+    rows = spark.read.format("fasta").load(path).orderBy("path", "record_no").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} adapters in {path}")
+    return list(dict.fromkeys(r.seq for r in rows))
 
 
 def _files(found: list[samples.Sample], roles: tuple[str, ...]) -> list[tuple[samples.Sample, str, str]]:

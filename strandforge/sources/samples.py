@@ -19,6 +19,10 @@ ROLES = {
 }
 
 
+#: How names of forward and reverse files end (fixed values); what a subcall writes has its own ending instead.
+MATES = {"R1": ("_R1", "fwd"), "R2": ("_R2", "rev")}
+
+
 @dataclass(frozen=True)
 class Sample:
     group: str
@@ -72,10 +76,19 @@ def outputs(subcall: str, readtype: str, sample: Sample, outdir: str) -> dict[st
     base = os.path.join(outdir, subcall, sample.group, sample.condition)
     first = replace_directory(next(iter(sample.files.values())), base)
     if subcall == "preproc":
-        out = {"forward": add_suffix(first, "_preproc", ("_R1",) if readtype == "PE" else ())}
+        out = {"forward": add_suffix(first, "_preproc", MATES["R1"])}
+        if readtype == "PE":
+            names = {"R1": first, "R2": replace_directory(sample.files["reverse"], base)}
+            for kind in ("only", "unmerged"):
+                for mate, name in names.items():
+                    out[mate + kind] = add_suffix(name, f"_{mate}{kind}", MATES[mate])
+        return out
+    if subcall == "align":
+        bam = {role: replace_directory(path, base).rpartition(".")[0] + ".bam" for role, path in sample.files.items()}
+        out = {"matched": add_suffix(bam["forward"], "_matched")}
         if readtype == "PE":
-            for r in ("R1only", "R2only", "R1unmerged", "R2unmerged"):
-                out[r] = add_suffix(first, f"_preproc_{r}", ("_R1",))
+            out |= {f"matched_{r}": add_suffix(bam[r], "_matched") for r in ("R1only", "R2only")}
+            out["matched_unmerged"] = add_suffix(bam["forward"], "_unmerged_matched", ("_preproc",))
         return out
     if subcall == "detect":
         return {k: add_suffix(first, f"_{k}", ("_matched",)) for k in ("single", "splits", "multsplits")}

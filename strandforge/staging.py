@@ -6,13 +6,22 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; where none is set, a temporary one, but only if all tasks run in this process."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir is not set: staged tables need a folder that all executors share")
+        root = os.path.join(tempfile.gettempdir(), "strandforge-stage")
+    return root.rstrip("/")
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """The same rows, read back from the folder in spark.checkpoint.dir (a temporary one only where none is set)."""
+    """The same rows, read back from the shared folder."""
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "strandforge-stage")
-    path = f"{root.rstrip('/')}/core-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark)}/core-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -70,13 +70,80 @@ def test_catalogue(tmp_path):
     text = samples.catalogue_json("preproc", "PE", found, "/out")
     tree = json.loads(text)["preproc"]
     first = tree["trtms"][0]["samples"][0]
-    assert first["output"]["forward"] == "/out/preproc/trtms/c1/S0_preproc.fastq" and first["output"]["R1only"].endswith("S0_preproc_R1only.fastq")
+    assert first["output"]["forward"] == "/out/preproc/trtms/c1/S0_preproc.fastq" and first["output"]["R1only"].endswith("/S0_R1only.fastq")
     assert "\\/out" in text
     with pytest.raises(FileNotFoundError):
         samples.discover("preproc", "SE", str(tmp_path / "none"))
     assert samples.discover("preproc", "SE", str(tmp_path / "trtms"))[0].group == "trtms"
 
 
+def _file(i, cond, mate=None):
+    return f"S{i}_{cond}" + (f"_{mate}" if mate else "") + ".fastq"
+
+
+@pytest.mark.parametrize("readtype", ["SE", "PE"])
+def test_catalogue_of_the_known_samples(tmp_path, readtype):
+    """The whole document, for eight pairs or twelve single files in two groups and two conditions."""
+    if readtype == "PE":
+        layout = [("ctrls", "cond1", [1]), ("ctrls", "cond2", [2]), ("trtms", "cond1", [3, 4, 5]), ("trtms", "cond2", [6, 7, 8])]
+    else:
+        layout = [("ctrls", "cond1", [1, 2, 3]), ("ctrls", "cond2", [4, 5, 6]), ("trtms", "cond1", [7, 8, 9]), ("trtms", "cond2", [10, 11, 12])]
+    want = {}
+    for g, c, numbers in layout:
+        rows = []
+        for i in numbers:
+            names = {"forward": _file(i, c, "R1"), "reverse": _file(i, c, "R2")} if readtype == "PE" else {"forward": _file(i, c)}
+            for n in names.values():
+                f = tmp_path / g / c / n
+                f.parent.mkdir(parents=True, exist_ok=True)
+                f.write_text("")
+            out = {"forward": _file(i, c, "preproc")} | ({r: _file(i, c, r) for r in ("R1only", "R2only", "R1unmerged", "R2unmerged")} if readtype == "PE" else {})
+            rows.append({"input": {k: f"{tmp_path}/{g}/{c}/{n}" for k, n in names.items()}, "output": {k: f"/out/preproc/{g}/{c}/{n}" for k, n in out.items()}})
+        want.setdefault(g, []).append({"condition": c, "samples": rows})
+    found = samples.discover("preproc", readtype, str(tmp_path / "trtms"), str(tmp_path / "ctrls"))
+    text = samples.catalogue_json("preproc", readtype, found, "/out")
+    assert text == json.dumps({"preproc": want}, indent=4).replace("/", "\\/")
+
+
+def test_other_mate_endings_and_aligned_names():
+    s = samples.Sample("trtms", "c", {"forward": "/in/xfwd.fastq", "reverse": "/in/xrev.fastq"})
+    assert samples.outputs("preproc", "PE", s, "/o") == {"forward": "/o/preproc/trtms/c/x_preproc.fastq", "R1only": "/o/preproc/trtms/c/x_R1only.fastq", "R2only": "/o/preproc/trtms/c/x_R2only.fastq", "R1unmerged": "/o/preproc/trtms/c/x_R1unmerged.fastq", "R2unmerged": "/o/preproc/trtms/c/x_R2unmerged.fastq"}
+    a = samples.Sample("trtms", "c", {r: f"/in/x_{e}.fastq" for r, e in (("forward", "preproc"), ("R1only", "R1only"), ("R1unmerged", "R1unmerged"), ("R2only", "R2only"), ("R2unmerged", "R2unmerged"))})
+    assert samples.outputs("align", "PE", a, "/o") == {"matched": "/o/align/trtms/c/x_preproc_matched.bam", "matched_R1only": "/o/align/trtms/c/x_R1only_matched.bam", "matched_R2only": "/o/align/trtms/c/x_R2only_matched.bam", "matched_unmerged": "/o/align/trtms/c/x_unmerged_matched.bam"}
+
+
+def test_adapters_keep_their_order_and_none_is_dropped(spark, tmp_path):
+    from strandforge.plans.stages import _adapters
+
+    readers.register_formats(spark)
+    f = tmp_path / "a.fa"
+    f.write_text(">z\nACGT\n>a\nGGTT\n>z2\nACGT\n")
+    assert _adapters(spark, str(f)) == ["ACGT", "GGTT"]
+    with pytest.raises(ValueError):
+        _adapters(spark, str(f), most=2)
+
+
+def test_folding_results_meet_their_pairs():
+    from strandforge.functions.energy import matched_results
+
+    said = "AC&GU\n((&)) ( -1.20)\nAA&AA\n..&.. (  0.00)\n"
+    assert matched_results(["AC&GU", None, "AA&AA"], said) == [("((&))", -1.2), None, ("..&..", 0.0)]
+    with pytest.raises(ValueError):
+        matched_results(["AC&GU", "A&C", "AA&AA"], said)
+
+
+def test_clusters_are_numbered_in_order_over_ranges(spark):
+    from strandforge.operators.intervals import numbered_clusters
+
+    rows = [("c%d" % (i % 3), "+", (i * 37) % 101, (i * 37) % 101 + 5, "c1", "-", i % 7, i % 7 + 3, 1) for i in range(90)]
+    df = spark.createDataFrame(rows, "chr1 string, strand1 string, start1 long, end1 long, chr2 string, strand2 string, start2 long, end2 long, no_splits long").repartition(5)
+    got = sorted(numbered_clusters(df).collect(), key=lambda r: int(r.clust_id[7:]))
+    assert [int(r.clust_id[7:]) for r in got] == list(range(1, 91))
+    key = lambda r: (r.chr1, r.start1, r.start2, r.chr2, r.end1)
+    assert [key(r) for r in got] == sorted(map(key, got))
+    assert numbered_clusters(df.limit(0)).count() == 0
+
+
 def test_options(tmp_path):
     assert parse_config("quality = 25 # mean\nadpt5 = \n# c\nwtrim = 1\nmmrate=0.2") == {"quality": 25, "wtrim": True, "mmrate": 0.2}
     f = tmp_path / "p.cfg"
