@@ -41,7 +41,7 @@ def _r(c, n: int = 6):
 
 def _aligned(spark, d):
     """The reads as alignment records with a sequence, in the order of segments; some have the mark of a split."""
-    extra = {"seq": "repeat('A', cast(end1 - start1 as int))", "rec_no": "seg * 1000000 + start1 % 1000000", "xj": "cast(if(mapq % 3 = 0, 1, 2) as int)", "rname": "chrom"}
+    extra = {"seq": "repeat('A', cast(end1 - start1 as int))", "rec_no": "row_number() over (partition by sample_id, qname order by seg, read_id)", "xj": "cast(if(mapq % 3 = 0, 1, 2) as int)", "rname": "chrom"}
     return view(spark, d, "reads").withColumns({c: F.expr(e) for c, e in extra.items()})
 
 
@@ -65,7 +65,7 @@ def q_last_flag(spark, d):
 
 
 @query(
-    f"""{with_views('reads')}, r as (select *, max(case when mapq % 3 = 0 then 1 else 0 end) over (partition by sample_id, qname order by seg * 1000000 + start1 % 1000000 rows between unbounded preceding and 1 preceding) as before from v_reads)
+    f"""{with_views('reads')}, r as (select *, max(case when mapq % 3 = 0 then 1 else 0 end) over (partition by sample_id, qname order by seg, read_id rows between unbounded preceding and 1 preceding) as before from v_reads)
 select qname, cast(count(*) as bigint) as records, min(start1) as lo, max(start1) as hi, cast(count(case when mapq % 3 = 0 then 1 end) as bigint) as singles from r where coalesce(before, 0) = 0 group by qname"""
 )
 def q_group_by_qname(spark, d):
@@ -159,14 +159,14 @@ tr as (select doc_id, e.i as ei, e.j as ej, e.i, e.j, '' as x, '' as y, 0 as xm,
     (select tr.*, a, b, m, m[i + 1][j + 1] = m[i][j] + {_PAIRS_UP.format('substring(a, i, 1)', 'substring(b, j, 1)')} as diag, m[i + 1][j + 1] = m[i][j + 1] - 2 as up from tr join hm on hm.doc_id = tr.doc_id where m[i + 1][j + 1] > 0)),
 ended as (select tr.*, top from tr join hm on hm.doc_id = tr.doc_id where m[i + 1][j + 1] = 0 and xm / 64.0 >= 0.1),
 last as (select *, row_number() over (partition by doc_id order by ei desc, ej desc) as k from ended)
-select s.doc_id, x as xa1, y as xa2, cast(xl as integer) as xl, cast(xm as integer) as xm, cast(top as integer) as xs, round(xm * 1.0 / xl, 6) as xc, round(xm / 64.0, 6) as xr from s left join last on last.doc_id = s.doc_id and k = 1"""
+select s.doc_id, x as xa1, y as xa2, cast(coalesce(xl, 0) as integer) as xl, cast(coalesce(xm, 0) as integer) as xm, cast(coalesce(top, 0) as integer) as xs, round(xm * 1.0 / xl, 6) as xc, round(xm / 64.0, 6) as xr from s left join last on last.doc_id = s.doc_id and k = 1"""
 
 
 @query(_DUPLEX)
 def q_duplex_align(spark, d):
     ship(spark)
     s = view(spark, d, "seqs").withColumns({"a": F.substring("seq", 1, 32), "b": F.substring("seq", 33, 32)})
-    return s.select("doc_id", S.duplex_udf(0.0, 0.1)("a", "b").alias("x")).select("doc_id", "x.xa1", "x.xa2", "x.xl", "x.xm", "x.xs", _r("x.xc").alias("xc"), _r("x.xr").alias("xr"))
+    return s.select("doc_id", S.duplex_udf(0.0, 0.1)("a", "b").alias("x")).select("doc_id", "x.xa1", "x.xa2", *(F.coalesce(f"x.{c}", F.lit(0)).alias(c) for c in ("xl", "xm", "xs")), _r("x.xc").alias("xc"), _r("x.xr").alias("xr"))
 
 
 _ATTR = "concat('ID=gene', cast(p_partkey as varchar(20)), ';gene_name=', p_brand, ';Name=', p_name, ';gene_name=again;product=', p_type)"
