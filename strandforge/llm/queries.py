@@ -11,6 +11,7 @@ from .decontamination import benchmark_leaks
 from .embedding_dedup import embedding_components
 from .language_id import identify_languages
 from .ngram_join import ngram_jaccard_components
+from .oracles import ORACLES  # noqa: F401
 from .packing import pack_documents, word_vocabulary
 from .quality import classify_quality
 from .token_counts import token_counts
@@ -77,4 +78,3 @@ QUERIES = {
     "op9_url_filters": op9_url_filters,
     "op10_lm_scoring": op10_lm_scoring,
 }
-ORACLES: dict[str, str] = {"op5_line_dedup": line_dedup.ORACLE}

@@ -102,6 +102,18 @@ class RuleIndex:
         return None, other.verdict if other else default, other.name if other else None
 
 
+def site_rules(table: DataFrame, most: int = 1_000_000) -> list[UrlRule]:
+    """Site rules of a table (verdict, host, path), null paths as "/"; rows without host or verdict are no rules.
+
+    Rules are broadcast, so more than `most` different ones are an error.
+    """
+    rows = table.select(F.col("verdict").cast("string"), F.col("host").cast("string"), F.coalesce(F.col("path").cast("string"), F.lit("/")).alias("path"))
+    found = rows.where("verdict is not null and host <> ''").distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} rules")
+    return [site_rule(r.verdict, r.host, r.path) for r in sorted(found)]
+
+
 #: Host words of spam, gambling and adult sites: the patterns that judge what no site rule fits.
 DEFAULT_PATTERNS = [
     word_rule("block", "cheap pills", "cheap", "pills"),

@@ -1,8 +1,11 @@
+import collections
 import random
 import re
 
+import pytest
+
 from strandforge.llm.queries import SITE_RULES
-from strandforge.llm.url_filter import DEFAULT_PATTERNS, RuleIndex, UrlRule, filter_urls, site_rule, split_url, tokens_of
+from strandforge.llm.url_filter import DEFAULT_PATTERNS, RuleIndex, UrlRule, filter_urls, site_rule, site_rules, split_url, tokens_of, word_rule
 from tests.llm.texts import crowded
 
 URLS = [
@@ -58,3 +61,32 @@ def test_a_host_with_nul_is_a_subdomain_too(spark):
     rows = [(1, "http://a\0b.example.net/x"), (2, "http://a\0.net/"), (2, "http://net/"), (2, "http://net/")]
     got = filter_urls(spark.createDataFrame(rows, "page_id long, url string"), [site_rule("block", "net")]).collect()
     assert len(got) == 4 and all(r.rule == "net/" for r in got)
+
+
+def test_index_of_thousands_of_rules_equals_trying_all(spark):
+    """Rules fetched by their rarest token are all that can match; most are never tried."""
+    rnd = random.Random(7)
+    names = [f"{rnd.choice('abcdefgh')}{k}" for k in range(400)]
+    host = lambda: ".".join(rnd.choice(names) for _ in range(rnd.randint(1, 3))) + rnd.choice([".net", ".org", ".co.uk"])
+    table = [(rnd.choice(["block", "allow"]), host(), rnd.choice([None, "/", "/a/", "/a/b", "/x-y/"])) for _ in range(4000)] + [(None, "a.net", "/"), ("block", None, "/"), ("block", "", "/")]
+    rules = site_rules(spark.createDataFrame(table + table[:10], "verdict string, host string, path string")) + [word_rule("block", f"w{k}", names[k], names[k + 1]) for k in range(300)]
+    assert len(rules) == len({t for t in ((v, h, p or "/") for v, h, p in table) if t[0] and t[1]}) + 300
+    urls = ["http://" + rnd.choice(["", "www.", names[3] + "-" + names[4] + "."]) + (rnd.choice(table[:4000])[1] if rnd.random() < 0.7 else host()) + rnd.choice(["", "/", "/a/", "/a/b?q", "/x-y/z", "/q"]) for _ in range(400)]
+    compiled = [(r, re.compile(r.pattern)) for r in rules]
+    got = {r.page_id: r for r in filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    found = 0
+    for i, u in enumerate(urls):
+        h, p = split_url(u)
+        fit = [r for r, c in compiled if c.match(h + "\0" + p)]
+        sites, words = [r for r in fit if r.site], [r for r in fit if not r.site]
+        best = max(sites, key=lambda r: (len(r.name), r.name), default=None) or max(words, key=lambda r: r.name, default=None)
+        found += best is not None
+        names_of = {r.verdict for r in sites if best and r.name == best.name} or {best.verdict if best else "allow"}
+        assert got[i].verdict in names_of and got[i].rule == (best.name if best and best.site else None) and got[i].pattern_rule == (best.name if best and not best.site else None)
+    assert found > 200
+    seen = collections.Counter(t for u in urls for t in tokens_of(*split_url(u)))
+    index = RuleIndex(rules, seen)
+    tried = [sum(len(index.by_token.get(t, ())) for t in tokens_of(*split_url(u))) for u in urls]
+    assert not index.always and sum(tried) < 0.02 * len(urls) * len(rules)
+    with pytest.raises(ValueError):
+        site_rules(spark.createDataFrame(table, "verdict string, host string, path string"), most=10)
