@@ -34,11 +34,8 @@ def register_functions(spark: SparkSession) -> None:
 
     @F.pandas_udf("string")
     def lc_substring(a: pd.Series, b: pd.Series) -> pd.Series:
-        def one(x, y):
-            i, _, n = S.common_substring(x, y)
-            return x[i : i + n]
-
-        return pd.Series([one(x, y) if x is not None and y is not None else None for x, y in zip(a, b)])
+        rows = lambda x, y: [t[i : i + n] for t, i, _, n in zip(x, *(v.tolist() for v in S.common_substrings(x, y)))]
+        return pd.Series(S._of_pairs(a, b, rows), dtype="object")
 
     for name, f in {"dna_revcomp": revcomp, "lc_substring": lc_substring, "duplex_align": S.duplex_udf(), "merge_mates": S.merge_udf(5), "binom_sf": binomial_tail_udf(), "hyb_energy": stacking_udf()}.items():
         spark.udf.register(name, f)

@@ -83,26 +83,70 @@ def window_trim(qual: str, left: str, right: str, wsize: int, quality: int) -> C
     return F.expr(f"cast({right} - {wsize} * coalesce(get(filter(sequence(0, greatest(0, {windows} - 1)), k -> k < {windows} and {total} >= {quality * wsize}), 0), {windows}) as int)")
 
 
-# ---------------------------------------------------------------- alignments
+# ---------------------------------------------------------------- alignments, a batch of pairs at once
+#: Cells of alignment matrices that are held at once.
+CELLS = 1 << 22
+
+
+def padded(texts: list[str], fill: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the texts as rows of one matrix, filled up, and their lengths."""
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    out = np.full((len(texts), int(size.max(initial=0))), fill, dtype=np.uint8)
+    out[np.arange(out.shape[1]) < size[:, None]] = np.frombuffer("".join(texts).encode("ascii", "replace"), dtype=np.uint8)
+    return out, size
+
+
+def _alike(first: list[str], second: list[str]):
+    """Places of pairs of like sizes whose matrices together have about CELLS cells."""
+    n, m = (np.array([len(t) + 1 for t in x], dtype=np.int64) for x in (first, second))
+    order = np.lexsort([m, n])
+    at = 0
+    while at < len(order):
+        end, high = at + 1, m[order[at]]
+        while end < len(order):
+            high = max(high, m[order[end]])
+            if (end + 1 - at) * n[order[end]] * high > CELLS:
+                break
+            end += 1
+        yield order[at:end]
+        at = end
+
+
+def common_substrings(first: list[str], second: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places in first, in second, lengths) of the longest common substrings; the first in first, then in second, of equals."""
+    out = np.zeros((3, len(first)), dtype=np.int64)
+    for rows in _alike(first, second):
+        (x, _), (y, _) = padded([first[r] for r in rows], 0), padded([second[r] for r in rows], 1)
+        every = np.arange(len(rows))
+        run = np.zeros((len(rows), y.shape[1] + 1), dtype=np.int32)
+        i, j, best = np.zeros((3, len(rows)), dtype=np.int64)
+        for k in range(x.shape[1]):
+            run[:, 1:] = np.where(y == x[:, k : k + 1], run[:, :-1] + 1, 0)
+            at = run.argmax(axis=1)
+            n = run[every, at]
+            more = n > best
+            i[more], j[more], best[more] = (k - n + 1)[more], (at - n)[more], n[more]
+        out[:, rows] = i, j, best
+    return out[0], out[1], out[2]
+
+
 def common_substring(a: str, b: str) -> tuple[int, int, int]:
-    """(place in a, place in b, length) of the longest common substring; the first in a, then in b, of equals."""
-    if not a or not b:
-        return 0, 0, 0
-    x, y = np.frombuffer(a.encode(), np.uint8), np.frombuffer(b.encode(), np.uint8)
-    run, best = np.zeros(len(y) + 1, dtype=np.int32), (0, 0, 0)
-    for i, c in enumerate(x):
-        run[1:] = np.where(y == c, run[:-1] + 1, 0)
-        j = int(run.argmax())
-        if run[j] > best[2]:
-            best = (i - int(run[j]) + 1, j - int(run[j]), int(run[j]))
-    return best
+    """(place in a, place in b, length) of the longest common substring."""
+    return tuple(int(v[0]) for v in common_substrings([a], [b]))
+
+
+_COMPLEMENT = str.maketrans("ACGTN", "TGCAN")
+
+
+def merged_mates(fwd: list[str], rev: list[str], minovlps: int) -> list[str | None]:
+    """Forward reads, then what the reverse complements of their mates have behind the overlap; null below minovlps."""
+    other = [r[::-1].translate(_COMPLEMENT) for r in rev]
+    found = zip(fwd, other, *(v.tolist() for v in common_substrings(fwd, other)))
+    return [f[: i + n] + o[j + n :] if n and n >= minovlps else None for f, o, i, j, n in found]
 
 
 def merge_mates(fwd: str, rev: str, minovlps: int) -> str | None:
-    """Forward read, then what the reverse complement of its mate has behind the overlap; null below minovlps."""
-    other = rev[::-1].translate(str.maketrans("ACGTN", "TGCAN"))
-    i, j, n = common_substring(fwd, other)
-    return fwd[: i + n] + other[j + n :] if n and n >= minovlps else None
+    return merged_mates([fwd], [rev], minovlps)[0]
 
 
 _PAIRING = np.full((256, 256), -1, dtype=np.int32)
@@ -111,67 +155,95 @@ for _a, _b in ("AT", "TA", "GC", "CG", "GT", "TG"):
 _PAIRING[ord("N"), :] = _PAIRING[:, ord("N")] = 0
 
 
-def duplex_ends(first: str, second: str) -> list[dict]:
-    """Best local duplexes of two strands, one for each best-scoring end, in row order.
+def _duplexes(first: list[str], second: list[str]) -> dict[str, np.ndarray]:
+    """Best local duplexes of each pair, one for each best-scoring end, in row order; x and y hold the alignments from behind.
 
     reverse(first) is aligned with second: +1 for a base pair (G-T too), -1 else, 0 with N, gaps -2. A cell's
     own pair counts as a match only once the path goes on below it, so a full duplex of n has n - 1 matches.
     """
-    a, b = first[::-1], second
-    n, m = len(a), len(b)
-    if not n or not m:
-        return []
-    s = _PAIRING[np.frombuffer(a.encode(), np.uint8)][:, np.frombuffer(b.encode(), np.uint8)]
-    h = np.zeros((n + 1, m + 1), dtype=np.int32)
-    # along anti-diagonals every cell depends on earlier ones alone
-    for d in range(2, n + m + 1):
-        i = np.arange(max(1, d - m), min(n, d - 1) + 1)
-        j = d - i
-        h[i, j] = np.maximum(0, np.maximum(h[i - 1, j - 1] + s[i - 1, j - 1], np.maximum(h[i - 1, j], h[i, j - 1]) - 2))
-    top = int(h.max())
-    if not top:
-        return []
-    found = []
-    for i, j in np.argwhere(h == top):
-        x, y, matches, length = [], [], 0, 0
-        while h[i, j] > 0:
-            if h[i, j] == h[i - 1, j - 1] + s[i - 1, j - 1]:
-                x.append(a[i - 1])
-                y.append(b[j - 1])
-                i, j = i - 1, j - 1
-                if i and j and h[i, j] > 0 and h[i, j] - 1 == h[i - 1, j - 1]:
-                    matches += 1
-            elif h[i, j] == h[i - 1, j] - 2:
-                x.append(a[i - 1])
-                y.append("-")
-                i -= 1
-            else:
-                x.append("-")
-                y.append(b[j - 1])
-                j -= 1
-            length += 1
-        found.append({"xa1": "".join(reversed(x)), "xa2": "".join(reversed(y)), "xl": length, "xm": matches, "xs": top, "xc": matches / length, "xr": matches / (n + len(b))})
-    return found
+    a, n = padded([t[::-1] for t in first], 0)
+    b, m = padded(second, 0)
+    s = _PAIRING[a[:, :, None], b[:, None, :]]
+    h = np.zeros((len(n), a.shape[1] + 1, b.shape[1] + 1), dtype=np.int32)
+    slope = 2 * np.arange(b.shape[1], dtype=np.int32)
+    for i in range(a.shape[1]):
+        own = np.maximum(np.maximum(h[:, i, :-1] + s[:, i], h[:, i, 1:] - 2), 0)
+        # gaps along the row: the best of all cells to the left, less 2 a step
+        h[:, i + 1, 1:] = np.maximum.accumulate(own + slope, axis=1) - slope
+    real = (np.arange(a.shape[1])[None, :, None] < n[:, None, None]) & (np.arange(b.shape[1])[None, None] < m[:, None, None])
+    inner = np.where(real, h[:, 1:, 1:], 0)
+    top = inner.max(axis=(1, 2), initial=0)
+    pair, i, j = np.nonzero((inner == top[:, None, None]) & (inner > 0))
+    i, j = i + 1, j + 1
+    x, y = [], []
+    size, matches = np.zeros(len(pair), dtype=np.int64), np.zeros(len(pair), dtype=np.int64)
+    live = np.arange(len(pair))
+    while len(live):
+        p, k, q = pair[live], i[live], j[live]
+        cell = h[p, k, q]
+        both = cell == h[p, k - 1, q - 1] + s[p, k - 1, q - 1]
+        up = ~both & (cell == h[p, k - 1, q] - 2)
+        for steps, chars in ((x, np.where(both | up, a[p, k - 1], 45)), (y, np.where(up, 45, b[p, q - 1]))):
+            steps.append(np.zeros(len(pair), dtype=np.uint8))
+            steps[-1][live] = chars
+        k, q = k - (both | up), q - ~up
+        i[live], j[live] = k, q
+        size[live] += 1
+        below = h[p, k, q]
+        matches[live] += both & (below > 0) & (below - 1 == h[p, k - 1, q - 1])
+        live = live[below > 0]
+    none = np.zeros((0, len(pair)), dtype=np.uint8)
+    return {"pair": pair, "xl": size, "xm": matches, "xs": top[pair], "xc": matches / np.maximum(size, 1), "xr": matches / np.maximum(n + m, 1)[pair], "x": np.array(x) if x else none, "y": np.array(y) if y else none}
+
+
+def _duplex_row(found: dict[str, np.ndarray], k: int) -> dict:
+    n = int(found["xl"][k])
+    text = {f"xa{i}": found[c][:n, k][::-1].tobytes().decode() for i, c in ((1, "x"), (2, "y"))}
+    return text | {c: int(found[c][k]) for c in ("xl", "xm", "xs")} | {c: float(found[c][k]) for c in ("xc", "xr")}
+
+
+def duplex_ends(first: str, second: str) -> list[dict]:
+    """All best-scoring duplexes of two strands."""
+    found = _duplexes([first], [second])
+    return [_duplex_row(found, k) for k in range(len(found["pair"]))]
+
+
+def best_duplexes(first: list[str], second: list[str], cmplmin: float = 0.0, ratiomin: float = 0.0, best_by: str = "last") -> list[dict | None]:
+    """For each pair the last end (or, best_by="cmpl", the first of the most complementary) that reaches both limits; null if none does."""
+    out: list[dict | None] = [None] * len(first)
+    for rows in _alike(first, second):
+        found = _duplexes([first[r] for r in rows], [second[r] for r in rows])
+        ok = np.flatnonzero((found["xr"] >= ratiomin) & (found["xc"] >= cmplmin))
+        order = ok if best_by == "last" else ok[np.lexsort([-ok, found["xc"][ok], found["pair"][ok]])]
+        pair = found["pair"][order]
+        for k in order[np.append(pair[1:] != pair[:-1], True)] if len(order) else ():
+            out[rows[found["pair"][k]]] = _duplex_row(found, k)
+    return out
 
 
 def best_duplex(first: str, second: str, cmplmin: float = 0.0, ratiomin: float = 0.0, best_by: str = "last") -> dict | None:
-    """The last end (or, best_by="cmpl", the most complementary) that reaches both limits; null if none does."""
-    ok = [e for e in duplex_ends(first, second) if e["xr"] >= ratiomin and e["xc"] >= cmplmin]
-    if not ok:
-        return None
-    return ok[-1] if best_by == "last" else max(ok, key=lambda e: e["xc"])
+    return best_duplexes([first], [second], cmplmin, ratiomin, best_by)[0]
 
 
 DUPLEX = "xa1 string, xa2 string, xl int, xm int, xs int, xc double, xr double"
 
 
+def _of_pairs(a: pd.Series, b: pd.Series, f) -> list:
+    """Results of f for the pairs of which neither is null or empty, null for the others."""
+    rows = [k for k, (x, y) in enumerate(zip(a, b)) if x and y]
+    out: list = [None] * len(a)
+    for k, v in zip(rows, f([a.iat[k] for k in rows], [b.iat[k] for k in rows])):
+        out[k] = v
+    return out
+
+
 def duplex_udf(cmplmin: float = 0.0, ratiomin: float = 0.0, best_by: str = "last"):
     """Arrow function (first, second) -> struct of the duplex, null where there is none."""
 
     @F.pandas_udf(DUPLEX)
     def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         cols = [c.split()[0] for c in DUPLEX.split(", ")]
-        rows = [best_duplex(x, y, cmplmin, ratiomin, best_by) if x and y else None for x, y in zip(a, b)]
+        rows = _of_pairs(a, b, lambda x, y: best_duplexes(x, y, cmplmin, ratiomin, best_by))
         return pd.DataFrame([r or dict.fromkeys(cols) for r in rows], columns=cols)
 
     return run
@@ -180,6 +252,6 @@ def duplex_udf(cmplmin: float = 0.0, ratiomin: float = 0.0, best_by: str = "last
 def merge_udf(minovlps: int):
     @F.pandas_udf("string")
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([merge_mates(x, y, minovlps) if x and y else None for x, y in zip(a, b)])
+        return pd.Series(_of_pairs(a, b, lambda x, y: merged_mates(x, y, minovlps)), dtype="object")
 
     return run

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,37 +24,55 @@ def global_hybridisation(energy: str) -> Column:
     return F.when((med < 0) & (low < 0), -F.sqrt(med * low)).otherwise(F.sqrt(F.abs(med * low)))
 
 
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """Natural log of the gamma function for positive numbers: Stirling's series, above 10 after shifting."""
+    x = np.asarray(x, dtype=np.float64).copy()
+    shift = np.ones_like(x)
+    for _ in range(10):
+        low = x < 10
+        shift = np.where(low, shift * x, shift)
+        x = np.where(low, x + 1, x)
+    u = 1 / (x * x)
+    series = (1 / 12 - u * (1 / 360 - u * (1 / 1260 - u * (1 / 1680 - u * (1 / 1188 - u * 691 / 360360))))) / x
+    return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + series - np.log(shift)
+
+
+def binomial_tails(x: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """P(X > x) of binomial distributions, by the continued fraction of the incomplete beta function."""
+    x, n, p = (np.asarray(v, dtype=np.float64) for v in (x, n, p))
+    out = np.where((p >= 1) & (x < n), 1.0, 0.0)
+    at = np.flatnonzero((p > 0) & (p < 1) & (x < n))
+    a, b, q = x[at] + 1, n[at] - x[at], p[at]
+    front = np.exp(log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * np.log(q) + b * np.log1p(-q))
+    # beyond the mean the fraction of the other tail converges
+    other = q >= (a + 1) / (a + b + 2)
+    a, b, q = np.where(other, b, a), np.where(other, a, b), np.where(other, 1 - q, q)
+    tail = front * _fractions(a, b, q) / a
+    out[at] = np.where(other, 1 - tail, tail)
+    return out
+
+
 def binomial_tail(x: int, n: int, p: float) -> float:
-    """P(X > x) of a binomial distribution, by the continued fraction of the incomplete beta function."""
-    if p <= 0 or x >= n:
-        return 0.0
-    if p >= 1:
-        return 1.0
-    return _beta(x + 1.0, float(n - x), p)
-
-
-def _beta(a: float, b: float, x: float) -> float:
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
-    if x >= (a + 1) / (a + b + 2):
-        return 1 - front * _fraction(b, a, 1 - x) / b
-    return front * _fraction(a, b, x) / a
-
-
-def _fraction(a: float, b: float, x: float, tiny: float = 1e-300) -> float:
-    """Modified Lentz evaluation."""
-    c, d = 1.0, 1 - (a + b) * x / (a + 1)
-    d = 1 / (d if abs(d) > tiny else tiny)
-    out = d
+    return float(binomial_tails(np.array([x]), np.array([n]), np.array([p]))[0])
+
+
+def _fractions(a: np.ndarray, b: np.ndarray, x: np.ndarray, tiny: float = 1e-300) -> np.ndarray:
+    """Modified Lentz evaluation, of all that have not converged yet in step."""
+    solid = lambda v: np.where(np.abs(v) > tiny, v, tiny)
+    c, d = np.ones_like(x), 1 / solid(1 - (a + b) * x / (a + 1))
+    out, result, at = d.copy(), np.ones_like(x), np.arange(len(x))
     for m in range(1, 100_000):
-        for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1 + num * d
-            d = 1 / (d if abs(d) > tiny else tiny)
-            c = 1 + num / c
-            c = c if abs(c) > tiny else tiny
-            out *= c * d
-        if abs(c * d - 1) < 1e-14:
+        if not len(at):
             break
-    return out
+        for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 / solid(1 + num * d)
+            c = solid(1 + num / c)
+            out = out * c * d
+        go = np.abs(c * d - 1) >= 1e-14
+        result[at[~go]] = out[~go]
+        at, a, b, x, c, d, out = (v[go] for v in (at, a, b, x, c, d, out))
+    result[at] = out
+    return result
 
 
 def binomial_tail_udf():
@@ -61,7 +80,10 @@ def binomial_tail_udf():
 
     @F.pandas_udf("double")
     def run(x: pd.Series, n: pd.Series, p: pd.Series) -> pd.Series:
-        return pd.Series([None if pd.isna(a) else binomial_tail(int(a), int(b), float(c)) for a, b, c in zip(x, n, p)], dtype="float64")
+        known = (x.notna() & n.notna() & p.notna()).to_numpy()
+        out = np.full(len(x), np.nan)
+        out[known] = binomial_tails(x[known].to_numpy(), n[known].to_numpy(), p[known].to_numpy())
+        return pd.Series(out).astype(object).where(known, None).astype("Float64")
 
     return run
 

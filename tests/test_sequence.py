@@ -95,3 +95,47 @@ def test_paired_reads_are_routed(spark):
     assert set(got) == {(0, "merged"), (1, "R1unmerged"), (1, "R2unmerged"), (2, "R1only"), (3, "R2only")}
     assert got[0, "merged"].seq == frag and len(got[0, "merged"].qual) == len(frag)
     assert got[3, "R2only"].seq == "G" * 20
+
+
+def _scalar_ends(first, second):
+    """The same alignment, cell by cell."""
+    a, b = first[::-1], second
+    pair = lambda x, y: 0 if "N" in x + y else 1 if x + y in ("AT", "TA", "GC", "CG", "GT", "TG") else -1
+    h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            h[i][j] = max(0, h[i - 1][j - 1] + pair(a[i - 1], b[j - 1]), h[i - 1][j] - 2, h[i][j - 1] - 2)
+    top = max(map(max, h))
+    out = []
+    for i0 in range(len(a) + 1):
+        for j0 in range(len(b) + 1):
+            if not top or h[i0][j0] != top:
+                continue
+            i, j, x, y, matches = i0, j0, "", "", 0
+            while h[i][j] > 0:
+                if h[i][j] == h[i - 1][j - 1] + pair(a[i - 1], b[j - 1]):
+                    x, y, i, j = a[i - 1] + x, b[j - 1] + y, i - 1, j - 1
+                    matches += i > 0 and j > 0 and h[i][j] > 0 and h[i][j] - 1 == h[i - 1][j - 1]
+                elif h[i][j] == h[i - 1][j] - 2:
+                    x, y, i = a[i - 1] + x, "-" + y, i - 1
+                else:
+                    x, y, j = "-" + x, b[j - 1] + y, j - 1
+            out.append({"xa1": x, "xa2": y, "xl": len(x), "xm": matches, "xs": top, "xc": matches / len(x), "xr": matches / (len(a) + len(b))})
+    return out
+
+
+def test_batches_equal_pairs_one_by_one(monkeypatch):
+    rnd = random.Random(11)
+    seq = lambda: "".join(rnd.choice("ACGTACGTACGTN") for _ in range(rnd.randint(1, 40)))
+    pairs = [(seq(), seq()) for _ in range(300)]
+    first, second = map(list, zip(*pairs))
+    monkeypatch.setattr(S, "CELLS", 5000)
+    for cmpl, ratio, by in ((0.0, 0.0, "last"), (0.5, 0.1, "last"), (0.3, 0.0, "cmpl")):
+        got = S.best_duplexes(first, second, cmpl, ratio, by)
+        for (a, b), g in zip(pairs, got):
+            ok = [e for e in _scalar_ends(a, b) if e["xr"] >= ratio and e["xc"] >= cmpl]
+            assert g == ((ok[-1] if by == "last" else max(ok, key=lambda e: e["xc"])) if ok else None)
+    for (a, b), i, j, n in zip(pairs, *S.common_substrings(first, second)):
+        size = max(k for k in range(41) if any(a[p : p + k] in b for p in range(len(a) - k + 1)))
+        p = next(p for p in range(len(a)) if a[p : p + size] in b)
+        assert (i, j, n) == ((p, b.index(a[p : p + size]), size) if size else (0, 0, 0))
