@@ -1,4 +1,8 @@
+import collections
+import math
 import random
+import re
+import zlib
 
 import numpy as np
 
@@ -121,3 +125,104 @@ def test_very_long_pages_take_linear_time():
     assert visible_text("a<script>b</script >c<!--d-->e<nav>f<b>g") .split() == ["a", "c", "e", "f", "g"]
     assert visible_text("<!--a<script>--> b </script> c").split() == ["b", "c"] and visible_text("&#" + "9" * 5000 + ";") == "\ufffd"
     assert declared_language("<HTML class=x\nLANG = 'De-at'>") == "de" and declared_language("<html><p lang=fr>") == "" == declared_language(None)
+
+
+def _languages_one_by_one(pages, docs, bits, temper=0.2, strength=8.0):
+    """Every sum of the fusion in plain Python; (lang, confidence, text_lang, host) of each page."""
+
+    def buckets(text):
+        x = [b + 32 if 65 <= b <= 90 else b for b in text.encode()]
+        x = [b if 97 <= b <= 122 or b >= 128 else 32 for b in x]
+        for a, b, c in zip(x, x[1:], x[2:]):
+            if b != 32 or (a != 32 and c != 32):
+                yield (a << 16 | b << 8 | c) * 0x9E3779B1 % (1 << 32) >> 32 - bits
+
+    taught = [(t, lang) for _, t, lang, *_ in docs if t is not None and lang is not None]
+    langs = sorted({lang for _, lang in taught})
+    counts = {lang: collections.Counter(b for t, own in taught if own == lang for b in buckets(t)) for lang in langs}
+    size = {lang: sum(c.values()) + 0.5 * (1 << bits) for lang, c in counts.items()}
+    seen = []
+    for i, url, page in pages:
+        ll = [temper * sum(math.log((counts[lang][b] + 0.5) / size[lang]) for b in buckets(visible_text(page))) for lang in langs]
+        top = max(ll)
+        post = [math.exp(v - top) for v in ll]
+        host, domain, suffix = address_parts(url)
+        seen.append({"id": i, "ll": ll, "post": [p / sum(post) for p in post], "host": host, "domain": domain, "suffix": suffix, "declared": declared_language(page)})
+    n = range(len(langs))
+    every = [sum(s["post"][k] for s in seen) for k in n]
+    share = [(v + 1) / (sum(every) + len(langs)) for v in every]
+    out = []
+    for s in seen:
+        others = {key: [max(sum(t["post"][k] for t in seen if t[key] == s[key]) - s["post"][k], 0) for k in n] for key in ("host", "domain", "declared", "suffix")}
+        domain = [(others["domain"][k] + strength * share[k]) / (sum(others["domain"]) + strength) for k in n]
+        host = [(others["host"][k] + strength * domain[k]) / (sum(others["host"]) + strength) for k in n]
+        score = [s["ll"][k] + sum(math.log((others[e][k] + 0.5) / (every[k] + 1)) for e in ("declared", "suffix")) + math.log(host[k]) for k in n]
+        best = max(score)
+        out.append((s["id"], langs[score.index(best)], 1 / sum(math.exp(v - best) for v in score), langs[s["ll"].index(max(s["ll"]))] if max(s["ll"]) > min(s["ll"]) else None, s["host"]))
+    return out
+
+
+def test_languages_equal_brute_force(spark):
+    rnd = random.Random(6)
+    voc = {"en": ["the", "thing", "shall", "with"], "de": ["der", "schön", "nicht", "einen"], "fr": ["le", "très", "être", "dans"]}
+    text = lambda lang, n: " ".join(rnd.choice(voc[lang]) for _ in range(n))
+    docs = [(i, text(lang, 30), lang, None, None) for i, lang in enumerate(["en", "de", "fr"] * 7)] + [(50, None, "en", None, None), (51, "x", None, None, None)]
+    pages = [(i, rnd.choice([f"http://h{i % 3}.example.{rnd.choice(['de', 'org'])}/{rnd.choice(['en', 'fr', 'x'])}/{i}", None, "odd"]), rnd.choice(["", "<html lang='de'>", "<html lang=EN>", "<script>der</script>"]) + text(rnd.choice(list(voc)), rnd.randint(0, 4))) for i in range(60)]
+    pages += [(60, None, None), (61, "http://one/", "&amp;"), (61, "http://one/", "&amp;"), (None, "http://h1.example.de/fr/9", "<p>le")]
+    want = _languages_one_by_one(pages, docs, 12)
+    got = [(r.page_id, r.lang, r.confidence, r.text_lang, r.host) for r in identify_languages(crowded(spark.createDataFrame(pages, PAGES)), spark.createDataFrame(docs, DOCS), bits=12).collect()]
+    key = lambda r: (-1 if r[0] is None else r[0], r[1])
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert (a[0], a[1], a[3], a[4]) == (b[0], b[1], b[3], b[4]) and math.isclose(a[2], b[2], rel_tol=1e-4), (a, b)
+
+
+def _quality_one_by_one(heads, rows):
+    """Both properties of each document, word after word."""
+    from strandforge.llm.common import prefix_hash, span_hash
+    from strandforge.llm.quality import _META
+
+    signs = set(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+
+    def word_key(w):
+        buf = np.frombuffer(w, dtype=np.uint8)
+        return int(span_hash(prefix_hash(buf), np.array([0]), np.array([len(buf)]))[0])
+
+    out = []
+    for _, text, lang, source, size in rows:
+        raw = (text or "").encode()
+        words = [w for w in re.split(rb"[\x20\x09-\x0D]+", raw) if w]
+        bare = [w.strip(bytes(signs)) or w for w in words]
+        keys = [word_key(w) for w in bare]
+        n, chars = max(len(words), 1), max(len(raw), 1)
+        letters = sum(65 <= c <= 90 or 97 <= c <= 122 or c >= 128 for c in raw)
+        distinct = len(set(keys))
+        stats = [
+            math.log1p(len(words)), distinct / n, math.log1p(n) * distinct / n, sum(a == b for a, b in zip(keys, keys[1:])) / n,
+            sum(len(w) - len(b) >= 2 for w, b in zip(words, bare)) / n, sum(all(c in signs for c in w) for w in words) / n, sum(65 <= c <= 90 for c in raw) / max(letters, 1), sum(48 <= c <= 57 for c in raw) / chars,
+            sum(c in signs for c in raw) / chars, letters / chars, sum(map(len, words)) / n / 10, float(len(words) < 8),
+        ]
+        bucket = -1 if size is None else int(math.log2(max(size, 0) + 1) * 2)
+        meta = [zlib.crc32(p.encode()) | i << 32 for i, p in enumerate((f"s={source}", f"l={lang}", f"n={bucket}", f"sl={source}|{lang}", f"ln={lang}|{bucket}"))]
+        assert _META == ("source", "lang", "n_chars")
+        answer = {}
+        for name, h in heads.items():
+            places = {int(v): k for k, v in enumerate(h.chosen)}
+            z = sum((s - c) / d * w for s, c, d, w in zip(stats, *h.scale, h.text[len(h.chosen) : -1])) + h.text[-1] + sum(h.text[places[k]] for k in set(keys) if k in places)
+            known = {int(v): k for k, v in enumerate(h.meta_keys)}
+            m = sum(h.meta[known[k]] for k in meta if k in known) + h.meta[-1]
+            answer[name] = 1 / (1 + math.exp(-(h.mix[0] * z + h.mix[1] * m + h.mix[2])))
+        out.append((answer["good"], answer["toxic"], answer["good"] >= 0.5 and answer["toxic"] < 0.5))
+    return out
+
+
+def test_scores_equal_brute_force(spark, monkeypatch):
+    import strandforge.llm.quality as Q
+
+    rows, labels = corpus(200, seed=3)
+    rows += [(900 + i, t, "en", None, None) for i, t in enumerate([None, "", "...", "(A) b!! b!!", "Été 12 x"])]
+    heads = {}
+    plain = Q.fit_quality
+    monkeypatch.setattr(Q, "fit_quality", lambda *a: heads.update(plain(*a)) or heads)
+    got = {r.doc_id: (r.good, r.toxic, r.keep) for r in classify_quality(crowded(spark.createDataFrame(rows, DOCS)), spark.createDataFrame(labels, LABELS)).collect()}
+    for row, want in zip(rows, _quality_one_by_one(heads, rows)):
+        assert np.allclose(got[row[0]][:2], want[:2], rtol=1e-6) and got[row[0]][2] == want[2], row
