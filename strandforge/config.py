@@ -46,8 +46,18 @@ class Options:
     #: forms that differ on purpose: see README
     best_by: str = "last"
     energy: str = "existing"
+    #: also one file a sample and kind, named as in data.json, and graph.json: written by the driver, file by file
+    named: bool = False
+    #: other forms of some steps: clusters as "box" (merged until none overlap) or "pairwise" (chains of overlapping pairs),
+    #: merged reads with what the mate has before the overlap, reads without their last base, reads one base wider on the left
+    linkage: str = "box"
+    compat_merge_prefix: bool = False
+    compat_drop_last_base: bool = False
+    compat_coords: bool = False
 
     def check(self, subcall: str) -> None:
+        if self.linkage not in ("box", "pairwise"):
+            raise ValueError(f"unknown linkage {self.linkage!r}")
         if subcall not in SUBCALLS:
             raise ValueError(f"unknown subcall {subcall!r}")
         if not self.trtms:

@@ -22,7 +22,7 @@ class CigarSegments:
 
 
 def register_functions(spark: SparkSession) -> None:
-    """dna_revcomp, lc_substring, duplex_align, merge_mates, binom_sf, hyb_energy and the table function cigar_segments."""
+    """dna_revcomp, adapter_pos, lc_substring, duplex_align, merge_mates, binom_sf, chi2_sf_even, hyb_energy and the table function cigar_segments."""
     from .energy import stacking_udf
 
     ship(spark)
@@ -37,6 +37,17 @@ def register_functions(spark: SparkSession) -> None:
         rows = lambda x, y: [t[i : i + n] for t, i, _, n in zip(x, *(v.tolist() for v in S.common_substrings(x, y)))]
         return pd.Series(S._of_pairs(a, b, rows), dtype="object")
 
+    @F.pandas_udf("long")
+    def adapter_pos(seq: pd.Series, adapter: pd.Series, mmrate: pd.Series) -> pd.Series:
+        found = [S.find_adapter(s, a, r) if s is not None and a else None for s, a, r in zip(seq, adapter, mmrate)]
+        return pd.Series(found, dtype="Int64")
+
+    spark.udf.register("adapter_pos", adapter_pos)
+    # P(chi-square with 2 k degrees of freedom > x), in closed form
+    spark.sql(
+        "create or replace temporary function chi2_sf_even(x double, k int) returns double return "
+        "case when x <= 0 then 1d else aggregate(sequence(1, k), named_struct('s', 0d, 't', exp(-x / 2)), (a, i) -> named_struct('s', a.s + a.t, 't', a.t * x / 2 / i), a -> a.s) end"
+    )
     for name, f in {"dna_revcomp": revcomp, "lc_substring": lc_substring, "duplex_align": S.duplex_udf(), "merge_mates": S.merge_udf(5), "binom_sf": binomial_tail_udf(), "hyb_energy": stacking_udf()}.items():
         spark.udf.register(name, f)
     spark.udtf.register("cigar_segments", F.udtf(CigarSegments, returnType="op_no int, n int, op string"))

@@ -64,9 +64,22 @@ def adapter_position(seq: str, adapter: str, mmrate: float) -> Column:
     return F.expr(f"get(filter(sequence(0, greatest(0, length({seq}) - {n})), i -> length({seq}) >= {n} and {misses} <= {budget}), 0)")
 
 
-def trim_bounds(seq: str, adapters5: list[str], adapters3: list[str], mode: int, mmrate: float) -> tuple[Column, Column]:
-    """(left, right) after adapter trimming; mode 0 trims 5', 1 trims 3', 2 both. Of several hits the last adapter's counts."""
-    left, right = F.lit(0), F.length(seq)
+def find_adapter(seq: str, adapter: str, mmrate: float) -> int | None:
+    """adapter_position() of one read."""
+    n, budget = len(adapter), int(len(adapter) * mmrate + 1e-9)
+    x, y = (np.frombuffer(t.encode(), dtype=np.uint8) for t in (seq, adapter))
+    if len(x) < n:
+        return None
+    hit = np.flatnonzero((np.lib.stride_tricks.sliding_window_view(x, n) != y).sum(axis=1) <= budget)
+    return int(hit[0]) if len(hit) else None
+
+
+def trim_bounds(seq: str, adapters5: list[str], adapters3: list[str], mode: int, mmrate: float, drop_last: bool = False) -> tuple[Column, Column]:
+    """(left, right) after adapter trimming; mode 0 trims 5', 1 trims 3', 2 both. Of several hits the last adapter's counts.
+
+    drop_last: a read without a 3' hit ends before its last base.
+    """
+    left, right = F.lit(0), F.greatest(F.length(seq) - 1, F.lit(0)) if drop_last else F.length(seq)
     if mode in (0, 2):
         for a in adapters5:
             left = F.coalesce(adapter_position(seq, a, mmrate) + len(a), left)
@@ -138,11 +151,11 @@ def common_substring(a: str, b: str) -> tuple[int, int, int]:
 _COMPLEMENT = str.maketrans("ACGTN", "TGCAN")
 
 
-def merged_mates(fwd: list[str], rev: list[str], minovlps: int) -> list[str | None]:
-    """Forward reads, then what the reverse complements of their mates have behind the overlap; null below minovlps."""
+def merged_mates(fwd: list[str], rev: list[str], minovlps: int, prefix: bool = False) -> list[str | None]:
+    """Forward reads, then what the reverse complements of their mates have behind the overlap (or, prefix, before it); null below minovlps."""
     other = [r[::-1].translate(_COMPLEMENT) for r in rev]
     found = zip(fwd, other, *(v.tolist() for v in common_substrings(fwd, other)))
-    return [f[: i + n] + o[j + n :] if n and n >= minovlps else None for f, o, i, j, n in found]
+    return [f[: i + n] + (o[:j] if prefix else o[j + n :]) if n and n >= minovlps else None for f, o, i, j, n in found]
 
 
 def merge_mates(fwd: str, rev: str, minovlps: int) -> str | None:
@@ -249,9 +262,9 @@ def duplex_udf(cmplmin: float = 0.0, ratiomin: float = 0.0, best_by: str = "last
     return run
 
 
-def merge_udf(minovlps: int):
+def merge_udf(minovlps: int, prefix: bool = False):
     @F.pandas_udf("string")
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(_of_pairs(a, b, lambda x, y: merged_mates(x, y, minovlps)), dtype="object")
+        return pd.Series(_of_pairs(a, b, lambda x, y: merged_mates(x, y, minovlps, prefix)), dtype="object")
 
     return run

@@ -84,11 +84,36 @@ def merge_boxes(boxes: list[list], dist: int) -> list[list]:
     return boxes
 
 
-def _merge_sorted(groups: list[str], dist: int):
+def chain_boxes(boxes: list[list], dist: int) -> list[list]:
+    """Boxes around all that are linked by chains of boxes that overlap on both sides, each with the next."""
+    boxes = sorted(boxes)
+    up = list(range(len(boxes)))
+
+    def root(i):
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    open_boxes: list[int] = []
+    for i, box in enumerate(boxes):
+        open_boxes = [j for j in open_boxes if boxes[j][1] + dist >= box[0]]
+        for j in open_boxes:
+            if box[2] <= boxes[j][3] + dist and boxes[j][2] <= box[3] + dist:
+                up[root(i)] = root(j)
+        open_boxes.append(i)
+    found: dict[int, list] = {}
+    for i, box in enumerate(boxes):
+        k = found.setdefault(root(i), [*box[:4], 0])
+        found[root(i)] = [min(k[0], box[0]), max(k[1], box[1]), min(k[2], box[2]), max(k[3], box[3]), k[4] + box[4]]
+    return list(found.values())
+
+
+def _merge_sorted(groups: list[str], dist: int, merge):
     """Merges rows that come sorted by group, one group at a time."""
 
     def done(key, boxes):
-        return [[*key[:2], b[0], b[1], *key[2:4], b[2], b[3], b[4]] for b in merge_boxes(boxes, dist)]
+        return [[*key[:2], b[0], b[1], *key[2:4], b[2], b[3], b[4]] for b in merge(boxes, dist)]
 
     def run(batches):
         key, boxes = None, []
@@ -109,9 +134,11 @@ def _merge_sorted(groups: list[str], dist: int):
 _BOX = ["chr1", "strand1", "start1", "end1", "chr2", "strand2", "start2", "end2", "no_splits"]
 
 
-def cluster_boxes(pairs: DataFrame, dist: int = 0) -> DataFrame:
+def cluster_boxes(pairs: DataFrame, dist: int = 0, linkage: str = "box") -> DataFrame:
     """Clusters of segment pairs: boxes that overlap in both segments merge until none do; counts add up.
 
+    With linkage "pairwise" only given boxes link, not the merged ones: clusters are chains of overlapping pairs.
+
     Equal boxes are counted first. Islands of either segment in turn cut the boxes into independent groups;
     only those meet in one task.
     """
@@ -126,7 +153,7 @@ def cluster_boxes(pairs: DataFrame, dist: int = 0) -> DataFrame:
     alone = F.count("*").over(Window.partitionBy(*groups)) == 1
     boxes = staged(boxes.withColumn("_alone", alone))
     many = boxes.where("not _alone").drop("_alone").repartition(*groups).sortWithinPartitions(*groups)
-    return boxes.where("_alone").select(*_BOX).unionByName(many.mapInPandas(_merge_sorted(groups, dist), schema))
+    return boxes.where("_alone").select(*_BOX).unionByName(many.mapInPandas(_merge_sorted(groups, dist, {"box": merge_boxes, "pairwise": chain_boxes}[linkage]), schema))
 
 
 def distinct_spans(*tables: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions import sequence as S
 
 def trim_reads(reads: DataFrame, adapters5: list[str], adapters3: list[str], opt: Options) -> DataFrame:
     """Adapter trimming, then window trimming; adds trim_left and trim_right and cuts seq and qual."""
-    left, right = S.trim_bounds("seq", adapters5, adapters3, opt.modetrm, opt.mmrate)
+    left, right = S.trim_bounds("seq", adapters5, adapters3, opt.modetrm, opt.mmrate, opt.compat_drop_last_base)
     out = reads.withColumn("trim_left", left.cast("int")).withColumn("trim_right", F.greatest(left, right).cast("int"))
     if opt.wtrim:
         out = out.withColumn("trim_right", S.window_trim("qual", "trim_left", "trim_right", opt.wsize, opt.quality))
@@ -38,7 +38,7 @@ def preprocess_paired(fwd: DataFrame, rev: DataFrame, adapters5: list[str], adap
     pairs = pairs.withColumns({"ok1": ok["fwd"], "ok2": ok["rev"]}).where("ok1 or ok2")
     both = F.col("ok1") & F.col("ok2")
     # the function sees only pairs that may merge
-    pairs = pairs.withColumn("merged", S.merge_udf(opt.minovlps)(F.when(both, F.col("fwd_seq")), F.when(both, F.col("rev_seq"))))
+    pairs = pairs.withColumn("merged", S.merge_udf(opt.minovlps, opt.compat_merge_prefix)(F.when(both, F.col("fwd_seq")), F.when(both, F.col("rev_seq"))))
     from_fwd = F.least(F.length("merged"), F.length("fwd_qual"))
     merged_qual = F.concat(F.substring(F.col("fwd_qual"), F.lit(1), from_fwd), F.expr("right(reverse(rev_qual), greatest(0, length(merged) - length(fwd_qual)))"))
     row = lambda route, i, s, q: F.struct(F.lit(route).alias("route"), F.col(i).alias("id"), F.col(s).alias("seq"), q.alias("qual"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import shlex
 
@@ -30,13 +31,13 @@ def align_commands(opt: Options, found: list[samples.Sample]) -> list[str]:
 
 
 def _adapters(spark: SparkSession, path: str, most: int = 1000) -> list[str]:
-    """Sequences of a FASTA file in the order of its records; each becomes part of the plan, so more than `most` are an error."""
+    """Sequences of a FASTA file in the order of their names; each becomes part of the plan, so more than `most` are an error."""
     if not path:
         return []
-    rows = spark.read.format("fasta").load(path).orderBy("path", "record_no").limit(most + 1).collect()
+    rows = spark.read.format("fasta").load(path).select("id", "seq").distinct().orderBy("id", "seq").limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"more than {most} adapters in {path}")
-    return list(dict.fromkeys(r.seq for r in rows))
+    return [r.seq for r in rows]
 
 
 def _files(found: list[samples.Sample], roles: tuple[str, ...]) -> list[tuple[samples.Sample, str, str]]:
@@ -49,7 +50,7 @@ def _load(spark: SparkSession, kind: str, files: list[tuple[samples.Sample, str,
     for s, role, path in files:
         fmt = kind or ("bam" if path.endswith(".bam") else "sam")
         df = spark.read.format(fmt).load(path)
-        parts.append(df.withColumns({"sample_id": F.lit(f"{s.group}/{s.condition}/{s.stem}"), "grp": F.lit(s.group), "condition": F.lit(s.condition), "role": F.lit(role)}))
+        parts.append(df.withColumns({"sample_id": F.lit(_sample_id(s)), "grp": F.lit(s.group), "condition": F.lit(s.condition), "role": F.lit(role)}))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -66,15 +67,21 @@ def run_preproc(spark: SparkSession, opt: Options) -> str:
     else:
         reads = preprocess_paired(fwd, _load(spark, "fastq", _files(found, ("reverse",))), a5, a3, opt)
     target = os.path.join(opt.outdir, "preproc", "reads")
-    writers.write_fastq(reads, target, ["sample_id", "route"])
-    _write_catalogue(opt, "preproc", found)
+    writers.write_fastq(reads, target, ["sample_id", "route"], opt.named)
+    for s in found if opt.named else ():
+        for role, name in samples.outputs("preproc", opt.readtype, s, opt.outdir).items():
+            route = "merged" if role == "forward" and opt.readtype == "PE" else role
+            writers.one_file(spark, writers.partition_folder(spark, target, sample_id=_sample_id(s), route=route), name)
+    _write_catalogue(spark, opt, "preproc", found)
     return target
 
 
-def _write_catalogue(opt: Options, subcall: str, found: list[samples.Sample]) -> None:
-    os.makedirs(opt.outdir, exist_ok=True)
-    with open(os.path.join(opt.outdir, "data.json"), "w", encoding="utf-8") as f:
-        f.write(samples.catalogue_json(subcall, opt.readtype, found, opt.outdir))
+def _sample_id(s: samples.Sample) -> str:
+    return f"{s.group}/{s.condition}/{s.stem}"
+
+
+def _write_catalogue(spark: SparkSession, opt: Options, subcall: str, found: list[samples.Sample]) -> None:
+    writers.write_text(spark, os.path.join(opt.outdir, "data.json"), samples.catalogue_json(subcall, opt.readtype, found, opt.outdir))
 
 
 def _energies(opt: Options) -> E.EnergyProvider:
@@ -100,10 +107,24 @@ def run_detect(spark: SparkSession, opt: Options) -> str:
         names = F.split("sample_id", "/")
         table = counts.withColumns({"condition": F.concat_ws("/", names[0], names[1]), "sample_no": F.col("sample_id")})
         writers.write_table(writers.stats_table(table), f"{top}/stats")
-    _write_catalogue(opt, "detect", found)
+    if opt.named:
+        _named_alignments(spark, opt, found, top)
+    _write_catalogue(spark, opt, "detect", found)
     return top
 
 
+def _named_alignments(spark: SparkSession, opt: Options, found: list[samples.Sample], top: str) -> None:
+    """SAM files with headers, named after each sample; references are those of the sample's own input."""
+    writers.single_lines(spark.read.parquet(f"{top}/single")).write.mode("overwrite").partitionBy("sample_id").text(f"{top}/sam_single")
+    for s in found:
+        refs = spark.read.format("references").load(s.files["matched"]).orderBy("ref_no").select("name", "length")
+        head = writers.sam_head([tuple(r) for r in refs.collect()])  # as many as the genome has sequences
+        for kind, name in samples.outputs("detect", opt.readtype, s, opt.outdir).items():
+            values = {"sample_id": _sample_id(s)} | ({} if kind == "single" else {"route": kind})
+            folder = writers.partition_folder(spark, f"{top}/sam_single" if kind == "single" else f"{top}/sam", **values)
+            writers.one_file(spark, folder, name.rpartition(".")[0] + ".sam", head)
+
+
 def split_boxes(splits: DataFrame) -> DataFrame:
     """(chr1, strand1, start1, end1, chr2, ...) of split pairs, inclusive and from 0."""
     strand = D.strand_of()
@@ -114,17 +135,17 @@ def split_boxes(splits: DataFrame) -> DataFrame:
 def run_clustering(spark: SparkSession, opt: Options) -> str:
     top = os.path.join(opt.outdir, "clustering")
     splits = spark.read.parquet(os.path.join(opt.outdir, "detect", "splits")).where("route = 'splits'")
-    clusters = numbered_clusters(cluster_boxes(split_boxes(splits), opt.clustdist))
+    clusters = numbered_clusters(cluster_boxes(split_boxes(splits), opt.clustdist, opt.linkage))
     writers.write_table(writers.cluster_table(clusters), f"{top}/clusters")
     return f"{top}/clusters"
 
 
-def interactions(singles: DataFrame, splits: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(annotated pairs, normalised frequencies, reads) by sample; true 1-based read intervals."""
+def interactions(singles: DataFrame, splits: DataFrame, features: DataFrame, wider: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(annotated pairs, normalised frequencies, reads) by sample; true 1-based read intervals, or `wider` on the left."""
     f = features.select("chrom", "f_start", "f_end", "f_strand", "name", "biotype", "product").withColumn("feature", F.xxhash64("chrom", "f_start", "f_end", "f_strand", "name"))
-    one = singles.select("sample_id", F.concat_ws("#", "qname", F.col("rec_no").cast("string")).alias("read"), F.lit(0).alias("seg"), F.col("rname").alias("chrom"), D.strand_of().alias("strand"), (F.col("pos0") + 1).alias("start1"), (F.col("pos0") + F.length("seq")).alias("end1"))
+    one = singles.select("sample_id", F.concat_ws("#", "qname", F.col("rec_no").cast("string")).alias("read"), F.lit(0).alias("seg"), F.col("rname").alias("chrom"), D.strand_of().alias("strand"), (F.col("pos0") + 1 - wider).alias("start1"), (F.col("pos0") + F.length("seq")).alias("end1"))
     pair = F.concat_ws("#", "qname", F.col("rec_no").cast("string"), F.col("pair_no").cast("string"))
-    seg = lambda k: splits.select("sample_id", pair.alias("read"), F.lit(k).alias("seg"), F.col("rname").alias("chrom"), D.strand_of().alias("strand"), (F.col(f"s{k}.pos0") + 1).alias("start1"), (F.col(f"s{k}.pos0") + F.length(f"s{k}.seq")).alias("end1"))
+    seg = lambda k: splits.select("sample_id", pair.alias("read"), F.lit(k).alias("seg"), F.col("rname").alias("chrom"), D.strand_of().alias("strand"), (F.col(f"s{k}.pos0") + 1 - wider).alias("start1"), (F.col(f"s{k}.pos0") + F.length(f"s{k}.seq")).alias("end1"))
     reads = one.unionByName(seg(1)).unionByName(seg(2))
     found = A.hits(reads, f, ["sample_id", "read", "seg"])
     freq = A.normalised(A.feature_frequency(found, ["read", "seg"], ["sample_id"]), ["sample_id"])
@@ -151,7 +172,7 @@ def run_analysis(spark: SparkSession, opt: Options) -> str:
         # cluster tables count from 0, annotation from 1
         features = A.annotate_with_clusters(features, t.withColumns({c: F.col(c) + 1 for c in ("start1", "end1", "start2", "end2")}))
     singles, splits = spark.read.parquet(f"{base}/single"), spark.read.parquet(f"{base}/splits").where("route = 'splits'")
-    pairs, freq, total = interactions(singles, splits, features)
+    pairs, freq, total = interactions(singles, splits, features, int(opt.compat_coords))
     pairs.write.mode("overwrite").partitionBy("sample_id").parquet(f"{top}/pairs")
     pairs = spark.read.parquet(f"{top}/pairs")
     writers.write_table(interaction_rows(pairs), f"{top}/interactions", ["sample_id"])
@@ -171,7 +192,10 @@ def run_analysis(spark: SparkSession, opt: Options) -> str:
     if opt.outcnt:
         writers.write_table(A.count_table(stats, names).orderBy("id"), f"{top}/counts")
     if opt.outjgf:
-        writers.graph_lines(*A.graph(stats)).write.mode("overwrite").partitionBy("kind").text(f"{top}/graph")
+        nodes, edges = A.graph(stats)
+        if opt.named:
+            writers.write_text(spark, f"{top}/graph.json", json.dumps(writers.graph_document(nodes, edges), indent=4))
+        writers.graph_lines(nodes, edges).write.mode("overwrite").partitionBy("kind").text(f"{top}/graph")
     if opt.stats:
         found = stats.groupBy("sample_id").agg(F.count("*").alias("interactions"))
         counts = spark.read.parquet(f"{base}/counts").join(found, "sample_id", "left").join(table.select("sample_id", F.col("condition")), "sample_id")

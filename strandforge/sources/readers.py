@@ -82,6 +82,14 @@ def parse_fasta(lines: Iterator[bytes]) -> Iterator[tuple[str, str]]:
         yield name, "".join(parts)
 
 
+def parse_gff3(line: bytes) -> tuple | None:
+    """The nine fields of an annotation line; None for comments and lines of fewer fields."""
+    f = line.rstrip(b"\r\n").decode().split("\t")
+    if line.startswith(b"#") or len(f) < 9:
+        return None
+    return *f[:3], *(int(x) if x.isdigit() else None for x in f[3:5]), *f[5:9]
+
+
 def parse_sam(lines: Iterator[bytes]) -> Iterator[tuple]:
     """Fields of SAM lines, positions from 0, tags as strings."""
     for x in lines:
@@ -144,6 +152,24 @@ def parse_bam(stream: io.BufferedIOBase) -> Iterator[tuple]:
         yield qname, flag, names[ref] if ref >= 0 else "*", pos, mapq, cigar, seq, quals, tags
 
 
+def references(stream: io.BufferedIOBase, kind: str) -> Iterator[tuple[str, int]]:
+    """(name, length) of the reference sequences that a SAM or BAM file's header names, in its order."""
+    if kind == "sam":
+        for x in stream:
+            if not x.startswith(b"@"):
+                return
+            f = dict(t.split(":", 1) for t in x.decode().rstrip("\r\n").split("\t")[1:] if ":" in t)
+            if x.startswith(b"@SQ") and "SN" in f:
+                yield f["SN"], int(f.get("LN", 0))
+        return
+    if stream.read(4) != b"BAM\x01":
+        raise ValueError("not a BAM file")
+    stream.read(struct.unpack("<i", stream.read(4))[0])
+    for _ in range(struct.unpack("<i", stream.read(4))[0]):
+        name = stream.read(struct.unpack("<i", stream.read(4))[0])[:-1].decode()
+        yield name, struct.unpack("<i", stream.read(4))[0]
+
+
 class _File(InputPartition):
     def __init__(self, path: str):
         self.path = path
@@ -159,7 +185,14 @@ class _Reader(DataSourceReader):
     def read(self, part):
         path, sample = part.path, sample_of(part.path)
         with _open(self.root, path) as f:
-            if self.kind == "numbered_lines":
+            if self.kind == "references":
+                for n, (name, size) in enumerate(references(f, "bam" if path.endswith(".bam") else "sam")):
+                    yield name, size, n, path
+            elif self.kind == "gff3":
+                for n, x in enumerate(f):
+                    if (row := parse_gff3(x)) is not None:
+                        yield *row, n, path
+            elif self.kind == "numbered_lines":
                 for n, x in enumerate(f):
                     yield path, n, x.rstrip(b"\r\n").decode()
             elif self.kind == "fastq":
@@ -190,11 +223,11 @@ def _source(kind: str, ddl: str) -> type[DataSource]:
     return Source
 
 
-FORMATS = {"fastq": FASTQ, "fasta": FASTA, "sam": ALIGNMENT, "bam": ALIGNMENT, "numbered_lines": LINES}
+FORMATS = {"fastq": FASTQ, "fasta": FASTA, "sam": ALIGNMENT, "bam": ALIGNMENT, "numbered_lines": LINES, "gff3": f"{FEATURE}, line_no long, path string", "references": "name string, length long, ref_no long, path string"}
 
 
 def register_formats(spark: SparkSession) -> None:
-    """Makes spark.read.format("fastq" | "fasta" | "sam" | "bam" | "numbered_lines") available."""
+    """Makes spark.read.format("fastq" | "fasta" | "sam" | "bam" | "gff3" | "references" | "numbered_lines") available."""
     from ..shipping import ship
 
     ship(spark)
@@ -215,10 +248,7 @@ def read_gff3(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     if they lie inside it. Line order counts, so lines are numbered within their file.
     """
     register_formats(spark)
-    lines = spark.read.format("numbered_lines").load(path)
-    f = lines.where("line not like '#%' and trim(line) <> ''").withColumn("f", F.split("line", "\t")).where("size(f) >= 9")
-    names = ("seqid", "source", "type", "start1", "end1", "score", "strand", "phase", "attributes")
-    rows = f.select("file", "line_no", *(F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names))).withColumns({"start1": F.col("start1").cast("long"), "end1": F.col("end1").cast("long")}).where("type <> 'region'")
+    rows = spark.read.format("gff3").load(path).withColumnRenamed("path", "file").where("type <> 'region'")
     rows = rows.withColumns({"id": attribute("attributes", "ID"), "parent": attribute("attributes", "Parent"), "name": attribute("attributes", "gene_name", "Name"), "biotype": attribute("attributes", "gene_biotype", "gene_type"), "product": attribute("attributes", "product")})
     no = F.xxhash64("file", "line_no")
     w = Window.partitionBy("file", "seqid").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 INTERACTIONS = (
@@ -13,12 +13,48 @@ INTERACTIONS = (
 CLUSTER_HEADER = "clustID fst_seg_chr fst_seg_strd fst_seg_strt fst_seg_end sec_seg_chr sec_seg_strd sec_seg_strt sec_seg_end no_splits fst_seg_len sec_seg_len".split()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text as one file of any store that Spark reaches."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def one_file(spark: SparkSession, folder: str, target: str, head: str = "") -> None:
+    """Copies what tasks wrote to a folder into one file, after a head, stream by stream; an empty file if there is none."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    top, to = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(target)
+    fs = to.getFileSystem(conf)
+    out = fs.create(to, True)
+    if head:
+        out.write(bytearray(head.encode()))
+    if fs.exists(top):
+        for name in sorted(str(s.getPath()) for s in fs.listStatus(top) if s.getPath().getName().startswith("part-")):
+            part = fs.open(jvm.org.apache.hadoop.fs.Path(name))
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+            part.close()
+    out.close()
+
+
+def partition_folder(spark: SparkSession, top: str, **values: str) -> str:
+    """Where a partitioned table keeps the rows of these values."""
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join([top, *(f"{k}={name(v)}" for k, v in values.items())])
+
+
+def sam_head(references: list[tuple[str, int]]) -> str:
+    return "@HD\tVN:1.6\tSO:unknown\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in references) + "@PG\tID:strandforge\tPN:strandforge\n"
+
+
 def fastq_lines(reads: DataFrame) -> DataFrame:
     return reads.withColumn("value", F.concat_ws("\n", F.concat(F.lit("@"), "id"), "seq", F.lit("+"), "qual"))
 
 
-def write_fastq(reads: DataFrame, path: str, by: list[str]) -> None:
-    """One directory per sample (and route), each with as many files as tasks wrote."""
+def write_fastq(reads: DataFrame, path: str, by: list[str], in_order: bool = False) -> None:
+    """One directory per sample (and route), each with as many files as tasks wrote; in_order: part after part in the order of reads."""
+    if in_order:
+        reads = reads.repartitionByRange(*by, "read_no").sortWithinPartitions(*by, "read_no")
     fastq_lines(reads).select("value", *by).write.mode("overwrite").partitionBy(*by).text(path)
 
 
@@ -33,6 +69,12 @@ def sam_lines(splits: DataFrame) -> DataFrame:
     return splits.select("sample_id", "route", F.concat_ws("\n", line(1), line(2)).alias("value"))
 
 
+def single_lines(singles: DataFrame) -> DataFrame:
+    """A SAM line for each read that is not split."""
+    cols = ["qname", F.col("flag").cast("string"), "rname", (F.col("pos0") + 1).cast("string"), F.col("mapq").cast("string"), "cigar", F.lit("*\t0\t0"), "seq", "qual"]
+    return singles.select("sample_id", F.concat_ws("\t", *cols).alias("value"))
+
+
 def write_table(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     """Tab-separated with a header."""
     w = df.write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "")

@@ -66,3 +66,27 @@ def test_cluster_counts(spark):
     got = numbered_clusters(cluster_boxes(df)).orderBy("clust_id").collect()
     assert sorted(r.no_splits for r in got) == [1, 1, 8]
     assert {r.clust_id for r in got} == {"cluster1", "cluster2", "cluster3"} and got[0].len1 == 11
+
+
+def test_pairwise_linkage_equals_brute_force(spark):
+    import random
+
+    from strandforge.operators.intervals import cluster_boxes
+
+    rnd = random.Random(12)
+    rows = []
+    for _ in range(150):
+        a, b = rnd.randint(0, 300), rnd.randint(0, 120)
+        rows.append(("c", "+", a, a + rnd.randint(1, 25), "c", rnd.choice("+-"), b, b + rnd.randint(1, 25)))
+    df = spark.createDataFrame(rows, "chr1 string, strand1 string, start1 long, end1 long, chr2 string, strand2 string, start2 long, end2 long")
+    left, want = list(rows), []
+    while left:
+        group = [left.pop()]
+        for x in group:
+            near = [y for y in left if x[5] == y[5] and x[2] <= y[3] and y[2] <= x[3] and x[6] <= y[7] and y[6] <= x[7]]
+            group += near
+            left = [y for y in left if y not in near] if near else left
+        want.append((group[0][5], min(g[2] for g in group), max(g[3] for g in group), min(g[6] for g in group), max(g[7] for g in group), len(group)))
+    key = lambda df: sorted((r.strand2, r.start1, r.end1, r.start2, r.end2, r.no_splits) for r in df.collect())
+    chains = key(cluster_boxes(df, linkage="pairwise"))
+    assert chains == sorted(want) and len(chains) >= len(key(cluster_boxes(df)))

@@ -139,3 +139,12 @@ def test_batches_equal_pairs_one_by_one(monkeypatch):
         size = max(k for k in range(41) if any(a[p : p + k] in b for p in range(len(a) - k + 1)))
         p = next(p for p in range(len(a)) if a[p : p + size] in b)
         assert (i, j, n) == ((p, b.index(a[p : p + size]), size) if size else (0, 0, 0))
+
+
+def test_other_forms_of_merging_and_trimming(spark):
+    frag = "ACGTTGCAAGGCTTACCGATAGC"
+    rev = frag[8:][::-1].translate(str.maketrans("ACGT", "TGCA"))
+    assert S.merged_mates([frag[:16]], [rev], 5) == [frag] and S.merged_mates([frag[:16]], ["GG" + rev + "CCC"], 5, prefix=True) == [frag[:16] + "GGG"]
+    left, right = S.trim_bounds("s", [], ["TTACC"], 1, 0.0, drop_last=True)
+    got = [tuple(r) for r in spark.createDataFrame([(frag,), ("ACGT",), ("",)], "s string").select(left, right).collect()]
+    assert got == [(0, 12), (0, 3), (0, 0)] and S.find_adapter(frag, "TTACC", 0.0) == 12 and S.find_adapter("AC", "ACG", 0.5) is None

@@ -1,4 +1,5 @@
 import json
+import math
 import os
 import random
 
@@ -16,7 +17,7 @@ def write_inputs(top):
         for s in range(2):
             d = top / "aligned" / cond
             d.mkdir(parents=True, exist_ok=True)
-            lines = ["@HD\tVN:1.0"]
+            lines = ["@HD\tVN:1.0", "@SQ\tSN:chr1\tLN:10000"]
             for i in range(12):
                 pos = 1000 + rnd.randint(0, 5)
                 lines.append(f"split{i}\t0\tchr1\t{pos}\t30\t20M2000N20M\t*\t0\t0\t{A + B}\t{'I' * 40}\tXJ:i:2\tXE:f:-5.5")
@@ -30,7 +31,7 @@ def write_inputs(top):
 def test_complete(spark, tmp_path):
     write_inputs(tmp_path)
     out = tmp_path / "out"
-    opt = Options(trtms=str(tmp_path / "aligned"), outdir=str(out), features=str(tmp_path / "a.gff3"), stats=True, outcnt=True, outjgf=True, sitelenratio=0.0, energy="model")
+    opt = Options(trtms=str(tmp_path / "aligned"), outdir=str(out), features=str(tmp_path / "a.gff3"), named=True, stats=True, outcnt=True, outjgf=True, sitelenratio=0.0, energy="model")
     run(spark, "complete", opt)
     clusters = spark.read.csv(str(out / "clustering/clusters"), sep="\t", header=True).collect()
     assert len(clusters) == 1 and clusters[0].no_splits == "48" and clusters[0].clustID == "cluster1"
@@ -48,6 +49,12 @@ def test_complete(spark, tmp_path):
     assert "detect" in json.loads((out / "data.json").read_text())
     sam = spark.read.text(str(out / "detect/sam")).count()
     assert sam == 96
+    named = (out / "detect/trtms/c1/S0_splits.sam").read_text().splitlines()
+    assert named[1] == "@SQ\tSN:chr1\tLN:10000" and len([x for x in named if not x.startswith("@")]) == 24
+    assert len([x for x in (out / "detect/trtms/c2/S1_single.sam").read_text().splitlines() if x.startswith("single")]) == 30
+    assert {r.qname for r in spark.read.format("sam").load(str(out / "detect/trtms/c1/S0_splits.sam")).collect()} == {f"split{i}" for i in range(12)}
+    g = json.loads((out / "analysis/graph.json").read_text())
+    assert len(g["nodes"]) == 2 and len(g["edges"]) == 1 and {n["label"] for n in g["nodes"].values()} == {"gene0", "gene1"} and g["edges"][0]["source"] in g["nodes"]
 
 
 def write_reads(top):
@@ -59,8 +66,9 @@ def write_reads(top):
 def test_preproc_and_align_commands(spark, tmp_path):
     write_reads(tmp_path)
     (tmp_path / "ad.fa").write_text(">a\nAGATCGGAAG\n")
-    opt = Options(trtms=str(tmp_path / "trtms"), outdir=str(tmp_path / "out"), adpt3=str(tmp_path / "ad.fa"))
+    opt = Options(trtms=str(tmp_path / "trtms"), outdir=str(tmp_path / "out"), adpt3=str(tmp_path / "ad.fa"), named=True)
     run(spark, "preproc", opt)
+    assert (tmp_path / "out/preproc/trtms/c1/S1_preproc.fastq").read_text() == "".join(f"@r{i}\n{'ACGTA' * 5}\n+\n{'I' * 25}\n" for i in range(5))
     text = "\n".join(r.value for r in spark.read.text(str(tmp_path / "out/preproc/reads")).collect())
     assert text.count("ACGTA" * 5) == 5 and "AGATCGG" not in text and "bad" not in text
     assert any("-i" in c and "S1" in c for c in run(spark, "align", opt))
@@ -76,6 +84,7 @@ def test_stream(spark, tmp_path):
 
 def test_sql_functions(spark):
     register_functions(spark)
-    r = spark.sql("select dna_revcomp('AACG') as a, lc_substring('AACCT', 'TTAACC') as b, duplex_align('AAAA', 'TTTT').xm as c, binom_sf(5, 100, 0.02) as d").first()
+    r = spark.sql("select dna_revcomp('AACG') as a, lc_substring('AACCT', 'TTAACC') as b, duplex_align('AAAA', 'TTTT').xm as c, binom_sf(5, 100, 0.02) as d, adapter_pos('AACCGGTT', 'CAGG', 0.25D) as e, chi2_sf_even(6D, 2) as f").first()
+    assert r.e == 2 and math.isclose(r.f, math.exp(-3) * 4, rel_tol=1e-12)
     assert (r.a, r.b, r.c) == ("CGTT", "AACC", 3) and 0 < r.d < 1
     assert [(x.op_no, x.n, x.op) for x in spark.sql("select * from cigar_segments('3M5N2=')").collect()] == [(0, 3, "M"), (1, 5, "N"), (2, 2, "=")]
