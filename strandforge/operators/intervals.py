@@ -20,20 +20,25 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_span:
     """Rows of left and right with equal keys whose closed spans overlap.
 
     Both sides are dealt into bins and joined by (keys, level, bin), so one busy key spreads over its bins; the
-    bin of the later start alone reports a pair, so nothing is counted twice. Long right spans use wider bins.
+    bin of the later start alone reports a pair, so nothing is counted twice. Long spans use wider bins: a pair
+    meets at the level of its longer span, the right one of equals, so no span is dealt into more than a few bins a level.
     how: inner, left, left_semi or left_anti; all but inner need left_id, columns that tell left rows apart.
     Null keys or ends match nothing; columns other than the keys must not share names.
     """
     ls, le = left_span
     rs, re = right_span
-    level = f"least({LEVELS - 1}, cast(ceil(log({LEVEL_FACTOR}, greatest(1, ({re} - {rs}) / {float(bin_size * FEW)}))) as int))"
-    r = right.where(f"{rs} <= {re}").withColumn("_level", F.expr(level))
-    r = r.withColumn("_bin", F.explode(F.expr(f"sequence({rs} div {_width(bin_size, '_level')}, {re} div {_width(bin_size, '_level')})")))
-    l = left.where(f"{ls} <= {le}").withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))  # noqa: E741
-    l = l.withColumn("_bin", F.explode(F.expr(f"sequence({ls} div {_width(bin_size, '_level')}, {le} div {_width(bin_size, '_level')})")))  # noqa: E741
-    used = r.select("_level").distinct()
-    l = l.join(F.broadcast(used), "_level", "left_semi")  # noqa: E741  # at most LEVELS rows
-    pairs = l.join(r, [*keys, "_level", "_bin"]).where(f"greatest({ls}, {rs}) <= least({le}, {re}) and greatest({ls}, {rs}) div {_width(bin_size, '_level')} = _bin").drop("_level", "_bin")
+    level = lambda s, e: f"least({LEVELS - 1}, cast(ceil(log({LEVEL_FACTOR}, greatest(1, ({e} - {s}) / {float(bin_size * FEW)}))) as int))"
+    # negative codes: the left span is the longer, at level -code; others: the right span's level
+    r_codes = f"concat(array({level(rs, re)}), transform(filter(sequence(1, {LEVELS - 1}), i -> i > {level(rs, re)}), i -> -i))"
+    l_codes = f"filter(concat(array(-{level(ls, le)}), filter(sequence(0, {LEVELS - 1}), i -> i >= {level(ls, le)})), i -> i >= 0 or {level(ls, le)} > 0)"
+
+    def dealt(df: DataFrame, codes: str, s: str, e: str) -> DataFrame:
+        rows = df.where(f"{s} <= {e}").withColumn("_level", F.explode(F.expr(f"array_distinct({codes})")))
+        return rows.withColumn("_bin", F.explode(F.expr(f"sequence({s} div {_width(bin_size, 'abs(_level)')}, {e} div {_width(bin_size, 'abs(_level)')})")))
+
+    r = dealt(right, r_codes, rs, re)
+    used = F.broadcast(r.select("_level").distinct())  # at most 2 * LEVELS - 1 rows
+    pairs = dealt(left, l_codes, ls, le).join(used, "_level", "left_semi").join(r, [*keys, "_level", "_bin"]).where(f"greatest({ls}, {rs}) <= least({le}, {re}) and greatest({ls}, {rs}) div {_width(bin_size, 'abs(_level)')} = _bin").drop("_level", "_bin")
     if how == "inner":
         return pairs
     if how == "left":
@@ -68,19 +73,23 @@ def merge_boxes(boxes: list[list], dist: int) -> list[list]:
     changed = len(boxes) > 1
     while changed:
         changed = False
-        kept: list[list] = []
+        passed: list[list] = []
+        live: list[list] = []
         for box in boxes:
+            # in order of starts; those that end before this one can meet no later one, unless another round widens them
+            passed += [k for k in live if k[1] + dist < box[0]]
+            live = [k for k in live if k[1] + dist >= box[0]]
             at = 0
-            while at < len(kept):
-                k = kept[at]
+            while at < len(live):
+                k = live[at]
                 if box[0] <= k[1] + dist and k[0] <= box[1] + dist and box[2] <= k[3] + dist and k[2] <= box[3] + dist:
                     box = [min(box[0], k[0]), max(box[1], k[1]), min(box[2], k[2]), max(box[3], k[3]), box[4] + k[4]]
-                    del kept[at]
+                    del live[at]
                     at, changed = 0, True
                 else:
                     at += 1
-            kept.append(box)
-        boxes = sorted(kept)
+            live.append(box)
+        boxes = sorted(passed + live)
     return boxes
 
 

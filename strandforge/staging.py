@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -19,9 +20,32 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_written: set[str] = set()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Results read staged tables lazily, so what is still there goes when the driver ends."""
+
+    def clean() -> None:
+        try:
+            delete(spark, path)
+        except Exception:  # the JVM may have gone first; then the folder's owner cleans it
+            pass
+
+    if path not in _written:
+        _written.add(path)
+        atexit.register(clean)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """The same rows, read back from the shared folder."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/core-{uuid.uuid4().hex[:12]}"
+    delete_at_exit(spark, path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

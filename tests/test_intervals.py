@@ -90,3 +90,27 @@ def test_pairwise_linkage_equals_brute_force(spark):
     key = lambda df: sorted((r.strand2, r.start1, r.end1, r.start2, r.end2, r.no_splits) for r in df.collect())
     chains = key(cluster_boxes(df, linkage="pairwise"))
     assert chains == sorted(want) and len(chains) >= len(key(cluster_boxes(df)))
+
+
+def test_spans_of_all_lengths_meet_once(spark):
+    """Also left spans of whole chromosomes, which are dealt into few bins."""
+    import random
+
+    from strandforge.operators.intervals import interval_join
+
+    rnd = random.Random(13)
+    def spans(n):
+        out = []
+        for k in range(n):
+            a, size = rnd.randint(0, 250_000_000), int(10 ** rnd.uniform(0, 8.3))
+            out.append((k, a, a + size))
+        return out
+
+    one, two = spans(150), spans(150) + [(900, 5, 4), (901, None, 7)]
+    left = spark.createDataFrame([("c", *r) for r in one], "chrom string, a long, s1 long, e1 long")
+    right = spark.createDataFrame([("c", *r) for r in two], "chrom string, b long, s2 long, e2 long")
+    got = sorted((r.a, r.b) for r in interval_join(left, right, ["chrom"], ("s1", "e1"), ("s2", "e2")).collect())
+    assert got == sorted((a, b) for a, s, e in one for b, t, f in two if t is not None and t <= f and max(s, t) <= min(e, f)) and len(got) > 500
+    plan = interval_join(left, right, ["chrom"], ("s1", "e1"), ("s2", "e2"))
+    dealt = spark.createDataFrame([("c", 0, 0, 250_000_000)], left.schema)
+    assert interval_join(dealt, right, ["chrom"], ("s1", "e1"), ("s2", "e2")).count() == sum(t is not None and t <= f and t <= 250_000_000 for _, t, f in two) and plan.columns == ["chrom", "a", "s1", "e1", "b", "s2", "e2"]

@@ -88,3 +88,22 @@ def test_sql_functions(spark):
     assert r.e == 2 and math.isclose(r.f, math.exp(-3) * 4, rel_tol=1e-12)
     assert (r.a, r.b, r.c) == ("CGTT", "AACC", 3) and 0 < r.d < 1
     assert [(x.op_no, x.n, x.op) for x in spark.sql("select * from cigar_segments('3M5N2=')").collect()] == [(0, 3, "M"), (1, 5, "N"), (2, 2, "=")]
+
+
+def test_staged_tables_need_a_shared_folder(spark, monkeypatch):
+    import pytest
+
+    from strandforge import staging
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "local-cluster[3,2,1024]"
+
+    with pytest.raises(ValueError):
+        staging.shared_folder(Cluster)
+    Cluster.conf.get = staticmethod(lambda key, default=None: "hdfs://x/stage/")
+    assert staging.shared_folder(Cluster) == "hdfs://x/stage"
+    assert staging.shared_folder(spark)
