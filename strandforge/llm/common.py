@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import gc
-import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -15,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from ..staging import delete, delete_at_exit, shared_folder
 
 #: Bytes of text that the numpy kernels hold at once (a longer single text is handled alone).
 CHUNK_BYTES = 1 << 20
@@ -24,20 +23,13 @@ _POLY_INV = pow(_POLY, -1, 1 << 64)
 
 
 # ---------------------------------------------------------------- staged tables
-def stage_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a temporary one only where none is set (tests on one machine)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = os.path.join(tempfile.gettempdir(), "strandforge-stage")
-    return root.rstrip("/")
-
-
 class Stage:
     """Writes intermediate tables below the shared folder, so that lost executors cost only their own tasks."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.base = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        self.base = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        delete_at_exit(spark, self.base)
         self.n = 0
         tune(spark)
 
@@ -52,10 +44,8 @@ class Stage:
 
     def drop(self, *tables: DataFrame) -> None:
         """Deletes staged tables that no later result reads."""
-        jvm = self.spark._jvm
         for t in tables:
-            p = jvm.org.apache.hadoop.fs.Path(t._stage_path)
-            p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+            delete(self.spark, t._stage_path)
         self.sweep()
 
     def sweep(self) -> None:
