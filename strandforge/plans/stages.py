@@ -44,12 +44,16 @@ def _files(found: list[samples.Sample], roles: tuple[str, ...]) -> list[tuple[sa
     return [(s, role, s.files[role]) for s in found for role in roles if role in s.files]
 
 
+#: Larger uncompressed FASTQ and SAM files are read in ranges of so many bytes.
+SPLIT_BYTES = 128 << 20
+
+
 def _load(spark: SparkSession, kind: str, files: list[tuple[samples.Sample, str, str]]) -> DataFrame:
     """Rows of all files with sample_id, grp, condition and role."""
     parts = []
     for s, role, path in files:
         fmt = kind or ("bam" if path.endswith(".bam") else "sam")
-        df = spark.read.format(fmt).load(path)
+        df = readers.load_numbered(spark, fmt, path, SPLIT_BYTES)
         parts.append(df.withColumns({"sample_id": F.lit(_sample_id(s)), "grp": F.lit(s.group), "condition": F.lit(s.condition), "role": F.lit(role)}))
     out = parts[0]
     for p in parts[1:]:

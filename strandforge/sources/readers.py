@@ -1,13 +1,15 @@
 """File formats: Python data sources for FASTQ, FASTA, SAM and BAM; native readers for annotation and tables.
 
-Register the formats with register_formats(spark). Each file is one partition; files of many samples are read
-in parallel. Paths are listed and opened through pyarrow's file systems, so local and remote stores both work.
+Register the formats with register_formats(spark). Files are partitions; with the option split_bytes, uncompressed
+files of lines (FASTQ, SAM, numbered lines) are read in byte ranges of that size, and load_numbered() numbers their
+records through. Paths are listed and opened through pyarrow's file systems, so local and remote stores both work.
 """
 
 from __future__ import annotations
 
 import gzip
 import io
+import itertools
 import re
 import struct
 from collections.abc import Iterator
@@ -16,10 +18,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-FASTQ = "sample_id string, read_no long, id string, seq string, qual string, path string"
+from ..staging import staged
+
+FASTQ = "sample_id string, read_no long, id string, seq string, qual string, path string, part long"
 FASTA = "id string, seq string, record_no long, path string"
-ALIGNMENT = "sample_id string, rec_no long, qname string, flag int, rname string, pos0 long, mapq int, cigar string, seq string, qual string, xx int, xy int, xj int, xh int, tags map<string,string>, path string"
-LINES = "file string, line_no long, line string"
+ALIGNMENT = "sample_id string, rec_no long, qname string, flag int, rname string, pos0 long, mapq int, cigar string, seq string, qual string, xx int, xy int, xj int, xh int, tags map<string,string>, path string, part long"
+LINES = "file string, line_no long, line string, part long"
+#: The column that numbers a file's records, and that of the file, in formats that can be read in ranges (from byte `part` on).
+NUMBERED = {"fastq": ("read_no", "path"), "sam": ("rec_no", "path"), "numbered_lines": ("line_no", "file")}
 FEATURE = "seqid string, source string, type string, start1 long, end1 long, score string, strand string, phase string, attributes string"
 CLUSTERS = "clust_id string, chr1 string, strand1 string, start1 long, end1 long, chr2 string, strand2 string, start2 long, end2 long, no_splits long, len1 long, len2 long"
 STATS = "condition string, replicate string, reads long, aligned long, splits long, multsplits long"
@@ -50,12 +56,61 @@ def _open(root: str, path: str) -> io.BufferedIOBase:
     return gzip.GzipFile(fileobj=raw) if raw.peek(2)[:2] == b"\x1f\x8b" else raw
 
 
+def file_size(root: str, path: str) -> int:
+    store, _ = _filesystem(root)
+    return store.get_file_info(path).size or 0
+
+
+def compressed(root: str, path: str) -> bool:
+    store, _ = _filesystem(root)
+    with store.open_input_file(path) as f:
+        return f.read(2) == b"\x1f\x8b"
+
+
 def sample_of(path: str) -> str:
     """The last three parts of a path without the file's ending: group/condition/sample."""
     parts = re.sub(r"\.(fastq|fq|sam|bam)(\.gz)?$", "", path).split("/")
     return "/".join(parts[-3:])
 
 
+def lines_between(stream: io.BufferedIOBase, start: int, end: int | None) -> Iterator[tuple[int, bytes]]:
+    """(place, line) of the lines that start at or behind start; the caller stops at end or reads on to complete a record."""
+    at = start
+    if start:
+        stream.seek(start - 1)
+        # the line that reaches over the start belongs to the range before
+        at = start - 1 + len(stream.readline())
+    for x in stream:
+        yield at, x
+        at += len(x)
+
+
+def whole_lines(stream: io.BufferedIOBase, start: int, end: int | None) -> Iterator[bytes]:
+    for at, x in lines_between(stream, start, end):
+        if end is not None and at >= end:
+            return
+        yield x
+
+
+def fastq_lines_between(stream: io.BufferedIOBase, start: int, end: int | None) -> Iterator[bytes]:
+    """The lines of the records whose first line starts in the range."""
+    it = lines_between(stream, start, end)
+    ahead = [x for _, x in zip(range(7), it)] if start else []
+    # a first line has its plus line two below; below a quality line that starts with @ stands a sequence
+    first = next((i for i in range(min(4, len(ahead))) if ahead[i][1][:1] == b"@" and i + 2 < len(ahead) and ahead[i + 2][1][:1] == b"+"), None)
+    if start and first is None:
+        return
+    n = 0
+    for at, x in itertools.chain(ahead[first or 0 :], it):
+        if n % 4 == 0:
+            if end is not None and at >= end:
+                return
+            if not x.strip():
+                continue
+        yield x
+        n += 1
+
+
 def parse_fastq(lines: Iterator[bytes]) -> Iterator[tuple[str, str, str]]:
     """(id, seq, qual) of four-line records; the last line end may be missing."""
     it = (x.rstrip(b"\r\n") for x in lines)
@@ -171,16 +226,21 @@ def references(stream: io.BufferedIOBase, kind: str) -> Iterator[tuple[str, int]
 
 
 class _File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, start: int = 0, end: int | None = None):
+        self.path, self.start, self.end = path, start, end
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, kind: str, root: str):
-        self.kind, self.root = kind, root
+    def __init__(self, kind: str, root: str, split_bytes: int = 0):
+        self.kind, self.root, self.split_bytes = kind, root, split_bytes
 
     def partitions(self):
-        return [_File(p) for p in _files(self.root)]
+        out = []
+        for p in _files(self.root):
+            size = file_size(self.root, p) if self.split_bytes and self.kind in NUMBERED and not compressed(self.root, p) else 0
+            starts = range(0, size, self.split_bytes) if size > self.split_bytes else [0]
+            out += [_File(p, s, s + self.split_bytes if len(starts) > 1 else None) for s in starts]
+        return out
 
     def read(self, part):
         path, sample = part.path, sample_of(part.path)
@@ -193,18 +253,18 @@ class _Reader(DataSourceReader):
                     if (row := parse_gff3(x)) is not None:
                         yield *row, n, path
             elif self.kind == "numbered_lines":
-                for n, x in enumerate(f):
-                    yield path, n, x.rstrip(b"\r\n").decode()
+                for n, x in enumerate(whole_lines(f, part.start, part.end)):
+                    yield path, n, x.rstrip(b"\r\n").decode(), part.start
             elif self.kind == "fastq":
-                for n, (i, s, q) in enumerate(parse_fastq(f)):
-                    yield sample, n, i, s, q, path
+                for n, (i, s, q) in enumerate(parse_fastq(fastq_lines_between(f, part.start, part.end))):
+                    yield sample, n, i, s, q, path, part.start
             elif self.kind == "fasta":
                 for n, (i, s) in enumerate(parse_fasta(f)):
                     yield i, s, n, path
             else:
-                for n, (*row, tags) in enumerate(parse_sam(f) if self.kind == "sam" else parse_bam(f)):
+                for n, (*row, tags) in enumerate(parse_sam(whole_lines(f, part.start, part.end)) if self.kind == "sam" else parse_bam(f)):
                     number = [int(tags[t]) if t in tags else None for t in ("XX", "XY", "XJ", "XH")]
-                    yield sample, n, *row, *number, tags, path
+                    yield sample, n, *row, *number, tags, path, part.start
 
 
 def _source(kind: str, ddl: str) -> type[DataSource]:
@@ -217,7 +277,7 @@ def _source(kind: str, ddl: str) -> type[DataSource]:
             return ddl
 
         def reader(self, schema):
-            return _Reader(kind, self.options["path"])
+            return _Reader(kind, self.options["path"], int(self.options.get("split_bytes", 0)))
 
     Source.__name__ = f"{kind.title()}DataSource"
     return Source
@@ -235,6 +295,21 @@ def register_formats(spark: SparkSession) -> None:
         spark.dataSource.register(_source(kind, ddl))
 
 
+def load_numbered(spark: SparkSession, kind: str, path: str, split_bytes: int) -> DataFrame:
+    """The records of uncompressed files read in byte ranges, numbered through each file as if it were read at once.
+
+    A first pass counts the records of each range; one number a range is joined back.
+    """
+    rows = spark.read.format(kind).option("split_bytes", split_bytes).load(path)
+    if kind not in NUMBERED or not any(file_size(path, p) > split_bytes and not compressed(path, p) for p in _files(path)):
+        return rows
+    number, file = NUMBERED[kind]
+    counts = rows.groupBy(file, "part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(file).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = staged(counts.select(file, "part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
+    return rows.join(base, [file, "part"]).withColumn(number, F.col(number) + F.col("_base")).drop("_base").select(rows.columns)
+
+
 def attribute(column: str, *keys: str):
     """First of the keys that GFF attributes hold (of repeated keys the first value), "" if none."""
     one = [F.expr(f"get(filter(transform(split({column}, ';'), x -> trim(x)), x -> startswith(x, '{k}=')), 0)") for k in keys]

@@ -155,3 +155,31 @@ def test_options(tmp_path):
         parse_config("nonsense = 1")
     with pytest.raises(ValueError):
         Options().check("detect")
+
+
+def test_files_read_in_ranges_equal_whole_files(spark, tmp_path):
+    """Every size of range, with quality lines that look like first lines."""
+    import random
+
+    readers.register_formats(spark)
+    rnd = random.Random(3)
+    records = [(f"r{i}", "ACGT" * rnd.randint(1, 5)) for i in range(40)]
+    quals = ["".join(rnd.choice("@+I") for _ in s) for _, s in records]
+    text = "".join(f"@{i}\n{s}\n+\n{q}\n" for (i, s), q in zip(records, quals)).encode()
+    for size in (1, 7, 50, 333, len(text) - 1, len(text)):
+        got = []
+        for start in range(0, len(text), size):
+            got += readers.parse_fastq(readers.fastq_lines_between(io.BytesIO(text), start, start + size))
+        assert got == [(i, s, q) for (i, s), q in zip(records, quals)]
+        lines = [x for start in range(0, len(text), size) for x in readers.whole_lines(io.BytesIO(text), start, start + size)]
+        assert b"".join(lines) == text
+    d = tmp_path / "g" / "c"
+    d.mkdir(parents=True)
+    (d / "S1.fastq").write_bytes(text)
+    (d / "S2.fastq").write_bytes(text[: len(text) // 3].rpartition(b"\n@")[0] + b"\n")
+    (d / "S3.fastq.gz").write_bytes(gzip.compress(text))
+    key = lambda df: sorted((r.path, r.read_no, r.id, r.seq, r.qual) for r in df.collect())
+    whole = key(spark.read.format("fastq").load(str(d)))
+    split = readers.load_numbered(spark, "fastq", str(d), 200)
+    assert key(split) == whole and split.select("part").distinct().count() > 5
+    assert key(readers.load_numbered(spark, "fastq", str(d), 1 << 20)) == whole
