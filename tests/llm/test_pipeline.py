@@ -81,6 +81,33 @@ def test_empty_documents(spark, tmp_path):
         assert df.count() == 0
 
 
+def test_awkward_rows(spark, tmp_path):
+    """Null ids, rows that repeat an id, null and long texts, and columns named as the operators name theirs."""
+    from tests.llm.texts import awkward, crowded
+
+    tables(spark, str(tmp_path))
+    rnd = random.Random(3)
+    item = spark.read.parquet(f"{tmp_path}/benchmark.parquet").first().text
+    rows = awkward(5, 60) + [(3, "another text of a repeated id " + words(rnd, 40), None, None, None), (None, None, None, None, None), (None, words(rnd, 60), None, None, None), (700, words(rnd, 30000), "en", "s0", 1), (701, "x " + item, None, None, None), (701, words(rnd, 50), None, None, None)]
+    df = crowded(spark.createDataFrame(rows, DOCS)).withColumn("spots", F.array(F.lit(1)))
+    cols, n = df.columns, {}
+    for name, step in P.STAGES:
+        df = step(spark, df, str(tmp_path))
+        df.write.parquet(f"{tmp_path}/awkward-{name}")
+        df = spark.read.parquet(f"{tmp_path}/awkward-{name}")
+        n[name] = df.count()
+        if name != "packing":
+            assert df.columns == cols
+            assert df.where("n = 7 and `row` = 7 and DOC = 7").count() == n[name]
+        if name == "near_duplicates":
+            ids = [r.doc_id for r in df.collect()]
+            assert ids.count(3) == 2 and None in ids
+        if name == "decontamination":
+            # rows of one id are one document here: both go if one holds an item
+            assert df.where("doc_id = 701").count() == 0
+    assert 0 < n["decontamination"] < n["near_duplicates"] <= n["lines"] <= n["quality"] <= len(rows)
+
+
 def test_entry_has_all():
     import __spark_entry__ as e
 
