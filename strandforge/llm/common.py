@@ -33,10 +33,10 @@ class Stage:
         self.n = 0
         tune(spark)
 
-    def write(self, df: DataFrame, label: str = "t") -> DataFrame:
+    def write(self, df: DataFrame, label: str = "t", codec: str = "lz4_raw") -> DataFrame:
         self.n += 1
         path = f"{self.base}/{self.n:03d}-{label}"
-        df.write.option("compression", "lz4_raw").parquet(path)
+        df.write.option("compression", codec).parquet(path)
         self.sweep()
         out = self.spark.read.schema(df.schema).parquet(path)
         out._stage_path = path

@@ -44,25 +44,29 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return kind, low
 
 
-def _told_apart(cps: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of equal words, and a first word of each: words of one hash count as equal only if their characters are."""
+def _told_apart(cps: np.ndarray, solid: np.ndarray, starts: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of equal words, and a first word of each: words of one hash count as equal only if their characters are.
+
+    The words hold all solid characters, in order.
+    """
     at = np.empty(int(codes.max(initial=-1)) + 1, dtype=np.int64)
     at[codes[::-1]] = np.arange(len(codes))[::-1]
-    first, size = at[codes], ends - starts
-    again = np.flatnonzero(first != np.arange(len(codes)))
-    same = np.ones(len(codes), dtype=bool)
-    same[again] = size[again] == size[first[again]]
-    pick = again[same[again] & (size[again] > 0)]
-    n = size[pick]
-    end = np.cumsum(n)
-    step = np.arange(int(end[-1]) if len(end) else 0) - np.repeat(end - n, n)
-    equal = cps[np.repeat(starts[pick], n) + step] == cps[np.repeat(starts[first[pick]], n) + step]
-    if len(pick):
-        same[pick] = np.logical_and.reduceat(equal, end - n)
+    if not len(codes):
+        return codes, at
+    first = at[codes]
+    place = np.cumsum(size) - size
+    index = np.repeat(starts[first] - place, size)
+    index += np.arange(len(index))
+    same = size == size[first]
+    if not same.all():
+        np.minimum(index, len(cps) - 1, out=index)
+    same &= np.logical_and.reduceat(cps[index] == cps[solid], place)
+    if same.all():
+        return codes, at
     other: dict[bytes, int] = {}
     codes, at = codes.copy(), at.tolist()
     for i in np.flatnonzero(~same):
-        word = cps[starts[i] : ends[i]].tobytes()
+        word = cps[starts[i] : starts[i] + size[i]].tobytes()
         if word not in other:
             other[word] = len(at)
             at.append(int(i))
@@ -184,7 +188,7 @@ class RaggedBPE:
             pre = np.zeros(len(cps) + 1, dtype=np.uint64)
             np.cumsum((cps.astype(np.uint64) + np.uint64(1)) * power[:-1], out=pre[1:])
             h = (pre[ends] - pre[starts]) * back[starts]
-            codes, at = _told_apart(cps, starts, ends, pd.factorize(h)[0])
+            codes, at = _told_apart(cps, kind != SPACE, starts, ends - starts, pd.factorize(h)[0])
             ids, off = self._unique_ids(cps, starts[at], ends[at])
             yield i, j, ids, off, codes, np.searchsorted(starts, bounds)
             i = j
