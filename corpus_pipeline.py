@@ -23,16 +23,21 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_documents(docs)
 
 
+def _without(spark: SparkSession, docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The documents whose ids are not among those found; the ids are written first, so that few of them never shuffle the texts."""
+    ids = Stage(spark, "found").write(found.select("doc_id").distinct())
+    return docs.join(ids, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id."""
     groups = ngram_jaccard_components(docs)
-    return docs.join(groups.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return _without(spark, docs, groups.where("doc_id <> component_id"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    leaks = benchmark_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return _without(spark, docs, benchmark_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
