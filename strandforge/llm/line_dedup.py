@@ -86,9 +86,10 @@ def _edited(docs: DataFrame, id_col: str, text_col: str, divisor: int, long_line
     bodies = stage.write(bodies.distinct(), "bodies")
     # the first place of each body stays; a body that occurs once is its own first
     first = bodies.groupBy("body").agg(F.min(F.struct(*key, "k")).alias("first")).select("first.*")
+    # written, so that the shuffled bodies are freed before the texts are read again
+    first = stage.write(first, "first")
+    stage.drop(chunks, often)
     gone = bodies.select(*key, "k").join(first, [*key, "k"], "left_anti").groupBy(*key).agg(F.collect_set("k").alias("gone"))
-    gone = stage.write(gone, "gone")
-    stage.drop(chunks, often, bodies)
     out = whole.join(gone, key, "left")
     touched = _chunked(out, divisor, long_line)
     kept = F.expr(f"filter({_CHUNKS}, c -> not array_contains(gone, c.k))")
