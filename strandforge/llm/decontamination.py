@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, id_bitmap, in_bitmap, mix64, ngram_hashes, prefix_hash, span_hash, text_chunks, word_spans
+from .common import Stage, id_bitmap, in_bitmap, lean, mix64, ngram_hashes, prefix_hash, span_hash, text_chunks, word_spans
 
 #: Units that may follow a number (fixed values).
 UNITS = (
@@ -154,7 +154,7 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     own = stage.write(items.mapInArrow(_scan(sizes, None, least_literal, 0), _ROWS).distinct(), "items")
     used = sorted(r.size for r in own.select("size").distinct().collect())  # at most window numbers
     wanted = spark.sparkContext.broadcast(id_bitmap(own.select("h"), 22))
-    found = stage.write(docs.mapInArrow(_scan(used, wanted, least_literal, shortest), _ROWS).select("id", "place", "h", F.col("slots").alias("values")), "windows")
+    found = stage.write(docs.mapInArrow(lean(_scan(used, wanted, least_literal, shortest)), _ROWS).select("id", "place", "h", F.col("slots").alias("values")), "windows")
     both = found.join(own.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "h", "tokens", "slots"), "h").where(F.size("slots") == F.size("values"))
     both = both.select(F.col("id").alias("doc_id"), "item_id", (F.col("place") - F.col("item_place")).alias("shift"), "item_place", "tokens", "slots", "values").distinct()
     both = stage.write(both, "matches")

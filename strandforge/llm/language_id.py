@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cells, Stage, sum_cells, text_chunks
+from .common import Cells, Stage, lean, sum_cells, text_chunks
 
 #: Hash buckets of byte trigrams a language; a fixed bound of what is broadcast.
 BUCKET_BITS = 15
@@ -168,7 +168,7 @@ def identify_languages(pages: DataFrame, docs: DataFrame, id_col: str = "page_id
             )
 
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    seen = stage.write(rows.mapInArrow(run, "page_id long, host string, domain string, declared string, suffix string, ll array<double>, post array<double>"), "opinions")
+    seen = stage.write(rows.mapInArrow(lean(run), "page_id long, host string, domain string, declared string, suffix string, ll array<double>, post array<double>"), "opinions")
     if not langs:
         return seen.select("page_id", F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(None).cast("string").alias("text_lang"), "declared", "suffix", "host")
 

@@ -8,7 +8,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cells, Stage, connected_components, id_bitmap, in_bitmap, sum_cells
+from .common import Cells, Stage, connected_components, id_bitmap, in_bitmap, lean, sum_cells
 from .shingles import shingle_sets, signature
 
 #: Cells of the frequency sketch that orders the n-grams of a document; a fixed bound, not a function of the data.
@@ -138,7 +138,7 @@ def _verified(stage: Stage, docs: DataFrame, odd: DataFrame, pairs: DataFrame, k
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     # a bounded filter, so that texts without a candidate are not shingled or shuffled again
     wanted = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
-    sets = stage.write(docs.mapInArrow(_sets(k, wanted), "doc_id long, grams array<long>"), "sets")
+    sets = stage.write(docs.mapInArrow(lean(_sets(k, wanted)), "doc_id long, grams array<long>"), "sets")
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("ga")), "a")
     both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("gb")), "b")
     found = both.select("a", "b", F.size(F.array_intersect("ga", "gb")).alias("common"), F.expr("size(ga) + size(gb)").alias("total"))
@@ -166,14 +166,14 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     stage = Stage(spark, "ngram-join")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    scan = stage.write(docs.mapInArrow(_scan(k, sketch_bits), "kind int, doc_id long, n long, sig binary, odd array<long>, task int, block int, at binary, counts binary"), "scan")
+    scan = stage.write(docs.mapInArrow(lean(_scan(k, sketch_bits)), "kind int, doc_id long, n long, sig binary, odd array<long>, task int, block int, at binary, counts binary"), "scan")
     feats = scan.where("kind = 0").select("doc_id", "n", "sig")
     counts = spark.sparkContext.broadcast(sum_cells(scan.where("kind = 1").select("task", "block", "at", "counts"), sketch_bits))
     reps = stage.write(feats.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "reps")
     odd = scan.where("kind = 0 and n > 0 and doc_id is not null").select("doc_id", "n", "odd")
     known = docs.where("doc_id is not null")
 
-    pre = known.mapInArrow(_prefixes(k, percent, counts), "doc_id long, n int, prefix array<long>")
+    pre = known.mapInArrow(lean(_prefixes(k, percent, counts)), "doc_id long, n int, prefix array<long>")
     pre = pre.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     rows = stage.write(pre.select("doc_id", "n", F.posexplode("prefix").alias("pos", "gram")), "incidence")
     cols = stage.write(rows.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram"), "columns")

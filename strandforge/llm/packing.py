@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Stage
+from .common import Stage, lean
 from .ragged_bpe import load
 
 #: Plan entries that may be broadcast. The plan's size depends on the width alone, not on the documents.
@@ -130,7 +130,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array([x % width for x in n], pa.int32()), pa.array([part] * len(n), pa.int32()), pa.array(rank, pa.int64()), pa.array(before, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n", "rest", "part", "rank", "full", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = stage.write(rows.mapInArrow(tokenise, "doc_id long, n long, rest int, part int, rank long, full long, ids binary"), "ids")
+    rows = stage.write(rows.mapInArrow(lean(tokenise), "doc_id long, n long, rest int, part int, rank long, full long, ids binary"), "ids")
     sizes = rows.groupBy("rest", "part").agg(F.count("*").alias("m"))
     histogram = {r.rest: r.m for r in sizes.groupBy("rest").agg(F.sum("m").alias("m")).collect()}
     packs, plan = shortest_pack_first(histogram, width)
@@ -156,4 +156,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                         col.append(v)
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:6]), pa.array(cols[6], pa.binary())], names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    return ranked.mapInArrow(cut, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    return ranked.mapInArrow(lean(cut), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, mix64, prefix_hash, span_hash, text_chunks, word_spans
+from .common import Stage, lean, mix64, prefix_hash, span_hash, text_chunks, word_spans
 
 #: Rows that fit the classifier: at most so many labelled documents, and so many unlabelled ones for pseudo-labels.
 MAX_LABELLED, MAX_UNLABELLED = 12_000, 6_000
@@ -260,7 +260,7 @@ def fit_quality(stage: Stage, docs: DataFrame, labels: DataFrame, max_labelled:
             )
 
     # the sample has max_labelled + max_unlabelled rows at most
-    rows = stage.write(docs.join(F.broadcast(sample), "doc_id").mapInArrow(run, kind), "features")
+    rows = stage.write(docs.join(F.broadcast(sample), "doc_id").mapInArrow(lean(run), kind), "features")
     telling = stage.spark.sparkContext.broadcast(np.unique(np.concatenate([_telling_words(rows, c) for c in ("quality", "toxic")])))
 
     def narrow(batches):
@@ -322,7 +322,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             good, toxic, keep = score(b)
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(good), pa.array(toxic), pa.array(keep)], names=["doc_id", "good", "toxic", "keep"])
 
-    return _prepared(docs, id_col, text_col).mapInArrow(run, "doc_id long, good double, toxic double, keep boolean")
+    return _prepared(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, good double, toxic double, keep boolean")
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED, max_unlabelled: int = MAX_UNLABELLED, least_good: float = 0.5, most_toxic: float = 0.5) -> DataFrame:
@@ -337,7 +337,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             cols = {"text": own[text_col].cast(pa.string()), **{c: own.get(c, none) for c in _META}}
             yield b.filter(pa.array(score(cols)[2]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def _scorer(docs, labels, id_col, text_col, max_labelled, max_unlabelled, least_good, most_toxic):

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tune
+from .common import lean, tune
 from .ragged_bpe import load
 
 
@@ -28,4 +28,4 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return rows.mapInArrow(lean(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
