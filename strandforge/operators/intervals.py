@@ -2,27 +2,35 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from ..staging import staged
 
 #: Bins grow by this factor from level to level; an interval takes the first level where it meets few bins.
 LEVEL_FACTOR, LEVELS, FEW = 64, 4, 32
+#: Least width of the bins in which spans are counted, and the rows that a task holds of one bin before it adds them up.
+SWEEP_WIDTH, HELD = 8192, 1 << 20
 
 
 def _width(bin_size: int, level: str):
     return f"({bin_size} * cast(power({LEVEL_FACTOR}, {level}) as bigint))"
 
 
-def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_span: tuple[str, str], right_span: tuple[str, str], how: str = "inner", left_id: list[str] | None = None, bin_size: int = 4096) -> DataFrame:
+def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_span: tuple[str, str], right_span: tuple[str, str], how: str = "inner", left_id: list[str] | None = None, bin_size: int = 256) -> DataFrame:
     """Rows of left and right with equal keys whose closed spans overlap.
 
     Both sides are dealt into bins and joined by (keys, level, bin), so one busy key spreads over its bins; the
     bin of the later start alone reports a pair, so nothing is counted twice. Long spans use wider bins: a pair
     meets at the level of its longer span, the right one of equals, so no span is dealt into more than a few bins a level.
-    how: inner, left, left_semi or left_anti; all but inner need left_id, columns that tell left rows apart.
+    Bins are narrow, since all pairs of a bin are compared.
+    how: inner, left, left_semi or left_anti; all but inner need left_id, columns that tell left rows apart. Semi and
+    anti joins count spans (Sweep) and make no pairs, but for left rows too wide for that.
     Null keys or ends match nothing; columns other than the keys must not share names.
     """
     ls, le = left_span
@@ -38,14 +46,181 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_span:
 
     r = dealt(right, r_codes, rs, re)
     used = F.broadcast(r.select("_level").distinct())  # at most 2 * LEVELS - 1 rows
-    pairs = dealt(left, l_codes, ls, le).join(used, "_level", "left_semi").join(r, [*keys, "_level", "_bin"]).where(f"greatest({ls}, {rs}) <= least({le}, {re}) and greatest({ls}, {rs}) div {_width(bin_size, 'abs(_level)')} = _bin").drop("_level", "_bin")
+    # a plan by size would broadcast the right rows, which may be many once dealt
+    pairs = dealt(left, l_codes, ls, le).join(used, "_level", "left_semi").join(r.hint("merge"), [*keys, "_level", "_bin"]).where(f"greatest({ls}, {rs}) <= least({le}, {re}) and greatest({ls}, {rs}) div {_width(bin_size, 'abs(_level)')} = _bin").drop("_level", "_bin")
     if how == "inner":
         return pairs
     if how == "left":
-        pairs = staged(pairs)
-        missing = left.join(pairs.select(*left_id).distinct(), left_id, "left_anti")
+        missing = interval_join(left, right, keys, left_span, right_span, "left_anti", left_id, bin_size)
         return pairs.unionByName(missing, allowMissingColumns=True)
-    return left.join(pairs.select(*left_id).distinct(), left_id, how)
+    sweep = Sweep(left, right, keys, left_span, right_span)
+    found = sweep.counts(sweep.narrow).where("n_same > 0" if how == "left_semi" else "n_same = 0").select(*left.columns)
+    if sweep.rest is None:
+        return found
+    wide = interval_join(sweep.rest, right, keys, left_span, right_span, "inner", None, bin_size)
+    return found.unionByName(sweep.rest.join(wide.select(*left_id).distinct(), left_id, how))
+
+
+class _Spans:
+    """Spans of one bin, which tell how many of them others meet, and which one if it is the only one."""
+
+    def __init__(self, s: np.ndarray, e: np.ndarray, number: np.ndarray):
+        a, b = np.argsort(s), np.argsort(e)
+        self.s, self.e = s[a], e[b]
+        self.sum_s, self.sum_e = (np.concatenate([[0], np.cumsum(number[k])]) for k in (a, b))
+
+    def meet(self, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # those that start in time, less those that ended before
+        a, b = np.searchsorted(self.s, e, side="right"), np.searchsorted(self.e, s, side="left")
+        return a - b, self.sum_s[a] - self.sum_e[b]
+
+
+class _Bin:
+    """The right spans of one bin, and those of them with a given mark."""
+
+    def __init__(self, parts: list[pa.RecordBatch], like: pa.Schema):
+        self.rows = pa.Table.from_batches(parts, like).combine_chunks()
+        self.s, self.e = (self.rows[c].to_numpy() for c in ("_s", "_e"))
+        self.all = _Spans(self.s, self.e, np.arange(len(self.s)))
+        self._marked: dict = {}
+
+    def same(self, mark) -> np.ndarray:
+        if mark is None:
+            return np.zeros(len(self.s), dtype=bool)
+        return pc.fill_null(pc.equal(self.rows["_mark"], mark), False).to_numpy()
+
+    def marked(self, mark) -> _Spans:
+        if mark not in self._marked:
+            at = np.flatnonzero(self.same(mark))
+            self._marked[mark] = _Spans(self.s[at], self.e[at], at)
+        return self._marked[mark]
+
+
+def _by_bin(batches):
+    """(right spans, left rows) of one bin after the other; the left rows of a bin may come in several parts."""
+    parts, now, found = [], None, None
+    for b in batches:
+        g = b["_g"].to_numpy()
+        cut = np.concatenate([[0], np.flatnonzero(g[1:] != g[:-1]) + 1, [len(g)]]) if len(g) else [0]
+        for i, j in zip(cut[:-1], cut[1:]):
+            rows = b.slice(i, j - i)
+            if now is None or g[i] >> 1 != now[0]:
+                # bins are sorted by a hash, so two of one hash must not pass for one
+                parts, found, now = [], None, (g[i] >> 1, rows["_key"][0])
+            if pc.any(pc.not_equal(rows["_key"], now[1])).as_py():
+                raise ValueError("two bins have one hash; take another bin width")
+            if g[i] & 1:
+                found = found or _Bin(parts, b.schema)
+                yield found, rows
+            else:
+                parts.append(rows)
+
+
+class Sweep:
+    """How many right spans each left row meets, and sums over left rows for each right span, without a row a pair.
+
+    A left row is dealt into the bin of its start, a right span into all bins it meets and the one before; a bin's right
+    spans are sorted by starts and by ends, and two searches tell how many of them a left row meets. Bins are as wide as the
+    mean right span at least, so right spans are dealt into few in all. Work grows with both tables, not with the pairs.
+    narrow: the left rows that this counts; rest: the others (wider than a bin, or without keys or ends), None if there are none.
+    same: (left, right) columns whose equal values make a pair "same"; without them all pairs are.
+    """
+
+    def __init__(self, left: DataFrame, right: DataFrame, keys: list[str], left_span: tuple[str, str], right_span: tuple[str, str], same: tuple[str, str] | None = None, width: int | None = None):
+        (ls, le), (rs, re) = left_span, right_span
+        ship(left.sparkSession)
+        self.same, self.keys, self.left_span = same, keys, left_span
+        valid = " and ".join([f"{ls} <= {le}", *(f"{k} is not null" for k in keys)])
+        right = right.where(" and ".join([f"{rs} <= {re}", *(f"{k} is not null" for k in keys)]))
+        size = left.agg(F.count("*").alias("n"), F.count_if(F.expr(valid)).alias("valid"), F.max(F.expr(f"if({valid}, {le} - {ls}, 0)")).alias("most"), F.avg(F.expr(f"if({valid}, {le} - {ls}, null)")).alias("mean")).first()
+        self.width = width or int(max(SWEEP_WIDTH, 4 * (size.mean or 0), right.agg(F.avg(F.expr(f"{re} - {rs}"))).first()[0] or 0))
+        narrow = F.coalesce(F.expr(f"{valid} and {le} - {ls} <= {self.width}"), F.lit(False))
+        self.narrow = left.where(narrow)
+        self.rest = None if size.n == size.valid and (size.most or 0) <= self.width else left.where(~narrow)
+        self.right = right.withColumn("_bin", F.explode(F.expr(f"sequence({rs} div {self.width} - 1, {re} div {self.width})"))).withColumns({"_s": F.col(rs).cast("long"), "_e": F.col(re).cast("long")})
+
+    def _dealt(self, left: DataFrame, left_cols: list[str], right_cols: list[str]) -> DataFrame:
+        ls, le = self.left_span
+        mark = [F.col(self.same[i]).cast("string") if self.same else F.lit("") for i in range(2)]
+
+        def cut(df: DataFrame, side: int, own: list[str], others: list) -> DataFrame:
+            # with lengths, so that no two lists of keys read alike
+            key = F.concat(*(x for k in self.keys for x in (F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string"))), F.col("_bin").cast("string"))
+            df = df.withColumns({"_key": key, "_mark": mark[side]})
+            g = F.xxhash64("_key").bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(1 - side)).alias("_g")
+            return df.select(g, "_key", "_mark", "_s", "_e", *(F.col(c).alias(f"{'lr'[side]}_{c}") for c in own), *others)
+
+        none = lambda df, cols, p: [F.lit(None).cast(df.schema[c].dataType).alias(f"{p}_{c}") for c in cols]
+        rows = left.withColumns({"_bin": F.expr(f"{ls} div {self.width}"), "_s": F.col(ls).cast("long"), "_e": F.col(le).cast("long")})
+        a, b = cut(rows, 0, left_cols, none(self.right, right_cols, "r")), cut(self.right, 1, right_cols, none(left, left_cols, "l"))
+        return a.unionByName(b).repartition(F.shiftright("_g", 1)).sortWithinPartitions("_g")
+
+    def counts(self, left: DataFrame, keep: list[str] = []) -> DataFrame:
+        """The left rows with n_same, n_other and, for each right column c of keep, same_c and other_c of the only such span."""
+        cols, plain = left.columns, self.same is None
+
+        def run(batches):
+            for bin_, rows in _by_bin(batches):
+                s, e = rows["_s"].to_numpy(), rows["_e"].to_numpy()
+                n, number = bin_.all.meet(s, e)
+                n_same, which = (n, number) if plain else (np.zeros(len(s), dtype=np.int64), np.zeros(len(s), dtype=np.int64))
+                for mark in [] if plain else pc.unique(rows["_mark"]).to_pylist():
+                    if mark is not None:
+                        at = np.flatnonzero(pc.fill_null(pc.equal(rows["_mark"], mark), False).to_numpy(zero_copy_only=False))
+                        n_same[at], which[at] = bin_.marked(mark).meet(s[at], e[at])
+                one = lambda m, k: pa.array(np.where(m == 1, k, 0), mask=m != 1)
+                a, b = one(n_same, which), one(n - n_same, number - which)
+                kept = [bin_.rows[f"r_{c}"].combine_chunks().take(x) for c in keep for x in (a, b)] if len(bin_.s) else [pa.nulls(len(s), rows.schema.field(f"r_{c}").type) for c in keep for _ in (a, b)]
+                yield pa.RecordBatch.from_arrays([*(rows[f"l_{c}"] for c in cols), pa.array(n_same), pa.array(n - n_same), *kept], names=[*cols, "n_same", "n_other", *(f"{o}_{c}" for c in keep for o in ("same", "other"))])
+
+        kind = lambda df, c: df.schema[c].dataType.simpleString()
+        schema = [f"`{c}` {kind(left, c)}" for c in cols] + ["n_same long", "n_other long"] + [f"`{o}_{c}` {kind(self.right, c)}" for c in keep for o in ("same", "other")]
+        return self._dealt(left, cols, keep).mapInArrow(run, ", ".join(schema))
+
+    def shares(self, left: DataFrame, by: list[str], keep: list[str]) -> DataFrame:
+        """Parts of the sums by (by, same, keep) to which each left row gives 1/n for each of the n right spans it meets."""
+        plain = self.same is None
+
+        def added(bin_, held):
+            rows = pa.Table.from_batches([r for r, _ in held]).combine_chunks()
+            n = np.concatenate([n for _, n in held])
+            s, e = rows["_s"].to_numpy(), rows["_e"].to_numpy()
+            # whole numbers of 2^-62 in two halves, so that what is added and taken off again leaves nothing
+            q = (1 << 62) // n
+            codes = np.zeros(len(n), dtype=np.int64)
+            for c in [*(f"l_{c}" for c in by), "_mark"]:
+                x = rows[c].combine_chunks().dictionary_encode(null_encoding="encode")
+                x = x.chunk(0) if isinstance(x, pa.ChunkedArray) else x
+                codes = np.unique(codes * (len(x.dictionary) + 1) + x.indices.to_numpy(), return_inverse=True)[1]
+            order = np.argsort(codes, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(codes[order])) + 1):
+                first, last = at[np.argsort(s[at])], at[np.argsort(e[at])]
+                a, b = np.searchsorted(s[first], bin_.e, side="right"), np.searchsorted(e[last], bin_.s, side="left")
+                half = lambda f: np.concatenate([[0], np.cumsum(f(q[first]))])[a] - np.concatenate([[0], np.cumsum(f(q[last]))])[b]
+                high, low = half(lambda x: x >> 31), half(lambda x: x & (1 << 31) - 1)
+                hit = np.flatnonzero((high > 0) | (low > 0))
+                mark = rows["_mark"][int(at[0])].as_py()
+                same = np.ones(len(hit), dtype=bool) if plain else bin_.same(mark)[hit]
+                yield pa.RecordBatch.from_arrays(
+                    [*(rows[f"l_{c}"].take(pa.array(np.full(len(hit), at[0]))).combine_chunks() for c in by), pa.array(same), *(bin_.rows[f"r_{c}"].take(pa.array(hit)).combine_chunks() for c in keep), pa.array(high[hit] * 2.0**-31 + low[hit] * 2.0**-62)], names=[*by, "same", *keep, "share"]
+                )
+
+        def run(batches):
+            now, held = None, []
+            for bin_, rows in _by_bin(batches):
+                if held and (bin_ is not now or sum(len(n) for _, n in held) > HELD):
+                    yield from added(now, held)
+                    held = []
+                now, n = bin_, bin_.all.meet(rows["_s"].to_numpy(), rows["_e"].to_numpy())[0]
+                hit = np.flatnonzero(n)
+                if len(hit):
+                    held.append((rows.take(pa.array(hit)), n[hit]))
+            if held:
+                yield from added(now, held)
+
+        kind = lambda df, c: f"`{c}` {df.schema[c].dataType.simpleString()}"
+        schema = [*(kind(left, c) for c in by), "same boolean", *(kind(self.right, c) for c in keep), "share double"]
+        return self._dealt(left, by, keep).mapInArrow(run, ", ".join(schema))
 
 
 def islands(df: DataFrame, keys: list[str], start: str, end: str, dist: int = 0, bin_size: int = 1 << 16, name: str = "island") -> DataFrame:

@@ -114,3 +114,16 @@ def test_spans_of_all_lengths_meet_once(spark):
     plan = interval_join(left, right, ["chrom"], ("s1", "e1"), ("s2", "e2"))
     dealt = spark.createDataFrame([("c", 0, 0, 250_000_000)], left.schema)
     assert interval_join(dealt, right, ["chrom"], ("s1", "e1"), ("s2", "e2")).count() == sum(t is not None and t <= f and t <= 250_000_000 for _, t, f in two) and plan.columns == ["chrom", "a", "s1", "e1", "b", "s2", "e2"]
+
+
+def test_semi_and_left_joins_make_and_write_no_extra_pairs(spark, monkeypatch):
+    from strandforge.operators import intervals
+
+    a = spark.range(300).selectExpr("id as i", "'a' as chrom", "id as s", "id + 9 as e")
+    b = spark.range(300).selectExpr("id as j", "'a' as chrom", "id as fs", "id + 500 as fe")
+    args = (["chrom"], ("s", "e"), ("fs", "fe"))
+    monkeypatch.setattr(intervals, "staged", lambda df: 1 / 0)
+    assert interval_join(a, b, *args, how="left", left_id=["i"]).count() == sum(max(i, j) <= min(i + 9, j + 500) for i in range(300) for j in range(300))
+    for how in ("left_semi", "left_anti"):
+        plan = interval_join(a, b, *args, how=how, left_id=["i"])._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan
