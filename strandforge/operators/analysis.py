@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import statistics as T
 from ..staging import staged
-from .intervals import interval_join
+from .intervals import Sweep, interval_join
 
 ORDER = ["fst_rna", "fst_rna_ori", "sec_rna", "sec_rna_ori"]
 
@@ -43,6 +43,41 @@ def unique_hits(found: DataFrame, key: list[str], keep: list[str]) -> DataFrame:
     return g.withColumn("h", F.when(F.col("orientation") == "sense", F.col("s")).otherwise(F.col("a"))).select(*key, "orientation", "h.*")
 
 
+class Met:
+    """feature_frequency() and unique_hits() of the hits of reads and features, for which no row a hit is made.
+
+    Hits are counted for each read (Sweep); reads that are too wide for that, and reads whose (by, key) stands in several
+    rows, are joined with the features.
+    """
+
+    def __init__(self, reads: DataFrame, features: DataFrame, key: list[str], by: list[str]):
+        self.features, self.key, self.by = features, key, by
+        self.reads = reads.select(*dict.fromkeys([*by, *key, "chrom", "strand", "start1", "end1"]))
+        mark = F.xxhash64(*by, *key)
+        again = staged(self.reads.groupBy(mark.alias("_k")).agg(F.count("*").alias("n")).where("n > 1").select("_k"))
+        self.sweep = Sweep(self.reads, features, ["chrom"], ("start1", "end1"), ("f_start", "f_end"), ("strand", "f_strand"))
+        self.once, self.rest = self.sweep.narrow, self.sweep.rest
+        if not again.isEmpty():
+            part = lambda df, how: df.withColumn("_k", mark).join(again, "_k", how).drop("_k")
+            many = part(self.once, "left_semi")
+            self.once, self.rest = part(self.once, "left_anti"), many if self.rest is None else self.rest.unionByName(many)
+
+    def frequency(self) -> DataFrame:
+        found = self.sweep.shares(self.once, self.by, ["name"]).withColumn("orientation", F.when(F.col("same"), "sense").otherwise("antisense"))
+        found = found.select(*self.by, "orientation", "name", F.col("share").alias("freq"))
+        if self.rest is not None:
+            found = found.unionByName(feature_frequency(hits(self.rest, self.features, self.key), self.key, self.by))
+        return found.groupBy(*self.by, "orientation", "name").agg(F.sum("freq").alias("freq"))
+
+    def unique(self, keep: list[str]) -> DataFrame:
+        """By key, which must not stand under several `by`; keep: columns of the features."""
+        found = self.sweep.counts(self.once, keep).withColumn("orientation", F.expr("case when n_same = 1 then 'sense' when n_other = 1 then 'antisense' end")).where("orientation is not null")
+        found = found.select(*self.key, "orientation", *(F.expr(f"if(n_same = 1, same_{c}, other_{c})").alias(c) for c in keep))
+        if self.rest is not None:
+            found = found.unionByName(unique_hits(hits(self.rest, self.features, self.key), self.key, keep))
+        return found
+
+
 def partner_key(df: DataFrame, name1: str, ori1: str, name2: str, ori2: str) -> DataFrame:
     """Adds fst_rna, fst_rna_ori, sec_rna, sec_rna_ori: both partners in order."""
     a, b = F.struct(F.col(name1).alias("n"), F.col(ori1).alias("o")), F.struct(F.col(name2).alias("n"), F.col(ori2).alias("o"))

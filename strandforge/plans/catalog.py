@@ -198,12 +198,12 @@ def q_interval_join_left(spark, d):
 
 @query(f"{with_views('reads', 'feature')} select r.read_id from v_reads r where exists (select 1 from v_feature f where {_THETA})")
 def q_interval_join_semi(spark, d):
-    return interval_join(view(spark, d, "reads"), view(spark, d, "feature"), *_SPANS, "left_semi", ["read_id"]).select("read_id")
+    return interval_join(view(spark, d, "reads").select("read_id", "chrom", "start1", "end1"), view(spark, d, "feature"), *_SPANS, "left_semi", ["read_id"]).select("read_id")
 
 
 @query(f"{with_views('reads', 'feature')} select r.read_id from v_reads r where not exists (select 1 from v_feature f where {_THETA})")
 def q_interval_join_anti(spark, d):
-    return interval_join(view(spark, d, "reads"), view(spark, d, "feature"), *_SPANS, "left_anti", ["read_id"]).select("read_id")
+    return interval_join(view(spark, d, "reads").select("read_id", "chrom", "start1", "end1"), view(spark, d, "feature"), *_SPANS, "left_anti", ["read_id"]).select("read_id")
 
 
 _EXONS = "select feature_no, chrom, concat('t', cast(feature_no as varchar(20))) as transcript, f_start + k * 90 as start1, f_start + k * 90 + 40 as end1 from v_feature cross join (values (0), (1), (2)) as e(k)"
@@ -275,23 +275,18 @@ _HITS = f"""{with_views('reads', 'feature')}, hits as (select r.*, f.name, f.bio
 freq as (select sample_id, orientation, name, sum(w) as freq from (select *, 1.0 / count(*) over (partition by read_id) as w from hits) group by sample_id, orientation, name)"""
 
 
-def _hits(spark, d):
-    return A.hits(view(spark, d, "reads"), view(spark, d, "feature"), ["read_id"])
-
-
-def _staged_hits(spark, d):
-    """For plans that use them twice."""
-    return staged(_hits(spark, d).select("read_id", "sample_id", "orientation", "name"))
+def _met(spark, d, by=("sample_id",)):
+    return A.Met(view(spark, d, "reads"), view(spark, d, "feature"), ["read_id"], list(by))
 
 
 @query(f"{_HITS} select sample_id, orientation, name, round(freq, 6) as freq from freq")
 def q_feature_freq(spark, d):
-    return A.feature_frequency(_hits(spark, d), ["read_id"], ["sample_id"]).withColumn("freq", _r("freq"))
+    return _met(spark, d).frequency().withColumn("freq", _r("freq"))
 
 
 @query(f"{_HITS} select sample_id, orientation, name, round(freq / sum(freq) over (partition by sample_id), 6) as freq from freq")
 def q_feature_freq_norm(spark, d):
-    return A.normalised(A.feature_frequency(_hits(spark, d), ["read_id"], ["sample_id"]), ["sample_id"]).withColumn("freq", _r("freq"))
+    return A.normalised(_met(spark, d).frequency(), ["sample_id"]).withColumn("freq", _r("freq"))
 
 
 _UNIQUE = """, g as (select read_id, count(case when orientation = 'sense' then 1 end) as ns, count(case when orientation = 'antisense' then 1 end) as na, max(case when orientation = 'sense' then name end) as s,
@@ -301,7 +296,7 @@ best as (select read_id, case when ns = 1 then 'sense' else 'antisense' end as o
 
 @query(f"{_HITS}{_UNIQUE} select read_id, orientation, name from best")
 def q_unique_hit(spark, d):
-    return A.unique_hits(_hits(spark, d), ["read_id"], ["name"]).select("read_id", "orientation", "name")
+    return _met(spark, d, ()).unique(["name"]).select("read_id", "orientation", "name")
 
 
 #: Pairs of consecutive reads of a query name that both have a unique hit.
@@ -315,9 +310,10 @@ ints as (select x.sample_id, x.cmpl, x.energy, case when (x.partner, x.ori) <= (
 _KEY = "fst_rna, fst_rna_ori, sec_rna, sec_rna_ori"
 
 
-def _interactions(spark, d, found=None):
+def _interactions(spark, d):
     reads = view(spark, d, "reads")
-    best = A.unique_hits(_hits(spark, d) if found is None else found, ["read_id"], ["name"]).select("read_id", F.col("orientation").alias("ori"), F.col("name").alias("partner"))
+    # written first, so that its size is known before the reads are dealt for the join
+    best = staged(_met(spark, d, ()).unique(["name"]).select("read_id", F.col("orientation").alias("ori"), F.col("name").alias("partner")))
     order = Window.partitionBy("qname").orderBy("seg", "read_id")
     b = reads.join(best, "read_id").withColumns({"ori2": F.lead("ori").over(order), "partner2": F.lead("partner").over(order)}).where("partner2 is not null")
     return A.partner_key(b, "partner", "ori", "partner2", "ori2").withColumnsRenamed({"cmpl": "xc", "energy": "xe"})
@@ -351,9 +347,8 @@ select s.sample_id, {_KEY}, round(coalesce(a.f, 0), 6) as f1, round(coalesce(b.f
 left join norm b on b.sample_id = s.sample_id and b.name = sec_rna and b.orientation = sec_rna_ori"""
 )
 def q_freq_lookup(spark, d):
-    found = _staged_hits(spark, d)
-    s = A.interaction_scores(_interactions(spark, d, found), ["sample_id"])
-    s = A.with_frequencies(s, A.normalised(A.feature_frequency(found, ["read_id"], ["sample_id"]), ["sample_id"]))
+    s = A.interaction_scores(_interactions(spark, d), ["sample_id"])
+    s = A.with_frequencies(s, A.normalised(_met(spark, d).frequency(), ["sample_id"]))
     return s.select("sample_id", *A.ORDER, _r(F.coalesce("f1", F.lit(0.0))).alias("f1"), _r(F.coalesce("f2", F.lit(0.0))).alias("f2"))
 
 
@@ -368,9 +363,8 @@ select sample_id, {_KEY}, cast(x as bigint) as supp_reads, round(case when x < 5
 )
 def q_binom_pvalue(spark, d):
     ship(spark)
-    found = _staged_hits(spark, d)
-    scores = A.interaction_scores(_interactions(spark, d, found), ["sample_id"])
-    freq = A.normalised(A.feature_frequency(found, ["read_id"], ["sample_id"]), ["sample_id"])
+    scores = A.interaction_scores(_interactions(spark, d), ["sample_id"])
+    freq = A.normalised(_met(spark, d).frequency(), ["sample_id"])
     reads = view(spark, d, "reads").groupBy("sample_id").agg(F.count("*").alias("n_reads"))
     samples = reads.select("sample_id", F.lit("trtms").alias("grp"), F.lit("c").alias("condition"), F.lit(1).alias("replicate"))
     return A.interaction_stats(scores, freq, reads, samples)[0].select("sample_id", *A.ORDER, "supp_reads", _r("pval", 9).alias("pval"))

@@ -116,6 +116,36 @@ def test_spans_of_all_lengths_meet_once(spark):
     assert interval_join(dealt, right, ["chrom"], ("s1", "e1"), ("s2", "e2")).count() == sum(t is not None and t <= f and t <= 250_000_000 for _, t, f in two) and plan.columns == ["chrom", "a", "s1", "e1", "b", "s2", "e2"]
 
 
+def test_counted_hits_equal_hits(spark):
+    """Reads of any width, equal read ids, null marks and dense features: as the joined pairs tell."""
+    from pyspark.sql import functions as F
+
+    from strandforge.operators import analysis as A
+
+    rnd = random.Random(8)
+    reads = [(f"r{i}", f"s{i % 3}", rnd.choice("ab"), rnd.choice(["+", "-", None]), s := rnd.randint(-9000, 40_000), s + rnd.choice([0, 20, 9000, 60_000])) for i in range(400)]
+    reads += reads[:5] + [(*reads[9][:4], 100, 120), ("n", "s0", None, "+", 1, 5), ("m", "s0", "a", "+", None, 5)]
+    features = [(f"g{j}", rnd.choice("abc"), rnd.choice(["+", "-", None]), s := rnd.randint(-9000, 40_000), s + rnd.choice([0, 50, 300, 30_000])) for j in range(60)]
+    r = spark.createDataFrame(reads, "read_id string, sample_id string, chrom string, strand string, start1 long, end1 long")
+    f = spark.createDataFrame(features, "name string, chrom string, f_strand string, f_start long, f_end long")
+    found = A.hits(r, f, ["read_id"])
+    met = A.Met(r, f, ["read_id"], ["sample_id"])
+    assert met.rest is not None and met.sweep.narrow.count() > 100
+    rows = lambda df: sorted(map(str, df.withColumn("freq", F.round("freq", 9)).collect() if "freq" in df.columns else df.collect()))
+    assert rows(met.frequency()) == rows(A.feature_frequency(found, ["read_id"], ["sample_id"]))
+    assert rows(A.Met(r, f, ["read_id"], []).unique(["name"])) == rows(A.unique_hits(found, ["read_id"], ["name"]))
+    assert A.Met(r, f.limit(0), ["read_id"], []).unique(["name"]).count() == 0 == A.Met(r, f.limit(0), ["read_id"], ["sample_id"]).frequency().count()
+
+
+def test_shares_of_a_power_of_two_are_exact(spark):
+    from strandforge.operators import analysis as A
+
+    r = spark.createDataFrame([("x", "s", "a", "+", 500, 500)] + [(f"r{i}", "s", "a", "+", i, i) for i in range(100)], "read_id string, sample_id string, chrom string, strand string, start1 long, end1 long")
+    f = spark.createDataFrame([(f"g{j}", "a", "+", 400, 600) for j in range(128)] + [("h", "a", "+", 0, 99)], "name string, chrom string, f_strand string, f_start long, f_end long")
+    got = {x.name: x.freq for x in A.Met(r, f, ["read_id"], ["sample_id"]).frequency().collect()}
+    assert got == {"h": 100.0} | {f"g{j}": 1 / 128 for j in range(128)}
+
+
 def test_semi_and_left_joins_make_and_write_no_extra_pairs(spark, monkeypatch):
     from strandforge.operators import intervals
 
