@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import statistics as T
-from ..staging import staged
-from .intervals import Sweep, interval_join
+from ..staging import SHORT_ROWS, staged
+from . import intervals
+from .intervals import Held, Sweep, interval_join
+from .repeats import hash_of, repeated
 
 ORDER = ["fst_rna", "fst_rna_ori", "sec_rna", "sec_rna_ori"]
 
@@ -46,36 +48,66 @@ def unique_hits(found: DataFrame, key: list[str], keep: list[str]) -> DataFrame:
 class Met:
     """feature_frequency() and unique_hits() of the hits of reads and features, for which no row a hit is made.
 
-    Hits are counted for each read (Sweep); reads that are too wide for that, and reads whose (by, key) stands in several
-    rows, are joined with the features.
+    Hits are counted for each read. Where every task can hold all features (Held), reads whose (by, key) stands in several rows
+    are counted alike and their counts added up; else (Sweep) these, and reads that are too wide for that, are joined
+    with the features.
     """
 
-    def __init__(self, reads: DataFrame, features: DataFrame, key: list[str], by: list[str]):
+    def __init__(self, reads: DataFrame, features: DataFrame, key: list[str], by: list[str], keep: tuple[str, ...] = ("name",)):
         self.features, self.key, self.by = features, key, by
-        self.reads = reads.select(*dict.fromkeys([*by, *key, "chrom", "strand", "start1", "end1"]))
-        mark = F.xxhash64(*by, *key)
-        again = staged(self.reads.groupBy(mark.alias("_k")).agg(F.count("*").alias("n")).where("n > 1").select("_k"))
-        self.sweep = Sweep(self.reads, features, ["chrom"], ("start1", "end1"), ("f_start", "f_end"), ("strand", "f_strand"))
+        self.reads = reads
+        args = (["chrom"], ("start1", "end1"), ("f_start", "f_end"), ("strand", "f_strand"))
+        self.held = features.limit(intervals.HOLD + 1).count() <= intervals.HOLD
+        own = reads if self.held else reads.select(*dict.fromkeys([*by, *key, "chrom", "strand", "start1", "end1"]))
+        again = staged(repeated(reads, [*by, *key]), SHORT_ROWS)
+        self.sweep = Held(own, features, *args, list(keep)) if self.held else Sweep(own, features, *args)
         self.once, self.rest = self.sweep.narrow, self.sweep.rest
         if not again.isEmpty():
-            part = lambda df, how: df.withColumn("_k", mark).join(again, "_k", how).drop("_k")
+            part = lambda df, how: df.withColumn("_k", hash_of([*by, *key])).join(again, "_k", how).drop("_k")
             many = part(self.once, "left_semi")
             self.once, self.rest = part(self.once, "left_anti"), many if self.rest is None else self.rest.unionByName(many)
 
     def frequency(self) -> DataFrame:
-        found = self.sweep.shares(self.once, self.by, ["name"]).withColumn("orientation", F.when(F.col("same"), "sense").otherwise("antisense"))
-        found = found.select(*self.by, "orientation", "name", F.col("share").alias("freq"))
-        if self.rest is not None:
+        found = self.sweep.shares(self.once, self.by, ["name"])
+        if self.held and self.rest is not None:
+            cols = list(dict.fromkeys([*self.by, *self.key, "chrom", "strand", "start1", "end1"]))
+            each = self.sweep.counts(self.rest, cols, []).withColumn("_n", F.sum(F.expr("n_same + n_other")).over(Window.partitionBy(*self.by, *self.key)))
+            found = found.unionByName(self.sweep.shares(each, self.by, ["name"], "_n"))
+        found = found.select(*self.by, F.when(F.col("same"), "sense").otherwise("antisense").alias("orientation"), "name", F.col("share").alias("freq"))
+        if not self.held and self.rest is not None:
             found = found.unionByName(feature_frequency(hits(self.rest, self.features, self.key), self.key, self.by))
         return found.groupBy(*self.by, "orientation", "name").agg(F.sum("freq").alias("freq"))
 
+    def _one(self, counted: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
+        found = counted.withColumn("orientation", F.expr("case when n_same = 1 then 'sense' when n_other = 1 then 'antisense' end")).where("orientation is not null")
+        return found.select(*cols, "orientation", *(F.expr(f"if(n_same = 1, same_{c}, other_{c})").alias(c) for c in keep))
+
+    def _many(self, keep: list[str]) -> DataFrame:
+        """unique() of the rest."""
+        if not self.held:
+            return unique_hits(hits(self.rest, self.features, self.key), self.key, keep)
+        # where the counts of a key sum up to 1, one row alone has the hit
+        row = lambda o: F.max(F.when(F.col(f"n_{o}") == 1, F.struct(*(F.col(f"{o}_{c}").alias(c) for c in keep)))).alias(o)
+        sums = self.sweep.counts(self.rest, self.key, keep).groupBy(*self.key).agg(F.sum("n_same").alias("_ns"), F.sum("n_other").alias("_no"), row("same"), row("other"))
+        sums = sums.select(*self.key, F.col("_ns").alias("n_same"), F.col("_no").alias("n_other"), *(F.col(f"{o}.{c}").alias(f"{o}_{c}") for c in keep for o in ("same", "other")))
+        return self._one(sums, self.key, keep)
+
     def unique(self, keep: list[str]) -> DataFrame:
-        """By key, which must not stand under several `by`; keep: columns of the features."""
-        found = self.sweep.counts(self.once, keep).withColumn("orientation", F.expr("case when n_same = 1 then 'sense' when n_other = 1 then 'antisense' end")).where("orientation is not null")
-        found = found.select(*self.key, "orientation", *(F.expr(f"if(n_same = 1, same_{c}, other_{c})").alias(c) for c in keep))
-        if self.rest is not None:
-            found = found.unionByName(unique_hits(hits(self.rest, self.features, self.key), self.key, keep))
-        return found
+        """By key, which must not stand under several `by`; keep: columns of the features, as given."""
+        counted = staged(self.sweep.counts(self.once, self.key, keep, only=True), SHORT_ROWS) if self.held else self.sweep.counts(self.once, keep)
+        found = self._one(counted, self.key, keep)
+        return found if self.rest is None else found.unionByName(self._many(keep))
+
+    def with_unique(self, keep: list[str], cols: list[str]) -> DataFrame:
+        """cols (the key among them) of all rows whose key has a unique hit, and what that is."""
+        if not self.held:
+            # written first, so that its size is known before the reads are dealt for the join
+            return self.reads.select(*cols).join(staged(self.unique(keep)), self.key)
+        found = self._one(staged(self.sweep.counts(self.once, cols, keep, only=True), SHORT_ROWS), cols, keep).where(" and ".join(f"{k} is not null" for k in self.key))
+        if self.rest is None:
+            return found
+        again = self.reads.select(*cols).join(staged(self._many(keep)), self.key)
+        return found.unionByName(again)
 
 
 def partner_key(df: DataFrame, name1: str, ori1: str, name2: str, ori2: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -10,12 +12,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from ..staging import staged
+from ..staging import SHORT_ROWS, staged
 
 #: Bins grow by this factor from level to level; an interval takes the first level where it meets few bins.
 LEVEL_FACTOR, LEVELS, FEW = 64, 4, 32
 #: Least width of the bins in which spans are counted, and the rows that a task holds of one bin before it adds them up.
 SWEEP_WIDTH, HELD = 8192, 1 << 20
+#: Most right spans that every task may hold at once, stretches into which they are dealt then, left rows that travel as one and that are counted at once.
+HOLD, STRETCHES, PACK, COUNTED = 1 << 21, 512, 1 << 14, 1 << 17
 
 
 def _width(bin_size: int, level: str):
@@ -116,6 +120,35 @@ def _by_bin(batches):
                 parts.append(rows)
 
 
+def _key(keys: list[str]):
+    """The keys as one string, with lengths, so that no two lists of keys read alike."""
+    return F.concat(*(x for k in keys for x in (F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string"))))
+
+
+def _added(bin_: _Bin, rows: pa.Table, n: np.ndarray, by: list[str], keep: list[str], plain: bool):
+    """Sums by (by, same, right span) of the 1/n that each left row gives to each right span it meets."""
+    s, e = rows["_s"].to_numpy(), rows["_e"].to_numpy()
+    # whole numbers of 2^-62 in two halves, so that what is added and taken off again leaves nothing
+    q = (1 << 62) // n
+    codes = np.zeros(len(n), dtype=np.int64)
+    for c in [*(f"l_{c}" for c in by), "_mark"]:
+        x = rows[c].combine_chunks().dictionary_encode(null_encoding="encode")
+        x = x.chunk(0) if isinstance(x, pa.ChunkedArray) else x
+        codes = np.unique(codes * (len(x.dictionary) + 1) + x.indices.to_numpy(), return_inverse=True)[1]
+    order = np.argsort(codes, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(codes[order])) + 1):
+        first, last = at[np.argsort(s[at])], at[np.argsort(e[at])]
+        a, b = np.searchsorted(s[first], bin_.e, side="right"), np.searchsorted(e[last], bin_.s, side="left")
+        half = lambda f: np.concatenate([[0], np.cumsum(f(q[first]))])[a] - np.concatenate([[0], np.cumsum(f(q[last]))])[b]
+        high, low = half(lambda x: x >> 31), half(lambda x: x & (1 << 31) - 1)
+        hit = np.flatnonzero((high > 0) | (low > 0))
+        mark = rows["_mark"][int(at[0])].as_py()
+        same = np.ones(len(hit), dtype=bool) if plain else bin_.same(mark)[hit]
+        yield pa.RecordBatch.from_arrays(
+            [*(rows[f"l_{c}"].take(pa.array(np.full(len(hit), at[0]))).combine_chunks() for c in by), pa.array(same), *(bin_.rows[f"r_{c}"].take(pa.array(hit)).combine_chunks() for c in keep), pa.array(high[hit] * 2.0**-31 + low[hit] * 2.0**-62)], names=[*by, "same", *keep, "share"]
+        )
+
+
 class Sweep:
     """How many right spans each left row meets, and sums over left rows for each right span, without a row a pair.
 
@@ -144,9 +177,7 @@ class Sweep:
         mark = [F.col(self.same[i]).cast("string") if self.same else F.lit("") for i in range(2)]
 
         def cut(df: DataFrame, side: int, own: list[str], others: list) -> DataFrame:
-            # with lengths, so that no two lists of keys read alike
-            key = F.concat(*(x for k in self.keys for x in (F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string"))), F.col("_bin").cast("string"))
-            df = df.withColumns({"_key": key, "_mark": mark[side]})
+            df = df.withColumns({"_key": F.concat(_key(self.keys), F.col("_bin").cast("string")), "_mark": mark[side]})
             g = F.xxhash64("_key").bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(1 - side)).alias("_g")
             return df.select(g, "_key", "_mark", "_s", "_e", *(F.col(c).alias(f"{'lr'[side]}_{c}") for c in own), *others)
 
@@ -182,28 +213,7 @@ class Sweep:
         plain = self.same is None
 
         def added(bin_, held):
-            rows = pa.Table.from_batches([r for r, _ in held]).combine_chunks()
-            n = np.concatenate([n for _, n in held])
-            s, e = rows["_s"].to_numpy(), rows["_e"].to_numpy()
-            # whole numbers of 2^-62 in two halves, so that what is added and taken off again leaves nothing
-            q = (1 << 62) // n
-            codes = np.zeros(len(n), dtype=np.int64)
-            for c in [*(f"l_{c}" for c in by), "_mark"]:
-                x = rows[c].combine_chunks().dictionary_encode(null_encoding="encode")
-                x = x.chunk(0) if isinstance(x, pa.ChunkedArray) else x
-                codes = np.unique(codes * (len(x.dictionary) + 1) + x.indices.to_numpy(), return_inverse=True)[1]
-            order = np.argsort(codes, kind="stable")
-            for at in np.split(order, np.flatnonzero(np.diff(codes[order])) + 1):
-                first, last = at[np.argsort(s[at])], at[np.argsort(e[at])]
-                a, b = np.searchsorted(s[first], bin_.e, side="right"), np.searchsorted(e[last], bin_.s, side="left")
-                half = lambda f: np.concatenate([[0], np.cumsum(f(q[first]))])[a] - np.concatenate([[0], np.cumsum(f(q[last]))])[b]
-                high, low = half(lambda x: x >> 31), half(lambda x: x & (1 << 31) - 1)
-                hit = np.flatnonzero((high > 0) | (low > 0))
-                mark = rows["_mark"][int(at[0])].as_py()
-                same = np.ones(len(hit), dtype=bool) if plain else bin_.same(mark)[hit]
-                yield pa.RecordBatch.from_arrays(
-                    [*(rows[f"l_{c}"].take(pa.array(np.full(len(hit), at[0]))).combine_chunks() for c in by), pa.array(same), *(bin_.rows[f"r_{c}"].take(pa.array(hit)).combine_chunks() for c in keep), pa.array(high[hit] * 2.0**-31 + low[hit] * 2.0**-62)], names=[*by, "same", *keep, "share"]
-                )
+            return _added(bin_, pa.Table.from_batches([r for r, _ in held]).combine_chunks(), np.concatenate([n for _, n in held]), by, keep, plain)
 
         def run(batches):
             now, held = None, []
@@ -223,6 +233,220 @@ class Sweep:
         return self._dealt(left, by, keep).mapInArrow(run, ", ".join(schema))
 
 
+class _Axis:
+    """Spans of many groups behind one another on one axis, so that rows of all groups are searched for at once."""
+
+    def __init__(self, group: np.ndarray, s: np.ndarray, e: np.ndarray, number: np.ndarray, groups: int):
+        self.low, self.high = np.zeros(groups, dtype=np.int64), np.full(groups, -1, dtype=np.int64)
+        some = np.unique(group)
+        for k, i, j in zip(some, np.searchsorted(group, some), np.searchsorted(group, some, side="right")):
+            self.low[k], self.high[k] = s[i:j].min(), e[i:j].max()
+        # a place before and one behind each group's spans
+        self.at = np.concatenate([[0], np.cumsum(self.high - self.low + 3)])[:-1]
+        self.spans = _Spans(self._place(group, s), self._place(group, e), number)
+
+    def _place(self, group: np.ndarray, x: np.ndarray) -> np.ndarray:
+        low = self.low[group]
+        return np.clip(x, low - 1, self.high[group] + 1) - low + 1 + self.at[group]
+
+    def meet(self, group: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As _Spans.meet; groups below 0 have no spans. Fast if s is sorted within groups."""
+        s, e = (np.where(group < 0, -1, self._place(group, x)) if len(self.at) else np.full(len(x), -1) for x in (s, e))
+        return self.spans.meet(s, e)
+
+
+class _HeldSpans:
+    """All right spans, as a task holds them."""
+
+    def __init__(self, raw: bytes):
+        self.rows = pa.ipc.open_stream(raw).read_all().sort_by("_key").combine_chunks()
+        self.s, self.e = (self.rows[c].to_numpy() for c in ("_s", "_e"))
+        self.keys, key = self._codes(self.rows["_key"], {})
+        self.marks, mark = self._codes(self.rows["_mark"], {})
+        self.first = np.searchsorted(key, np.arange(len(self.keys) + 1))
+        self.all = _Axis(key, self.s, self.e, np.arange(len(key)), len(self.keys))
+        pair = np.where(mark < 0, -1, key * len(self.marks) + mark)
+        at = np.argsort(pair, kind="stable")[np.count_nonzero(pair < 0) :]
+        self.marked = _Axis(pair[at], self.s[at], self.e[at], at, len(self.keys) * len(self.marks))
+
+    @staticmethod
+    def _codes(x: pa.ChunkedArray, known: dict) -> tuple[dict, np.ndarray]:
+        """Numbers of the values, which are those in known, or, if that is empty, new ones; -1 for null and others."""
+        x = x.combine_chunks().dictionary_encode()
+        x = x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x
+        known = known or {v: k for k, v in enumerate(x.dictionary.to_pylist())}
+        code = np.array([*(known.get(v, -1) for v in x.dictionary.to_pylist()), -1], dtype=np.int64)
+        return known, code[pc.fill_null(x.indices, -1).to_numpy(zero_copy_only=False)]
+
+    def meet(self, rows: pa.Table, plain: bool) -> tuple[np.ndarray, ...]:
+        """Of each left row how many spans it meets, the sum of their numbers, and the same for spans of its mark."""
+        s, e = rows["_s"].to_numpy(), rows["_e"].to_numpy()
+        key = self._codes(rows["_key"], self.keys)[1] if self.keys else np.full(len(s), -1)
+        at = np.lexsort((s, key))
+        back = np.empty_like(at)
+        back[at] = np.arange(len(at))
+        s, e, key = s[at], e[at], key[at]
+        n, number = (x[back] for x in self.all.meet(key, s, e))
+        if plain:
+            return n, number, n, number
+        mark = self._codes(rows["_mark"], self.marks)[1][at] if self.marks else np.full(len(s), -1)
+        return n, number, *(x[back] for x in self.marked.meet(np.where((key < 0) | (mark < 0), -1, key * len(self.marks) + mark), s, e))
+
+    def near(self, key, s: int, e: int) -> _Bin:
+        """The spans of a key that meet a stretch."""
+        k = self.keys.get(key)
+        i, j = (0, 0) if k is None else self.first[k : k + 2]
+        at = i + np.flatnonzero((self.s[i:j] <= e) & (self.e[i:j] >= s))
+        return _Bin(self.rows.take(pa.array(at)).to_batches(), self.rows.schema)
+
+
+_opened: dict[str, _HeldSpans] = {}
+
+
+def _open(held) -> _HeldSpans:
+    """Once in each worker; the last two stay."""
+    name, raw = held.value
+    if name not in _opened:
+        while len(_opened) > 1:
+            del _opened[next(iter(_opened))]
+        _opened[name] = _HeldSpans(raw)
+    return _opened[name]
+
+
+def _joined(batches, most: int):
+    """Tables of at least so many rows, but the last."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= most:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _packed(rows: pa.Table, width: int) -> pa.RecordBatch:
+    """Left rows by (key, stretch), as compressed bytes; starts are differences."""
+    rows = pa.table({c: rows[c].combine_chunks() if c in ("_s", "_e", "_n") else rows[c].combine_chunks().dictionary_encode() for c in rows.column_names})
+    key, s = rows["_key"].combine_chunks(), rows["_s"].to_numpy()
+    key = key.chunk(0) if isinstance(key, pa.ChunkedArray) else key
+    order = np.lexsort((s, key.indices.to_numpy()))
+    rows, k, s = rows.drop(["_key"]).take(pa.array(order)).combine_chunks(), key.indices.to_numpy()[order], s[order]
+    size, at = rows["_e"].to_numpy() - s, s // width
+    cut = np.concatenate([[0], np.flatnonzero((k[1:] != k[:-1]) | (at[1:] != at[:-1])) + 1, [len(s)]])
+    cut = [(x, min(x + PACK, j)) for i, j in zip(cut[:-1], cut[1:]) for x in range(i, j, PACK)]
+    out = []
+    for i, j in cut:
+        part = rows.slice(i, j - i)
+        part = part.set_column(part.column_names.index("_s"), "_s", pa.array(np.diff(s[i:j], prepend=0))).set_column(part.column_names.index("_e"), "_e", pa.array(size[i:j]))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+            w.write_table(part)
+        out.append(sink.getvalue().to_pybytes())
+    names = key.dictionary.to_pylist()
+    return pa.RecordBatch.from_arrays([pa.array([names[k[i]] for i, _ in cut], pa.string()), pa.array([at[i] for i, _ in cut], pa.int64()), pa.array(out, pa.binary())], names=["_key", "_bin", "_rows"])
+
+
+def _unpacked(raws: list[bytes]) -> pa.Table:
+    parts = []
+    for raw in raws:
+        t = pa.ipc.open_stream(raw).read_all()
+        s = np.cumsum(t["_s"].to_numpy())
+        put = {"_s": pa.array(s), "_e": pa.array(s + t["_e"].to_numpy())}
+        parts.append(pa.table({c: put.get(c, t[c].cast(t[c].type.value_type) if pa.types.is_dictionary(t[c].type) else t[c]) for c in t.column_names}))
+    return pa.concat_tables(parts).combine_chunks()
+
+
+class Held:
+    """What Sweep tells, with all right spans, of which there are HOLD at most, in every task.
+
+    Left rows may be of any width and are counted where they are read. Only to add up shares do they travel, packed by
+    (key, stretch of positions), without the columns that tell them apart.
+    narrow: the left rows that can meet any span; keep: the columns of the right spans that are asked for.
+    """
+
+    def __init__(self, left: DataFrame, right: DataFrame, keys: list[str], left_span: tuple[str, str], right_span: tuple[str, str], same: tuple[str, str] | None, keep: list[str]):
+        spark = left.sparkSession
+        ship(spark)
+        self.same, self.keys, self.left_span = same, keys, left_span
+        valid = lambda s, e: " and ".join([f"{s} <= {e}", *(f"{k} is not null" for k in keys)])
+        self.narrow, self.right, self.rest = left.where(valid(*left_span)), right, None
+        rows = self._spans(right.where(valid(*right_span)), 1, right_span, [F.col(c).alias(f"r_{c}") for c in keep]).toArrow()
+        ends = rows.group_by("_key").aggregate([("_s", "min"), ("_e", "max")])
+        self.width = max(SWEEP_WIDTH, sum(e - s for s, e in zip(ends["_s_min"].to_pylist(), ends["_e_max"].to_pylist())) // STRETCHES)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+            w.write_table(rows)
+        self.held = spark.sparkContext.broadcast((uuid.uuid4().hex, sink.getvalue().to_pybytes()))
+
+    def _spans(self, df: DataFrame, side: int, span: tuple[str, str], others: list) -> DataFrame:
+        mark = F.col(self.same[side]).cast("string") if self.same else F.lit("")
+        key = _key(self.keys) if len(self.keys) > 1 else F.col(self.keys[0]).cast("string")
+        return df.select(key.alias("_key"), mark.alias("_mark"), F.col(span[0]).cast("long").alias("_s"), F.col(span[1]).cast("long").alias("_e"), *others)
+
+    def counts(self, left: DataFrame, cols: list[str], keep: list[str], only: bool = False) -> DataFrame:
+        """cols of the left rows that meet spans, with n_same, n_other and, for each c of keep, same_c and other_c of the only such span.
+
+        only: the left rows alone that have one such span of either kind.
+        """
+        plain, held = self.same is None, self.held
+
+        def run(batches):
+            spans = _open(held)
+            for rows in _joined(batches, COUNTED):
+                n, number, n_same, which = spans.meet(rows, plain)
+                other, rest = n - n_same, number - which
+                hit = np.flatnonzero((n_same == 1) | (other == 1) if only else n > 0)
+                if len(hit):
+                    one = lambda m, k: pa.array(np.where(m == 1, k, 0)[hit], mask=(m != 1)[hit])
+                    kept = [spans.rows[f"r_{c}"].take(x).combine_chunks() for c in keep for x in (one(n_same, which), one(other, rest))]
+                    out = [*(rows[f"l_{c}"].take(pa.array(hit)).combine_chunks() for c in cols), pa.array(n_same[hit]), pa.array(other[hit]), *kept]
+                    yield pa.RecordBatch.from_arrays(out, names=[*cols, "n_same", "n_other", *(f"{o}_{c}" for c in keep for o in ("same", "other"))])
+
+        kind = lambda df, c: df.schema[c].dataType.simpleString()
+        schema = [f"`{c}` {kind(left, c)}" for c in cols] + ["n_same long", "n_other long"] + [f"`{o}_{c}` {kind(self.right, c)}" for c in keep for o in ("same", "other")]
+        return self._spans(left, 0, self.left_span, [F.col(c).alias(f"l_{c}") for c in cols]).mapInArrow(run, ", ".join(schema))
+
+    def shares(self, left: DataFrame, by: list[str], keep: list[str], total: str | None = None) -> DataFrame:
+        """Parts of the sums by (by, same, keep) to which each left row gives 1/n for each right span it meets.
+
+        n: the spans it meets, or what stands in the column total.
+        """
+        plain, held, width = self.same is None, self.held, self.width
+
+        def pack(batches):
+            for rows in _joined(batches, HELD):
+                yield _packed(rows, width)
+
+        def added(key, raws):
+            rows = _unpacked(raws)
+            s, e = rows["_s"].to_numpy(), rows["_e"].to_numpy()
+            bin_ = _open(held).near(key, s.min(), e.max())
+            met = bin_.all.meet(s, e)[0]
+            hit = np.flatnonzero(met)
+            if len(hit):
+                yield from _added(bin_, rows.take(pa.array(hit)).combine_chunks(), (rows["_n"].to_numpy() if total else met)[hit], by, keep, plain)
+
+        def run(batches):
+            now, raws = None, []
+            for b in batches:
+                for key, at, raw in zip(b["_key"].to_pylist(), b["_bin"].to_pylist(), b["_rows"].to_pylist()):
+                    if raws and ((key, at) != now or len(raws) * PACK > 4 * HELD):
+                        yield from added(now[0], raws)
+                        raws = []
+                    now = key, at
+                    raws.append(raw)
+            if raws:
+                yield from added(now[0], raws)
+
+        kind = lambda df, c: f"`{c}` {df.schema[c].dataType.simpleString()}"
+        schema = [*(kind(left, c) for c in by), "same boolean", *(kind(self.right, c) for c in keep), "share double"]
+        rows = self._spans(left, 0, self.left_span, [*(F.col(c).alias(f"l_{c}") for c in by), *([F.col(total).cast("long").alias("_n")] if total else [])])
+        packed = staged(rows.mapInArrow(pack, "_key string, _bin long, _rows binary"), SHORT_ROWS)
+        return packed.repartition("_key", "_bin").sortWithinPartitions("_key", "_bin").mapInArrow(run, ", ".join(schema))
+
+
 def islands(df: DataFrame, keys: list[str], start: str, end: str, dist: int = 0, bin_size: int = 1 << 16, name: str = "island") -> DataFrame:
     """Adds the start of each row's island: a maximal run of spans with gaps of at most dist.
 

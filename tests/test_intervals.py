@@ -157,3 +157,56 @@ def test_semi_and_left_joins_make_and_write_no_extra_pairs(spark, monkeypatch):
     for how in ("left_semi", "left_anti"):
         plan = interval_join(a, b, *args, how=how, left_id=["i"])._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan
+
+
+def odd_reads(spark):
+    rnd = random.Random(21)
+    reads = [(f"r{i}", f"s{i % 3}", rnd.choice(["a", "b", None]), rnd.choice(["+", "-", None]), s := rnd.randint(-9000, 90_000), s + rnd.choice([0, 20, 9000, 60_000])) for i in range(300)]
+    reads += reads[:5] * 3 + [(*reads[9][:4], 100, 120), ("m", "s0", "a", "+", None, 5), ("w", "s0", "a", "+", 9, 3)]
+    # some only just meet, some touch none
+    features = [(f"g{j % 55}", rnd.choice(["a", "b", "c", None]), rnd.choice(["+", "-", None]), s := rnd.randint(-9000, 90_000), s + rnd.choice([0, 50, 300, 30_000])) for j in range(60)]
+    r = spark.createDataFrame(reads, "read_id string, sample_id string, chrom string, strand string, start1 long, end1 long")
+    return r, spark.createDataFrame(features, "name string, chrom string, f_strand string, f_start long, f_end long")
+
+
+def test_held_and_dealt_features_tell_the_same(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from strandforge.operators import analysis as A
+    from strandforge.operators import intervals
+
+    r, f = odd_reads(spark)
+    rows = lambda df: sorted(map(str, df.withColumn("freq", F.round("freq", 9)).collect() if "freq" in df.columns else df.collect()))
+    cols = ["read_id", "start1"]
+
+    def told():
+        one = A.Met(r, f, ["read_id"], [])
+        return [rows(A.Met(r, f, ["read_id"], ["sample_id"]).frequency()), rows(one.unique(["name"])), rows(one.with_unique(["name"], cols).select("read_id", "start1", "orientation", "name"))]
+
+    found = A.hits(r, f, ["read_id"])
+    best = A.unique_hits(found, ["read_id"], ["name"])
+    want = [rows(A.feature_frequency(found, ["read_id"], ["sample_id"])), rows(best), rows(r.select(*cols).join(best, "read_id").select("read_id", "start1", "orientation", "name"))]
+    assert len(want[1]) > 20 and told() == want
+    monkeypatch.setattr(intervals, "HOLD", 0)
+    assert told() == want
+
+
+def test_hits_of_repeated_reads_are_not_joined(spark, monkeypatch):
+    """Reads are counted where they are read, also those whose id stands in several rows."""
+    from strandforge.operators import analysis as A
+
+    monkeypatch.setattr(A, "interval_join", lambda *a, **b: 1 / 0)
+    r, f = odd_reads(spark)
+    met = A.Met(r, f, ["read_id"], [])
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert met.rest is not None and met.unique(["name"]).count() and A.Met(r, f, ["read_id"], ["sample_id"]).frequency().count()
+    once = A.Met(r.dropDuplicates(["read_id"]), f, ["read_id"], [])
+    assert once.rest is None and "Join" not in plan(once.unique(["name"])) + plan(once.with_unique(["name"], ["read_id", "start1"]))
+
+
+def test_repeated_hashes(spark):
+    from strandforge.operators.repeats import hash_of, repeated
+
+    df = spark.range(5000).selectExpr("cast(id % 4000 as string) as a", "if(id = 7, null, 'x') as b").union(spark.createDataFrame([("n", None)] * 4, "a string, b string"))
+    assert {x._k for x in repeated(df, ["a", "b"]).collect()} == {x.k for x in df.groupBy("a", "b").count().where("count > 1").select(hash_of(["a", "b"]).alias("k")).collect()}
+    assert repeated(df.limit(0), ["a"]).count() == 0
