@@ -311,11 +311,9 @@ _KEY = "fst_rna, fst_rna_ori, sec_rna, sec_rna_ori"
 
 
 def _interactions(spark, d):
-    reads = view(spark, d, "reads")
-    # written first, so that its size is known before the reads are dealt for the join
-    best = staged(_met(spark, d, ()).unique(["name"]).select("read_id", F.col("orientation").alias("ori"), F.col("name").alias("partner")))
+    found = _met(spark, d, ()).with_unique(["name"], ["read_id", "qname", "seg", "sample_id", "cmpl", "energy"]).withColumnsRenamed({"orientation": "ori", "name": "partner"})
     order = Window.partitionBy("qname").orderBy("seg", "read_id")
-    b = reads.join(best, "read_id").withColumns({"ori2": F.lead("ori").over(order), "partner2": F.lead("partner").over(order)}).where("partner2 is not null")
+    b = found.withColumns({"ori2": F.lead("ori").over(order), "partner2": F.lead("partner").over(order)}).where("partner2 is not null")
     return A.partner_key(b, "partner", "ori", "partner2", "ori2").withColumnsRenamed({"cmpl": "xc", "energy": "xe"})
 
 
