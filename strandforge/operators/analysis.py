@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import statistics as T
-from ..staging import SHORT_ROWS, staged
+from ..staging import SHORT_ROWS, SHUFFLED_ONCE, staged
 from . import intervals
 from .intervals import Held, Sweep, interval_join
 from .repeats import hash_of, repeated
@@ -59,7 +59,7 @@ class Met:
         args = (["chrom"], ("start1", "end1"), ("f_start", "f_end"), ("strand", "f_strand"))
         self.held = features.limit(intervals.HOLD + 1).count() <= intervals.HOLD
         own = reads if self.held else reads.select(*dict.fromkeys([*by, *key, "chrom", "strand", "start1", "end1"]))
-        again = staged(repeated(reads, [*by, *key]), SHORT_ROWS)
+        again = staged(repeated(reads, [*by, *key]), SHORT_ROWS | SHUFFLED_ONCE)
         self.sweep = Held(own, features, *args, list(keep)) if self.held else Sweep(own, features, *args)
         self.once, self.rest = self.sweep.narrow, self.sweep.rest
         if not again.isEmpty():
@@ -172,13 +172,13 @@ def count_table(stats: DataFrame, samples: list[tuple[str, str, int]]) -> DataFr
 
 
 def graph(interactions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes (id, label, orientation), one for each partner and orientation, and edges (source, target, relation)."""
-    interactions = staged(interactions.select(*ORDER).distinct())
+    """Nodes (id, label, orientation), one for each partner and orientation, and edges (source, target, relation, and the partners)."""
+    interactions = staged(interactions.select(*ORDER).distinct(), SHUFFLED_ONCE)
     ends = interactions.select(F.col("fst_rna").alias("label"), F.col("fst_rna_ori").alias("orientation")).union(interactions.select("sec_rna", "sec_rna_ori")).distinct()
     # hashes of the content as ids: no global numbering is needed
     node = lambda a, b: F.hex(F.xxhash64(a, b))
     nodes = ends.select(node("label", "orientation").alias("id"), "label", "orientation")
-    edges = interactions.select(node("fst_rna", "fst_rna_ori").alias("source"), node("sec_rna", "sec_rna_ori").alias("target"), F.lit("basepairing").alias("relation"))
+    edges = interactions.select(node("fst_rna", "fst_rna_ori").alias("source"), node("sec_rna", "sec_rna_ori").alias("target"), F.lit("basepairing").alias("relation"), *ORDER)
     return nodes, edges
 
 

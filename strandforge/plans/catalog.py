@@ -454,6 +454,5 @@ def q_graph_nodes(spark, d):
 
 @query(f"{_HITS}{_INTER} select distinct concat(fst_rna, ':', fst_rna_ori) as source, concat(sec_rna, ':', sec_rna_ori) as target, 'basepairing' as relation from ints")
 def q_graph_edges(spark, d):
-    nodes, edges = A.graph(_interactions(spark, d))
-    name = lambda p: nodes.select(F.col("id").alias(p), F.concat("label", F.lit(":"), "orientation").alias(f"{p}_name"))
-    return edges.join(name("source"), "source").join(name("target"), "target").select(F.col("source_name").alias("source"), F.col("target_name").alias("target"), "relation")
+    name = lambda p: F.concat(f"{p}_rna", F.lit(":"), f"{p}_rna_ori")
+    return A.graph(_interactions(spark, d))[1].select(name("fst").alias("source"), name("sec").alias("target"), "relation")

@@ -107,4 +107,4 @@ def graph_document(nodes: DataFrame, edges: DataFrame, most: int = 1_000_000) ->
     if nodes.count() + edges.count() > most:
         raise ValueError("the graph is too large for one document; use graph_lines()")
     found = {r["id"]: {"label": r["label"], "metadata": {"orientation": r["orientation"]}} for r in nodes.orderBy("id").collect()}
-    return {"graph": {"directed": "false"}, "nodes": found, "edges": [r.asDict() for r in edges.orderBy("source", "target").collect()]}
+    return {"graph": {"directed": "false"}, "nodes": found, "edges": [r.asDict() for r in edges.select("source", "target", "relation").orderBy("source", "target").collect()]}

@@ -15,3 +15,9 @@ def test_hits_are_not_joined_back_to_the_reads(spark, sf, name, monkeypatch):
     if name == "q_pair_pivot_counts":
         put(out)  # the graph joins the names of its nodes at last
     assert len(plans) > 2 and not any("Join" in p for p in plans) and out.count()
+
+
+def test_edges_are_named_without_a_join(spark, sf):
+    """Edges bring the names of their ends, so neither they nor the nodes are dealt."""
+    out = QUERIES["q_graph_edges"](spark, sf)
+    assert out.count() and "Join" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -210,3 +210,18 @@ def test_repeated_hashes(spark):
     df = spark.range(5000).selectExpr("cast(id % 4000 as string) as a", "if(id = 7, null, 'x') as b").union(spark.createDataFrame([("n", None)] * 4, "a string, b string"))
     assert {x._k for x in repeated(df, ["a", "b"]).collect()} == {x.k for x in df.groupBy("a", "b").count().where("count > 1").select(hash_of(["a", "b"]).alias("k")).collect()}
     assert repeated(df.limit(0), ["a"]).count() == 0
+
+
+def test_ids_of_one_row_share_no_hash(spark):
+    """Of 36 million ids, some of these share a hash of 50 bits, so all reads were read again."""
+    import numpy as np
+    import pyarrow as pa
+
+    from strandforge.operators.repeats import LOW, TOP, _pack, _unpacked
+
+    n = 36_000_000
+    assert n * n / 2 / 2 ** (TOP + LOW) < 0.01
+    h = np.random.default_rng(3).integers(0, 1 << TOP + LOW, 3000)
+    h = np.concatenate([h, [0, (1 << TOP + LOW) - 1, 5 << LOW, 5 << LOW]])
+    got = [(g << LOW) + x for b in _pack([pa.record_batch([pa.array(h)], names=["_k"])]) for g, low in zip(*(c.to_pylist() for c in b.columns)) for x in _unpacked(low).tolist()]
+    assert sorted(got) == sorted(h.tolist())
