@@ -68,13 +68,16 @@ class Met:
             self.once, self.rest = part(self.once, "left_anti"), many if self.rest is None else self.rest.unionByName(many)
 
     def frequency(self) -> DataFrame:
-        found = self.sweep.shares(self.once, self.by, ["name"])
-        if self.held and self.rest is not None:
-            cols = list(dict.fromkeys([*self.by, *self.key, "chrom", "strand", "start1", "end1"]))
-            each = self.sweep.counts(self.rest, cols, []).withColumn("_n", F.sum(F.expr("n_same + n_other")).over(Window.partitionBy(*self.by, *self.key)))
-            found = found.unionByName(self.sweep.shares(each, self.by, ["name"], "_n"))
-        found = found.select(*self.by, F.when(F.col("same"), "sense").otherwise("antisense").alias("orientation"), "name", F.col("share").alias("freq"))
-        if not self.held and self.rest is not None:
+        named = lambda found: found.select(*self.by, F.when(F.col("same"), "sense").otherwise("antisense").alias("orientation"), "name", F.col("share").alias("freq"))
+        if self.held:
+            parts = [(self.once, None)]
+            if self.rest is not None:
+                cols = list(dict.fromkeys([*self.by, *self.key, "chrom", "strand", "start1", "end1"]))
+                each = self.sweep.counts(self.rest, cols, []).withColumn("_n", F.sum(F.expr("n_same + n_other")).over(Window.partitionBy(*self.by, *self.key)))
+                parts.append((each, "_n"))
+            return named(self.sweep.sums(parts, self.by, ["name"]))
+        found = named(self.sweep.shares(self.once, self.by, ["name"]))
+        if self.rest is not None:
             found = found.unionByName(feature_frequency(hits(self.rest, self.features, self.key), self.key, self.by))
         return found.groupBy(*self.by, "orientation", "name").agg(F.sum("freq").alias("freq"))
 

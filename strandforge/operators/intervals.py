@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from ..staging import SHORT_ROWS, staged
+from ..staging import SHORT_ROWS, SHUFFLED_ONCE, staged
 
 #: Bins grow by this factor from level to level; an interval takes the first level where it meets few bins.
 LEVEL_FACTOR, LEVELS, FEW = 64, 4, 32
@@ -20,6 +20,8 @@ LEVEL_FACTOR, LEVELS, FEW = 64, 4, 32
 SWEEP_WIDTH, HELD = 8192, 1 << 20
 #: Most right spans that every task may hold at once, stretches into which they are dealt then, left rows that travel as one and that are counted at once.
 HOLD, STRETCHES, PACK, COUNTED = 1 << 21, 512, 1 << 14, 1 << 17
+#: Numbered values of held right spans whose sums travel as one; twice as many are told by two bytes.
+NUMBERS = 1 << 12
 
 
 def _width(bin_size: int, level: str):
@@ -125,8 +127,8 @@ def _key(keys: list[str]):
     return F.concat(*(x for k in keys for x in (F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string"))))
 
 
-def _added(bin_: _Bin, rows: pa.Table, n: np.ndarray, by: list[str], keep: list[str], plain: bool):
-    """Sums by (by, same, right span) of the 1/n that each left row gives to each right span it meets."""
+def _sums(bin_: _Bin, rows: pa.Table, n: np.ndarray, by: list[str], plain: bool):
+    """Of the 1/n that each left row gives to each right span it meets, the sums by (by, mark) and right span: a left row, spans, same, sums."""
     s, e = rows["_s"].to_numpy(), rows["_e"].to_numpy()
     # whole numbers of 2^-62 in two halves, so that what is added and taken off again leaves nothing
     q = (1 << 62) // n
@@ -144,9 +146,13 @@ def _added(bin_: _Bin, rows: pa.Table, n: np.ndarray, by: list[str], keep: list[
         hit = np.flatnonzero((high > 0) | (low > 0))
         mark = rows["_mark"][int(at[0])].as_py()
         same = np.ones(len(hit), dtype=bool) if plain else bin_.same(mark)[hit]
-        yield pa.RecordBatch.from_arrays(
-            [*(rows[f"l_{c}"].take(pa.array(np.full(len(hit), at[0]))).combine_chunks() for c in by), pa.array(same), *(bin_.rows[f"r_{c}"].take(pa.array(hit)).combine_chunks() for c in keep), pa.array(high[hit] * 2.0**-31 + low[hit] * 2.0**-62)], names=[*by, "same", *keep, "share"]
-        )
+        yield int(at[0]), hit, same, high[hit] * 2.0**-31 + low[hit] * 2.0**-62
+
+
+def _added(bin_: _Bin, rows: pa.Table, n: np.ndarray, by: list[str], keep: list[str], plain: bool):
+    for one, hit, same, share in _sums(bin_, rows, n, by, plain):
+        own = [rows[f"l_{c}"].take(pa.array(np.full(len(hit), one))).combine_chunks() for c in by]
+        yield pa.RecordBatch.from_arrays([*own, pa.array(same), *(bin_.rows[f"r_{c}"].take(pa.array(hit)).combine_chunks() for c in keep), pa.array(share)], names=[*by, "same", *keep, "share"])
 
 
 class Sweep:
@@ -259,7 +265,7 @@ class _HeldSpans:
     """All right spans, as a task holds them."""
 
     def __init__(self, raw: bytes):
-        self.rows = pa.ipc.open_stream(raw).read_all().sort_by("_key").combine_chunks()
+        self.rows = pa.ipc.open_stream(raw).read_all().sort_by([("_key", "ascending"), ("_s", "ascending")]).combine_chunks()
         self.s, self.e = (self.rows[c].to_numpy() for c in ("_s", "_e"))
         self.keys, key = self._codes(self.rows["_key"], {})
         self.marks, mark = self._codes(self.rows["_mark"], {})
@@ -269,6 +275,21 @@ class _HeldSpans:
         at = np.argsort(pair, kind="stable")[np.count_nonzero(pair < 0) :]
         self.marked = _Axis(pair[at], self.s[at], self.e[at], at, len(self.keys) * len(self.marks))
 
+        self.rows = self.rows.append_column("_row", pa.array(np.arange(len(key))))
+        self._numbers: dict = {}
+
+    def numbers(self, keep: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The first row of each value of the columns keep, in order, and of each row which of them it has."""
+        if tuple(keep) not in self._numbers:
+            code = np.zeros(len(self.s), dtype=np.int64)
+            for c in keep:
+                x = self.rows[f"r_{c}"].combine_chunks().dictionary_encode(null_encoding="encode")
+                x = x.chunk(0) if isinstance(x, pa.ChunkedArray) else x
+                code = np.unique(code * (len(x.dictionary) + 1) + x.indices.to_numpy(), return_inverse=True)[1]
+            first, code = np.unique(code, return_index=True, return_inverse=True)[1:]
+            self._numbers[tuple(keep)] = np.sort(first), np.argsort(np.argsort(first))[code]
+        return self._numbers[tuple(keep)]
+
     @staticmethod
     def _codes(x: pa.ChunkedArray, known: dict) -> tuple[dict, np.ndarray]:
         """Numbers of the values, which are those in known, or, if that is empty, new ones; -1 for null and others."""
@@ -326,6 +347,11 @@ def _joined(batches, most: int):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def _short(x: np.ndarray) -> pa.Array:
+    """Numbers from 0 on, in as few bytes as the largest needs."""
+    return pa.array(x.astype(np.min_scalar_type(int(x.max(initial=0)))))
+
+
 def _packed(rows: pa.Table, width: int) -> pa.RecordBatch:
     """Left rows by (key, stretch), as compressed bytes; starts are differences."""
     rows = pa.table({c: rows[c].combine_chunks() if c in ("_s", "_e", "_n") else rows[c].combine_chunks().dictionary_encode() for c in rows.column_names})
@@ -333,31 +359,43 @@ def _packed(rows: pa.Table, width: int) -> pa.RecordBatch:
     key = key.chunk(0) if isinstance(key, pa.ChunkedArray) else key
     order = np.lexsort((s, key.indices.to_numpy()))
     rows, k, s = rows.drop(["_key"]).take(pa.array(order)).combine_chunks(), key.indices.to_numpy()[order], s[order]
-    size, at = rows["_e"].to_numpy() - s, s // width
+    size, at, step = rows["_e"].to_numpy() - s, s // width, np.diff(s, prepend=0)
     cut = np.concatenate([[0], np.flatnonzero((k[1:] != k[:-1]) | (at[1:] != at[:-1])) + 1, [len(s)]])
     cut = [(x, min(x + PACK, j)) for i, j in zip(cut[:-1], cut[1:]) for x in range(i, j, PACK)]
     out = []
     for i, j in cut:
         part = rows.slice(i, j - i)
-        part = part.set_column(part.column_names.index("_s"), "_s", pa.array(np.diff(s[i:j], prepend=0))).set_column(part.column_names.index("_e"), "_e", pa.array(size[i:j]))
+        step[i] = 0
+        part = part.set_column(part.column_names.index("_s"), "_s", _short(step[i:j])).set_column(part.column_names.index("_e"), "_e", _short(size[i:j]))
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
             w.write_table(part)
         out.append(sink.getvalue().to_pybytes())
     names = key.dictionary.to_pylist()
-    return pa.RecordBatch.from_arrays([pa.array([names[k[i]] for i, _ in cut], pa.string()), pa.array([at[i] for i, _ in cut], pa.int64()), pa.array(out, pa.binary())], names=["_key", "_bin", "_rows"])
+    return pa.RecordBatch.from_arrays([pa.array([names[k[i]] for i, _ in cut], pa.string()), pa.array([at[i] for i, _ in cut], pa.int64()), pa.array([s[i] for i, _ in cut], pa.int64()), pa.array(out, pa.binary())], names=["_key", "_bin", "_from", "_rows"])
 
 
-def _unpacked(raws: list[bytes]) -> pa.Table:
+def _unpacked(raws: list[tuple[int, bytes]]) -> pa.Table:
     parts = []
-    for raw in raws:
+    for first, raw in raws:
         t = pa.ipc.open_stream(raw).read_all()
-        s = np.cumsum(t["_s"].to_numpy())
-        put = {"_s": pa.array(s), "_e": pa.array(s + t["_e"].to_numpy())}
+        s = first + np.cumsum(t["_s"].to_numpy().astype(np.int64))
+        put = {"_s": pa.array(s), "_e": pa.array(s + t["_e"].to_numpy().astype(np.int64))}
         parts.append(pa.table({c: put.get(c, t[c].cast(t[c].type.value_type) if pa.types.is_dictionary(t[c].type) else t[c]) for c in t.column_names}))
     return pa.concat_tables(parts).combine_chunks()
 
 
+def _sums_packed(which: np.ndarray, share: np.ndarray) -> bytes:
+    """Sums of sorted numbers below 2 * NUMBERS; of the differences, the second bytes are nearly all 0 and compress."""
+    return np.diff(which, prepend=0).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes() + share.astype("<f8").tobytes()
+
+
+def _sums_of(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(raw) // 10
+    which = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 2 * n).reshape(2, n).T).view("<u2").ravel()
+    return np.cumsum(which.astype(np.int64)), np.frombuffer(raw, "<f8", n, 2 * n)
+
+
 class Held:
     """What Sweep tells, with all right spans, of which there are HOLD at most, in every task.
 
@@ -408,11 +446,43 @@ class Held:
         schema = [f"`{c}` {kind(left, c)}" for c in cols] + ["n_same long", "n_other long"] + [f"`{o}_{c}` {kind(self.right, c)}" for c in keep for o in ("same", "other")]
         return self._spans(left, 0, self.left_span, [F.col(c).alias(f"l_{c}") for c in cols]).mapInArrow(run, ", ".join(schema))
 
-    def shares(self, left: DataFrame, by: list[str], keep: list[str], total: str | None = None) -> DataFrame:
-        """Parts of the sums by (by, same, keep) to which each left row gives 1/n for each right span it meets.
+    def sums(self, parts: list[tuple[DataFrame, str | None]], by: list[str], keep: list[str]) -> DataFrame:
+        """Sums by (by, same, keep) to which each left row gives 1/n for each right span it meets.
 
-        n: the spans it meets, or what stands in the column total.
+        parts: left rows, and the column that has n; without one, n are the spans that the row meets. What is added up
+        travels by numbers of the held values, a few thousand together, about nine bytes a sum.
         """
+        held, group = self.held, [*by, "_bucket"]
+        found = self._shares(*parts[0], by, keep)
+        for part in parts[1:]:
+            found = found.unionByName(self._shares(*part, by, keep))
+
+        def out(own, schema, sums, count):
+            spans, hit = _open(held), np.flatnonzero(count)
+            number = own[-1] * NUMBERS + (hit >> 1)
+            at = pa.array(spans.numbers(keep)[0][number])
+            mine = [pa.array([x] * len(hit), schema.field(c).type) for c, x in zip(by, own)]
+            return pa.RecordBatch.from_arrays([*mine, pa.array((hit & 1).astype(bool)), *(spans.rows[f"r_{c}"].take(at).combine_chunks() for c in keep), pa.array(sums[hit])], names=[*by, "same", *keep, "share"])
+
+        def run(batches):
+            now = None
+            for b in batches:
+                for *own, raw in zip(*(b[c].to_pylist() for c in [*group, "_sums"])):
+                    if now != own:
+                        if now is not None:
+                            yield out(now, b.schema, sums, count)
+                        now, sums, count = own, np.zeros(2 * NUMBERS), np.zeros(2 * NUMBERS, dtype=np.int64)
+                    which, share = _sums_of(raw)
+                    sums += np.bincount(which, share, 2 * NUMBERS)
+                    count += np.bincount(which, minlength=2 * NUMBERS)
+            if now is not None:
+                yield out(now, b.schema, sums, count)
+
+        kind = lambda df, c: f"`{c}` {df.schema[c].dataType.simpleString()}"
+        schema = [*(kind(found, c) for c in by), "same boolean", *(kind(self.right, c) for c in keep), "share double"]
+        return found.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, ", ".join(schema))
+
+    def _shares(self, left: DataFrame, total: str | None, by: list[str], keep: list[str]) -> DataFrame:
         plain, held, width = self.same is None, self.held, self.width
 
         def pack(batches):
@@ -422,16 +492,29 @@ class Held:
         def added(key, raws):
             rows = _unpacked(raws)
             s, e = rows["_s"].to_numpy(), rows["_e"].to_numpy()
-            bin_ = _open(held).near(key, s.min(), e.max())
+            spans = _open(held)
+            bin_ = spans.near(key, s.min(), e.max())
             met = bin_.all.meet(s, e)[0]
             hit = np.flatnonzero(met)
             if len(hit):
-                yield from _added(bin_, rows.take(pa.array(hit)).combine_chunks(), (rows["_n"].to_numpy() if total else met)[hit], by, keep, plain)
+                rows, number, ones, buckets, out = rows.take(pa.array(hit)).combine_chunks(), spans.numbers(keep)[1][bin_.rows["_row"].to_numpy()], [], [], []
+                for one, at, same, share in _sums(bin_, rows, rows["_n"].to_numpy() if total else met[hit], by, plain):
+                    which = 2 * number[at] + same
+                    order = np.argsort(which, kind="stable")
+                    which, share = which[order], share[order]
+                    bucket = which // (2 * NUMBERS)
+                    cut = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]]) if len(bucket) else [0]
+                    for i, j in zip(cut[:-1], cut[1:]):
+                        ones.append(one)
+                        buckets.append(bucket[i])
+                        out.append(_sums_packed(which[i:j] % (2 * NUMBERS), share[i:j]))
+                own = [rows[f"l_{c}"].take(pa.array(ones, pa.int64())).combine_chunks() for c in by]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(buckets, pa.int64()), pa.array(out, pa.binary())], names=[*by, "_bucket", "_sums"])
 
         def run(batches):
             now, raws = None, []
             for b in batches:
-                for key, at, raw in zip(b["_key"].to_pylist(), b["_bin"].to_pylist(), b["_rows"].to_pylist()):
+                for key, at, *raw in zip(*(b[c].to_pylist() for c in ("_key", "_bin", "_from", "_rows"))):
                     if raws and ((key, at) != now or len(raws) * PACK > 4 * HELD):
                         yield from added(now[0], raws)
                         raws = []
@@ -440,10 +523,9 @@ class Held:
             if raws:
                 yield from added(now[0], raws)
 
-        kind = lambda df, c: f"`{c}` {df.schema[c].dataType.simpleString()}"
-        schema = [*(kind(left, c) for c in by), "same boolean", *(kind(self.right, c) for c in keep), "share double"]
+        schema = [*(f"`{c}` {left.schema[c].dataType.simpleString()}" for c in by), "_bucket long", "_sums binary"]
         rows = self._spans(left, 0, self.left_span, [*(F.col(c).alias(f"l_{c}") for c in by), *([F.col(total).cast("long").alias("_n")] if total else [])])
-        packed = staged(rows.mapInArrow(pack, "_key string, _bin long, _rows binary"), SHORT_ROWS)
+        packed = staged(rows.mapInArrow(pack, "_key string, _bin long, _from long, _rows binary"), SHORT_ROWS | SHUFFLED_ONCE)
         return packed.repartition("_key", "_bin").sortWithinPartitions("_key", "_bin").mapInArrow(run, ", ".join(schema))
 
 

@@ -225,3 +225,33 @@ def test_ids_of_one_row_share_no_hash(spark):
     h = np.concatenate([h, [0, (1 << TOP + LOW) - 1, 5 << LOW, 5 << LOW]])
     got = [(g << LOW) + x for b in _pack([pa.record_batch([pa.array(h)], names=["_k"])]) for g, low in zip(*(c.to_pylist() for c in b.columns)) for x in _unpacked(low).tolist()]
     assert sorted(got) == sorted(h.tolist())
+
+
+def test_sums_travel_in_few_bytes(spark):
+    """Neither the reads nor the sums of a feature are shuffled a row each, and names that several features share are added up."""
+    from strandforge.operators import analysis as A
+
+    n = 20_000
+    r = spark.range(8 * n).selectExpr("concat('read-', id) as read_id", "concat('s', id % 2) as sample_id", "'a' as chrom", "'+' as strand", "id * 3 as start1", "id * 3 + id % 50 as end1").union(spark.sql("select 'again', null, 'b', '-', 5l, 9l from range(3)"))
+    f = spark.range(n).selectExpr("concat('g', id % 15000) as name", "if(id = 77, null, 'x') as other", "'a' as chrom", "if(id % 3 = 0, '+', '-') as f_strand", "id * 20 as f_start", "id * 20 + 60 as f_end").union(spark.sql("select null, 'y', 'b', '-', 0l, 100l"))
+    for keep in (("name",), ("name", "other")):
+        got = A.Met(r, f, ["read_id"], ["sample_id"], keep).frequency()
+        rows = got.collect()
+        want = A.feature_frequency(A.hits(r, f, ["read_id"]), ["read_id"], ["sample_id"]).collect()
+        told = lambda x: sorted((str(y.sample_id), y.orientation, str(y.name), round(y.freq, 9)) for y in x)
+        assert told(rows) == told(want) and len(rows) > 30_000
+    # the sums of names come from their own place, not from a shuffle of a row for each
+    assert "Aggregate" not in A.Met(r.where("read_id != 'again'"), f, ["read_id"], ["sample_id"]).frequency()._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_packed_sums():
+    import numpy as np
+
+    from strandforge.operators.intervals import NUMBERS, _sums_of, _sums_packed
+
+    rnd = np.random.default_rng(4)
+    for which in (np.array([0]), np.array([2 * NUMBERS - 1]), np.sort(rnd.integers(0, 2 * NUMBERS, 9000)), np.arange(2 * NUMBERS)):
+        share = rnd.random(len(which))
+        raw = _sums_packed(which, share)
+        a, b = _sums_of(raw)
+        assert len(raw) == 10 * len(which) and (a == which).all() and (b == share).all()
