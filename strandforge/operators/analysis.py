@@ -30,8 +30,9 @@ def normalised(freq: DataFrame, by: list[str]) -> DataFrame:
     """Frequencies that sum to 1 over `by`."""
     if not by:
         return normalised(freq.withColumn("_all", F.lit(0)), ["_all"]).drop("_all")
-    freq = staged(freq)
-    total = freq.groupBy(*by).agg(F.sum("freq").alias("t"))
+    freq = staged(freq, SHUFFLED_ONCE)
+    # written too, so that its size is known and the frequencies are not dealt by a few values of `by` for the join
+    total = staged(freq.groupBy(*by).agg(F.sum("freq").alias("t")), SHUFFLED_ONCE)
     return freq.join(total, by).withColumn("freq", F.col("freq") / F.nullif("t", F.lit(0.0))).drop("t")
 
 

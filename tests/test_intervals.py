@@ -255,3 +255,20 @@ def test_packed_sums():
         raw = _sums_packed(which, share)
         a, b = _sums_of(raw)
         assert len(raw) == 10 * len(which) and (a == which).all() and (b == share).all()
+
+
+def test_frequencies_are_not_dealt_by_sample(spark):
+    """Few samples would take all rows to few tasks; their sums go to the frequencies instead."""
+    from strandforge.operators import analysis as A
+
+    f = spark.range(60_000).selectExpr("concat('s', id % 3) as sample_id", "concat('g', id) as name", "if(id % 5 = 0, 0d, 0.5d) as freq").union(spark.sql("select 'none', 'g', 0d"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        out = A.normalised(f, ["sample_id"])
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        got = {(x.sample_id, x.name): x.freq for x in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(got) == 60_001 and got["none", "g"] is None and abs(got["s1", "g1"] - 1 / 16_000) < 1e-12
+    assert A.normalised(f.drop("sample_id"), []).agg({"freq": "sum"}).first()[0] > 0.999999
