@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import statistics as T
 from ..staging import SHORT_ROWS, SHUFFLED_ONCE, staged
 from . import intervals
+from .following import followed, packed
 from .intervals import Held, Sweep, interval_join
 from .repeats import hash_of, repeated
 
@@ -107,13 +108,19 @@ class Met:
         if not self.held:
             # written first, so that its size is known before the reads are dealt for the join
             return self.reads.select(*cols).join(staged(self.unique(keep)), self.key)
-        found = self._one(staged(self.sweep.counts(self.once, cols, keep, only=True), SHORT_ROWS), cols, keep).where(" and ".join(f"{k} is not null" for k in self.key))
+        found = self._one(self.sweep.counts(self.once, cols, keep, only=True), cols, keep).where(" and ".join(f"{k} is not null" for k in self.key))
         if self.rest is None:
             return found
         again = self.reads.select(*cols).join(staged(self._many(keep)), self.key)
         return found.unionByName(again)
 
 
+def consecutive(found: DataFrame, group: str, order: list[str], keep: list[str], after: dict[str, str]) -> DataFrame:
+    """Pairs of rows that follow each other in their group: keep of the first, and columns of the second under new names."""
+    found = found.select(*dict.fromkeys([group, *order, *keep, *after]))
+    return followed(staged(packed(found, group), SHORT_ROWS | SHUFFLED_ONCE), found, group, order, keep, after)
+
+
 def partner_key(df: DataFrame, name1: str, ori1: str, name2: str, ori2: str) -> DataFrame:
     """Adds fst_rna, fst_rna_ori, sec_rna, sec_rna_ori: both partners in order."""
     a, b = F.struct(F.col(name1).alias("n"), F.col(ori1).alias("o")), F.struct(F.col(name2).alias("n"), F.col(ori2).alias("o"))

@@ -310,10 +310,9 @@ ints as (select x.sample_id, x.cmpl, x.energy, case when (x.partner, x.ori) <= (
 _KEY = "fst_rna, fst_rna_ori, sec_rna, sec_rna_ori"
 
 
-def _interactions(spark, d):
-    found = _met(spark, d, ()).with_unique(["name"], ["read_id", "qname", "seg", "sample_id", "cmpl", "energy"]).withColumnsRenamed({"orientation": "ori", "name": "partner"})
-    order = Window.partitionBy("qname").orderBy("seg", "read_id")
-    b = found.withColumns({"ori2": F.lead("ori").over(order), "partner2": F.lead("partner").over(order)}).where("partner2 is not null")
+def _interactions(spark, d, cols=("sample_id", "cmpl", "energy")):
+    found = _met(spark, d, ()).with_unique(["name"], ["read_id", "qname", "seg", *cols]).withColumnsRenamed({"orientation": "ori", "name": "partner"})
+    b = A.consecutive(found, "qname", ["seg", "read_id"], [*cols, "ori", "partner"], {"ori": "ori2", "partner": "partner2"}).where("partner2 is not null")
     return A.partner_key(b, "partner", "ori", "partner2", "ori2").withColumnsRenamed({"cmpl": "xc", "energy": "xe"})
 
 
@@ -449,10 +448,10 @@ def q_union_intervals(spark, d):
 # ---------------------------------------------------------------- graph
 @query(f"{_HITS}{_INTER} select fst_rna as label, fst_rna_ori as orientation from ints union select sec_rna, sec_rna_ori from ints")
 def q_graph_nodes(spark, d):
-    return A.graph(_interactions(spark, d))[0].select("label", "orientation")
+    return A.graph(_interactions(spark, d, ()))[0].select("label", "orientation")
 
 
 @query(f"{_HITS}{_INTER} select distinct concat(fst_rna, ':', fst_rna_ori) as source, concat(sec_rna, ':', sec_rna_ori) as target, 'basepairing' as relation from ints")
 def q_graph_edges(spark, d):
     name = lambda p: F.concat(f"{p}_rna", F.lit(":"), f"{p}_rna_ori")
-    return A.graph(_interactions(spark, d))[1].select(name("fst").alias("source"), name("sec").alias("target"), "relation")
+    return A.graph(_interactions(spark, d, ()))[1].select(name("fst").alias("source"), name("sec").alias("target"), "relation")
